@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 def ratio(a: str, b: str) -> int:
     """Twice the matching characters over all characters, in percent; 0 if a text is empty."""
-    return round(100 * SequenceMatcher(None, a, b).ratio()) if a and b else 0
+    return round(100 * SequenceMatcher(None, a, b, autojunk=False).ratio()) if a and b else 0
 
 
 def combined(a: str, b: str) -> tuple[str, str, str]:

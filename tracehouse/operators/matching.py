@@ -31,6 +31,7 @@ from tracehouse.operators.skew import hot_limit
 
 BLOCK = 2_000  # texts of one side compared by one task at a time
 _BINS = 64
+_BEST_COLUMNS = ["canon", "score", "position", "match"]
 # Fixed value: letters from rare to common. Only the amount of work depends on it.
 _RARE_TO_COMMON = "zqxjkvbpygfwmucldrhsnioate"
 
@@ -91,35 +92,53 @@ def _letter_counts(texts: list[str]) -> np.ndarray:
     return counts
 
 
+def _shared_lengths(text: str, lengths: np.ndarray, holders: dict[str, np.ndarray]) -> np.ndarray:
+    """Length of the shared tokens, joined by blanks, of a text with each right text."""
+    shared = np.zeros(len(lengths), dtype=np.int64)
+    for token in text.split():
+        if token in holders:
+            shared[holders[token]] += len(token) + 1
+    return np.maximum(shared - 1, 0)
+
+
 def _best_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """Best right text of each left text within one block, as (canon, score, position, match)."""
     if left.empty or right.empty:
-        return pd.DataFrame({"canon": [], "score": [], "position": [], "match": []})
+        return pd.DataFrame(columns=_BEST_COLUMNS)
     right = right.sort_values("position", kind="stable")
     texts, places = right["canon"].tolist(), right["position"].tolist()
     names = right["match"].tolist()
     counts, lengths = _letter_counts(texts), np.array([len(t) for t in texts])
+    held: dict[str, list[int]] = {}
+    for at, text in enumerate(texts):
+        for token in text.split():
+            held.setdefault(token, []).append(at)
+    holders = {token: np.array(rows) for token, rows in held.items()}
     rows = []
     for text, own in zip(left["canon"], _letter_counts(left["canon"].tolist())):
-        # letters in common bound both the shared tokens and the matching characters
-        common = np.minimum(own, counts).sum(axis=1)
+        # the shared tokens begin both combined texts, so their ratios need no alignment
+        shared = _shared_lengths(text, lengths, holders)
         shorter = np.minimum(lengths, len(text))
-        by_tokens = 200.0 * common / (common + shorter)
-        by_letters = 200.0 * common / (lengths + len(text))
-        bound = np.floor(np.maximum(by_tokens, by_letters) + 0.5 + 1e-9)
-        best, best_at = 0, -1
-        for at in np.lexsort((np.arange(len(texts)), -bound)):
-            if bound[at] < best or (bound[at] == best and best_at >= 0 and at > best_at):
+        scores = np.rint(100 * (2.0 * shared / (shared + shorter))).astype(int)
+        at = int(scores.argmax())
+        best = int(scores[at])
+        # letters in common bound the aligned ratio; candidates come by bound, then by place
+        common = np.minimum(own, counts).sum(axis=1)
+        bounds = np.rint(100 * (2.0 * common / (lengths + len(text)))).astype(int)
+        open_ = np.flatnonzero((bounds > best) | ((bounds == best) & (np.arange(len(texts)) < at)))
+        for candidate in open_[np.lexsort((open_, -bounds[open_]))]:
+            bound = bounds[candidate]
+            if bound < best:
                 break
-            shared, one, two = combined(text, texts[at])
-            score = max(ratio(shared, one), ratio(shared, two))
-            if score < 100 and by_letters[at] + 0.5 + 1e-9 >= max(best, score):
-                score = max(score, ratio(one, two))
-            if score > best or (score == best and (best_at < 0 or at < best_at)):
-                best, best_at = score, at
+            if bound == best and candidate > at:
+                continue
+            _, one, two = combined(text, texts[candidate])
+            score = ratio(one, two)
+            if score > best or (score == best and candidate < at):
+                best, at = score, int(candidate)
         if best > 0:
-            rows.append((text, best, places[best_at], names[best_at]))
-    return pd.DataFrame(rows, columns=["canon", "score", "position", "match"])
+            rows.append((text, best, places[at], names[at]))
+    return pd.DataFrame(rows, columns=_BEST_COLUMNS)
 
 
 def _blocked(side: DataFrame, hot: DataFrame | None, own: str, other: str) -> DataFrame:
@@ -169,9 +188,13 @@ def best_match(
     right_texts = (
         right.where(F.col(right_text).isNotNull())
         .groupBy(canonical_tokens(F.col(right_text)).alias("canon"))
-        .agg(F.min(F.struct(right_order, right_text)).alias("first"))
+        .agg(
+            F.min(
+                F.struct(F.col(right_order).alias("position"), F.col(right_text).alias("match"))
+            ).alias("first")
+        )
         .where("canon != ''")
-        .select("canon", F.col(f"first.{right_order}").alias("position"), F.col(f"first.{right_text}").alias("match"))
+        .select("canon", "first.position", "first.match")
     )
 
     def signed(texts: DataFrame, side: str) -> DataFrame:
