@@ -22,7 +22,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value + 0.0:.9g}"
+        return "nan" if math.isnan(value) else repr(value + 0.0)
     if hasattr(value, "isoformat"):
         return value.isoformat()
     return value if value is None or isinstance(value, bool) else str(value)

@@ -39,11 +39,11 @@ stats AS (
            round(avg(1 / (60 * step)), 4) AS hertz
     FROM numbered GROUP BY runid
 )"""
-_STAT_COLUMNS = """runid, round(mins_min, 6) AS mins_min, round(mins_max, 6) AS mins_max, mins_count,
-       round(abs_min, 6) AS abs_min, round(abs_max, 6) AS abs_max, abs_argmin, abs_argmax, hertz"""
+_STAT_COLUMNS = """runid, mins_min, mins_max, mins_count,
+       abs_min, abs_max, abs_argmin, abs_argmax, hertz"""
 _EVEN = f"""{_NUMBERED},
 steps AS (
-    SELECT runid, round((max(mins) - min(mins)) / (count(*) - 1), 9) AS step FROM trace GROUP BY runid
+    SELECT runid, round_even((max(mins) - min(mins)) / (count(*) - 1), 9) AS step FROM trace GROUP BY runid
 ),
 even AS (
     SELECT n.runid, n.idx * s.step AS mins, n.value, n.idx FROM numbered n JOIN steps s USING (runid)
@@ -227,13 +227,13 @@ wide AS (
     SELECT runid AS num, mins AS "time", value AS a, -value AS b FROM trace
     UNION SELECT c_custkey, 0, c_acctbal, NULL FROM customer
 )
-SELECT num, round("time", 6) AS "time", round(a, 6) AS a, round(b, 6) AS b,
+SELECT num, "time", a, b,
        dense_rank() OVER (PARTITION BY num ORDER BY "time") AS entry
 FROM wide""",
-    "gradient": f"WITH {_GRADIENTS} SELECT runid, round(gradient, 6) AS gradient FROM gradients",
+    "gradient": f"WITH {_GRADIENTS} SELECT runid, gradient FROM gradients",
     "gradient_slope": f"""
 WITH {_TRACE}, {_POINTS.format(source="trace")}
-SELECT runid, round((value - prev_value) / (mins - prev_mins), 6) AS gradient FROM points WHERE idx = 2""",
+SELECT runid, (value - prev_value) / (mins - prev_mins) AS gradient FROM points WHERE idx = 2""",
     "counts_per_gradient": f"""
 WITH {_GRADIENTS} SELECT round(gradient, 1) AS gradient, count(*) AS count FROM gradients GROUP BY 1""",
     "signal_stats": f"WITH {_STATS} SELECT {_STAT_COLUMNS} FROM stats",
@@ -248,24 +248,24 @@ FROM (SELECT unnest(range(64))::int AS dim, unnest(embedding)::double AS value F
     + ", ".join(f'round(sum(embedding[{i + 1}]::double), 6) AS "{200 + i}"' for i in range(64))
     + " FROM embeddings GROUP BY label",
     "wide_to_long": """
-SELECT vec_id, label, unnest(range(200, 264))::int AS wavelength, round(unnest(embedding)::double, 6) AS absorbance
+SELECT vec_id, label, unnest(range(200, 264))::int AS wavelength, unnest(embedding)::double AS absorbance
 FROM embeddings""",
-    "rezero_time": f"WITH {_REZEROED} SELECT runid, round(mins, 6) AS mins, value FROM rezeroed",
-    "regrid_time": f"WITH {_EVEN} SELECT runid, round(mins, 6) AS mins, value, idx FROM even",
-    "trim_runs": f"WITH {_NUMBERED} SELECT runid, round(mins, 6) AS mins, value, idx FROM numbered WHERE idx < {TRIM_ROWS}",
+    "rezero_time": f"WITH {_REZEROED} SELECT runid, mins, value FROM rezeroed",
+    "regrid_time": f"WITH {_EVEN} SELECT runid, mins, value, idx FROM even",
+    "trim_runs": f"WITH {_NUMBERED} SELECT runid, mins, value, idx FROM numbered WHERE idx < {TRIM_ROWS}",
     "cube_long": f"""
 WITH {_CELLS}
-SELECT runid, idx, round(mins, 6) AS mins, wavelength, round(absorbance, 6) AS absorbance, c_name, c_mktsegment,
+SELECT runid, idx, mins, wavelength, absorbance, c_name, c_mktsegment,
        c_nationkey
 FROM cells JOIN dimension USING (runid)""",
     "cube_array": f"""
 WITH {_EVEN}, dimension AS ({_DIMENSION})
-SELECT runid, idx, round(mins, 6) AS mins, round(value, 6) AS nm_256, round(value * 2, 6) AS nm_300, c_name,
+SELECT runid, idx, mins, value AS nm_256, value * 2 AS nm_300, c_name,
        c_mktsegment, c_nationkey
 FROM even JOIN dimension USING (runid) WHERE idx < {TRIM_ROWS}""",
     "cube_slice": f"""
 WITH {_CELLS}
-SELECT runid, idx, round(mins, 6) AS mins, wavelength, round(absorbance, 6) AS absorbance, c_name, c_mktsegment,
+SELECT runid, idx, mins, wavelength, absorbance, c_name, c_mktsegment,
        c_nationkey
 FROM cells JOIN dimension USING (runid)
 WHERE wavelength = 256 AND c_mktsegment = 'BUILDING' AND mins BETWEEN 100 AND 20000""",
@@ -293,7 +293,7 @@ WHERE p_type = 'PROMO' AND p_brand IN ('Brand#1', 'Brand#7', 'Brand#12') AND l_q
     "score_histogram": """
 SELECT floor(l_quantity / 5) * 5 AS bin, count(*) AS count FROM lineitem GROUP BY 1""",
     "score_percent": """
-SELECT l_quantity, round(count(l_quantity) * 100 / (SELECT count(*) FROM lineitem), 6) AS count_perc
+SELECT l_quantity, count(l_quantity) * 100 / (SELECT count(*) FROM lineitem) AS count_perc
 FROM lineitem WHERE l_quantity > 20 GROUP BY l_quantity""",
     "bool_and_check": "SELECT bool_and(l_quantity > 0) AS all_positive FROM lineitem",
     "count_report": """

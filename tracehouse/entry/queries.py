@@ -408,7 +408,7 @@ def elution_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     solvcomps = _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("num"), F.lit("A").alias("channel"), F.col("c_acctbal").alias("percent")
     )
-    return _rounded(program.numbered_elution_table(timetables, solvcomps), "time", "a", "b")
+    return program.numbered_elution_table(timetables, solvcomps)
 
 
 def _gradients(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
@@ -420,12 +420,12 @@ def _gradients(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
 
 @_query
 def gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_gradients(spark, sf_dir, "per_time"), "gradient")
+    return _gradients(spark, sf_dir, "per_time")
 
 
 @_query
 def gradient_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_gradients(spark, sf_dir, "slope"), "gradient")
+    return _gradients(spark, sf_dir, "slope")
 
 
 @_query
@@ -439,14 +439,12 @@ def counts_per_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def signal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = traces.signal_stats(_trace(spark, sf_dir), "runid", "mins", "value", digits=4)
-    return _rounded(stats, "mins_min", "mins_max", "abs_min", "abs_max")
+    return traces.signal_stats(_trace(spark, sf_dir), "runid", "mins", "value", digits=4)
 
 
 @_query
 def image_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = traces.image_stats(_image(spark, sf_dir), "runid")
-    return _rounded(stats, "mins_min", "mins_max", "abs_min", "abs_max")
+    return traces.image_stats(_image(spark, sf_dir), "runid")
 
 
 @_query
@@ -464,24 +462,22 @@ def column_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = traces.wide_to_long(_wide_embeddings(spark, sf_dir), ["vec_id", "label"])
-    return _rounded(long, "absorbance")
+    return traces.wide_to_long(_wide_embeddings(spark, sf_dir), ["vec_id", "label"])
 
 
 @_query
 def rezero_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(traces.rezero_time(_trace(spark, sf_dir), "runid"), "mins")
+    return traces.rezero_time(_trace(spark, sf_dir), "runid")
 
 
 @_query
 def regrid_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(traces.regrid_time(_trace(spark, sf_dir), "runid", keep_idx=True), "mins")
+    return traces.regrid_time(_trace(spark, sf_dir), "runid", keep_idx=True)
 
 
 @_query
 def trim_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = traces.trim_rows(_trace(spark, sf_dir), "runid", TRIM_ROWS, short="keep", keep_idx=True)
-    return _rounded(kept, "mins")
+    return traces.trim_rows(_trace(spark, sf_dir), "runid", TRIM_ROWS, short="keep", keep_idx=True)
 
 
 def _run_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,8 +487,7 @@ def _run_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def cube_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = traces.cube(_image(spark, sf_dir), _run_dimension(spark, sf_dir), rows=TRIM_ROWS, short="keep")
-    return _rounded(cells, "mins", "absorbance")
+    return traces.cube(_image(spark, sf_dir), _run_dimension(spark, sf_dir), rows=TRIM_ROWS, short="keep")
 
 
 @_query
@@ -501,8 +496,8 @@ def cube_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = traces.cube(
         _image(spark, sf_dir), _run_dimension(spark, sf_dir), rows=TRIM_ROWS, form="array", short="keep"
     )
-    cells = {"nm_256": F.round(F.col("absorbance")[0], DIGITS), "nm_300": F.round(F.col("absorbance")[1], DIGITS)}
-    return _rounded(rows.withColumns(cells).drop("absorbance"), "mins")
+    cells = {"nm_256": F.col("absorbance")[0], "nm_300": F.col("absorbance")[1]}
+    return rows.withColumns(cells).drop("absorbance")
 
 
 @_query
@@ -510,7 +505,7 @@ def cube_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of one wavelength and one kind of run within a time range."""
     cells = traces.cube(_image(spark, sf_dir), _run_dimension(spark, sf_dir), rows=TRIM_ROWS, short="keep")
     inside = (F.col("wavelength") == 256) & (F.col("c_mktsegment") == "BUILDING") & F.col("mins").between(100, 20_000)
-    return _rounded(cells.where(inside), "mins", "absorbance")
+    return cells.where(inside)
 
 
 # --- exclusion and serving -----------------------------------------------------------------------
@@ -519,8 +514,7 @@ def cube_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def time_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = traces.signal_stats(_trace(spark, sf_dir), "runid", "mins", "value", digits=4)
-    found = exclusion.time_outliers(stats, _run_dimension(spark, sf_dir), END_CUTOFF)
-    return _rounded(found, "mins_min", "mins_max", "abs_min", "abs_max")
+    return exclusion.time_outliers(stats, _run_dimension(spark, sf_dir), END_CUTOFF)
 
 
 def _excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -621,7 +615,7 @@ def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def score_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
-    return _rounded(reports.percent_of_total(lines, "l_quantity", F.col("l_quantity") > 20), "count_perc")
+    return reports.percent_of_total(lines, "l_quantity", F.col("l_quantity") > 20)
 
 
 @_query

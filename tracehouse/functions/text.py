@@ -15,9 +15,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUOTES = "'\""
-
-
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
     """Precomposed letters and their base letters, by canonical decomposition up to U+ABFF."""
@@ -35,12 +32,13 @@ def strip_accents(col: Column) -> Column:
     """Remove diacritics. Letters that do not decompose (ø, ß, ł, æ) stay as they are."""
     accented, base = _accent_table()
     plain = F.regexp_replace(F.translate(col, accented, base), r"\p{Mn}+", "")
-    # the table lookup costs a pass per character, so pure ASCII text skips it
-    return F.when(col.rlike(r"[^\x00-\x7F]"), plain).otherwise(col)
+    # the table is looked up per character, so pure ASCII text (one byte each) skips it
+    return F.when(F.octet_length(col) != F.length(col), plain).otherwise(col)
 
 
 def strip_quotes(col: Column) -> Column:
-    return F.translate(col, QUOTES, "")
+    # two byte-wise passes are faster than one translate, which works character by character
+    return F.replace(F.replace(col, F.lit("'"), F.lit("")), F.lit('"'), F.lit(""))
 
 
 def trim_lower(col: Column) -> Column:
