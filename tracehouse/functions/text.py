@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
     """Precomposed letters and their base letters, by canonical decomposition up to U+ABFF."""
