@@ -8,19 +8,23 @@ stitched together with the row counts of those before them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracehouse.functions.columns import quoted
+
 # A key below this many rows is sorted by one task.
 ROWS_PER_TASK = 4_000_000
 # A key is hot only above 1/MAX_HOT of all rows, so there are never more hot keys than this.
 MAX_HOT = 16_384
 
 SLICE = "__slice"
+MAX_CUTS = 8  # each cut divides a burst's span by at least its share of the rows
 _BYTES = 6  # bytes of a text that fit exactly in a double
 
 
@@ -37,23 +41,24 @@ def hot_limit(counts: DataFrame, rows_per_task: int) -> int | None:
     return max(rows_per_task, total // MAX_HOT)
 
 
-def _axis(df: DataFrame, column: str) -> tuple[Callable[[int], Column], int, bool]:
-    """Number to cut a column by at each depth, the depth limit, and whether depths differ."""
-    kind = df.schema[column].dataType
+def _number(kind: T.DataType, value: Column, skip: Column) -> Column:
+    """Number that rises with an order value; for text, from the bytes behind ``skip`` shared ones."""
     if isinstance(kind, T.StringType):
-
-        def by_bytes(depth: int) -> Column:
-            raw = F.substring(F.encode(F.col(column), "utf-8"), depth * _BYTES + 1, _BYTES)
-            padded = F.rpad(F.hex(raw), 2 * _BYTES, "0")
-            return F.conv(padded, 16, 10).cast("double")
-
-        return by_bytes, 8, True
+        raw = F.substring(F.encode(value, "utf-8"), skip + 1, F.lit(_BYTES))
+        return F.conv(F.rpad(F.hex(raw), 2 * _BYTES, "0"), 16, 10).cast("double")
     if isinstance(kind, T.TimestampNTZType):
         start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return lambda _: F.timestamp_diff("MICROSECOND", start, F.col(column)), 4, False
+        return F.timestamp_diff("MICROSECOND", start, value)
     if isinstance(kind, T.TimestampType):
-        return lambda _: F.unix_micros(F.col(column)), 4, False
-    return lambda _: F.col(column), 4, False
+        return F.unix_micros(value)
+    return value
+
+
+def _shared_bytes(low, high) -> int:
+    """Length of the common beginning of two texts, which all texts between them share."""
+    if not isinstance(low, str):
+        return 0
+    return len(commonprefix([low.encode(), high.encode()]))
 
 
 def slice_hot_keys(
@@ -62,8 +67,9 @@ def slice_hot_keys(
     """Add a slice label that rises with ``order`` and keeps every (key, slice) sortable by one task.
 
     Cold keys keep the empty label. Hot ones are cut evenly by value; a slice that is still too
-    large (a burst) is cut again between its own bounds. At most ``MAX_HOT`` cells are hot at a
-    time, so the cut points are collected and broadcast within that bound.
+    large (a burst) is cut again between its own bounds, until only equal values remain together.
+    At most ``MAX_HOT`` cells are hot at a time, so the cut points are collected and broadcast
+    within that bound.
     """
     keys = list(keys)
     limit = hot_limit(df.groupBy(*keys).agg(F.count("*").alias("n")), rows_per_task)
@@ -71,26 +77,32 @@ def slice_hot_keys(
     if limit is None:
         return sliced, False
 
-    axis, max_depth, depths_differ = _axis(df, order)
-    for depth in range(max_depth):
-        value = axis(depth)
+    kind = df.schema[order].dataType
+    for _ in range(MAX_CUTS):
         cells = (
             sliced.groupBy(*keys, SLICE)
-            .agg(F.count("*").alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-            .where(F.col("__n") > limit)
+            .agg(F.count("*").alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+            .where((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
         )
-        if not depths_differ:
-            cells = cells.where(F.col("__hi") > F.col("__lo"))
         found = cells.collect()  # at most MAX_HOT rows: each holds over 1/MAX_HOT of the total
         if not found:
             break
-        cuts = df.sparkSession.createDataFrame(found, cells.schema)
-        span = (F.col("__hi") - F.col("__lo")).cast("double")
-        parts = F.ceil(F.col("__n") / limit) * 2
-        part = F.when(
-            span > 0,
-            F.least(F.floor((value - F.col("__lo")).cast("double") / span * parts), parts - 1),
-        ).otherwise(0)
+        schema = T.StructType(cells.schema.fields + [T.StructField("__skip", T.IntegerType())])
+        rows = [(*row, _shared_bytes(row["__lo"], row["__hi"])) for row in found]
+        cuts = df.sparkSession.createDataFrame(rows, schema)
+        skip = F.col("__skip")
+        low, high = _number(kind, F.col("__lo"), skip), _number(kind, F.col("__hi"), skip)
+        cuts = cuts.select(
+            *keys,
+            SLICE,
+            skip,
+            low.alias("__low"),
+            (high - low).cast("double").alias("__span"),
+            (F.ceil(F.col("__n") / limit) * 2).alias("__parts"),
+        )
+        offset = (_number(kind, F.col(order), skip) - F.col("__low")).cast("double")
+        share = F.try_divide(offset, F.col("__span"))
+        part = F.least(F.floor(share * F.col("__parts")), F.col("__parts") - 1)
         label = F.concat(F.col("__label"), F.lpad(F.coalesce(part, F.lit(0)).cast("string"), 6, "0"))
         renamed = sliced.withColumnRenamed(SLICE, "__label")
         matched = renamed.join(
@@ -99,8 +111,8 @@ def slice_hot_keys(
             "left",
         )
         sliced = matched.select(
-            *[renamed[c] for c in df.columns],
-            F.when(F.col("__n").isNotNull(), label).otherwise(F.col("__label")).alias(SLICE),
+            *[renamed[quoted(c)] for c in df.columns],
+            F.when(F.col("__parts").isNotNull(), label).otherwise(F.col("__label")).alias(SLICE),
         )
     return sliced, True
 
@@ -175,5 +187,5 @@ def positions(
     if dense:
         columns["rank"] = F.col("rank") + F.coalesce(F.col("__ranks"), F.lit(0))
     return joined.select(
-        *[numbered[c] for c in df.columns], *[c.alias(name) for name, c in columns.items()]
+        *[numbered[quoted(c)] for c in df.columns], *[c.alias(name) for name, c in columns.items()]
     )

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracehouse.functions.columns import named
 from tracehouse.operators.skew import ROWS_PER_TASK, positions
 
 STEP_DIGITS = 9
@@ -29,7 +30,7 @@ def rezero_time(df: DataFrame, key: str, time: str = "mins") -> DataFrame:
     starts = df.groupBy(key).agg(F.min(time).alias("__start"))
     shifted = df.join(starts, key, "left")
     return shifted.select(
-        *[(F.col(time) - F.col("__start")).alias(c) if c == time else F.col(c) for c in df.columns]
+        *[(F.col(time) - F.col("__start")).alias(c) if c == time else named(c) for c in df.columns]
     )
 
 
@@ -76,7 +77,9 @@ def image_stats(
 ) -> DataFrame:
     """Statistics of one wavelength per image. Only that column and the times are read."""
     wavelengths = image_columns(images)
-    stats = signal_stats(images, key, "mins", wavelength, rows_per_task=rows_per_task)
+    keys = [key] if isinstance(key, str) else list(key)
+    trace = images.select(*keys, "mins", named(wavelength).alias("absorbance"))
+    stats = signal_stats(trace, keys, "mins", "absorbance", rows_per_task=rows_per_task)
     return stats.withColumns(column_extrema(wavelengths))
 
 
@@ -118,7 +121,7 @@ def regrid_time(
     """
     trace = positions(df, key, [time, *order], rows_per_task=rows_per_task)
     even = _even_time(key, time)
-    columns = [even.alias(c) if c == time else F.col(c) for c in df.columns]
+    columns = [even.alias(c) if c == time else named(c) for c in df.columns]
     return trace.select(*columns, *(["idx"] if keep_idx else []))
 
 
@@ -129,7 +132,7 @@ def trim_rows(
     """First ``rows`` rows of each run. A shorter run is an error, or kept as is (``short='keep'``)."""
     trace = positions(df, key, order, rows_per_task=rows_per_task)
     kept = trace.where(_leading_rows(key, rows, short))
-    return kept.select(*df.columns, *(["idx"] if keep_idx else []))
+    return kept.select(*map(named, df.columns), *(["idx"] if keep_idx else []))
 
 
 def prepare_cube(
@@ -140,7 +143,7 @@ def prepare_cube(
     trace = positions(images, key, time, rows_per_task=rows_per_task)
     kept = trace.where(_leading_rows(key, rows, short))
     even = _even_time(key, time)
-    return kept.select(*[even.alias(c) if c == time else F.col(c) for c in images.columns], "idx")
+    return kept.select(*[even.alias(c) if c == time else named(c) for c in images.columns], "idx")
 
 
 def wide_to_long(
@@ -149,20 +152,20 @@ def wide_to_long(
 ) -> DataFrame:
     """One row per time and wavelength. Pick wavelengths first: each multiplies the rows."""
     columns = list(wavelengths or image_columns(df, ids))
-    long = df.unpivot(list(ids), columns, name, value)
+    long = df.unpivot(list(ids), [named(c) for c in columns], name, value)
     return long.withColumn(name, F.col(name).cast("double").cast("int"))
 
 
 def wide_to_array(df: DataFrame, ids: Sequence[str], value: str = "absorbance") -> DataFrame:
     """One row per time with the values as an array in wavelength order: the dense cube's rows."""
     columns = image_columns(df, ids)
-    return df.select(*ids, F.array(*[F.col(c).cast("double") for c in columns]).alias(value))
+    return df.select(*ids, F.array(*[named(c).cast("double") for c in columns]).alias(value))
 
 
 def column_sums(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Sum of every wavelength column per run, in one pass over the wide image."""
     columns = list(columns or image_columns(df, [key, "id", "runid", "path", "mins"]))
-    return df.groupBy(key).agg(*[F.sum(c).alias(c) for c in columns])
+    return df.groupBy(key).agg(*[F.sum(named(c)).alias(c) for c in columns])
 
 
 def element_stats(df: DataFrame, array: str, position: str = "dim") -> DataFrame:

@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracehouse.functions.columns import named
 from tracehouse.functions.text import trim_lower
 from tracehouse.operators.exclusion import without
 from tracehouse.operators.keys import acquisition_time, remap_key, repair_sequence_name, sequences, uniquify_keys
@@ -81,4 +82,4 @@ def run_metadata(runs: DataFrame, register: DataFrame, catalogue: DataFrame, exc
 
 def attach_runid(images: DataFrame, runs: DataFrame) -> DataFrame:
     """Images with the run key of their instrument id in front; null for unknown ids."""
-    return images.join(runs.select("runid", "id"), "id", "left").select("runid", *images.columns)
+    return images.join(runs.select("runid", "id"), "id", "left").select("runid", *map(named, images.columns))

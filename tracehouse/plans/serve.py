@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracehouse.functions.columns import named
 from tracehouse.operators.quality import require_rows
 from tracehouse.operators.traces import CUBE_ROWS, cube, regrid_time
 from tracehouse.plans.warehouse import Warehouse
@@ -31,7 +32,7 @@ def fetch_images(warehouse: Warehouse, runids: Sequence[str] | None = None) -> D
     else:
         images = read_images(warehouse.spark, warehouse.lib_dir)
     keyed = images.join(paths.select("runid", F.col("data_path").alias("path")), "path")
-    return keyed.select("runid", "path", *[c for c in images.columns if c != "path"])
+    return keyed.select("runid", "path", *[named(c) for c in images.columns if c != "path"])
 
 
 def get_data(
@@ -48,7 +49,7 @@ def get_data(
     require_rows(warehouse.view("inc_chm"), "inc_chm")
     images = fetch_images(warehouse, runids)
     if wavelengths:
-        images = images.select("runid", "path", "id", "mins", *wavelengths)
+        images = images.select("runid", "path", "id", "mins", *map(named, wavelengths))
     metadata = warehouse.view("sample_metadata")
     if runids:
         metadata = metadata.where(F.col("runid").isin(list(runids)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracehouse import schemas
+from tracehouse.functions.columns import named
 from tracehouse.functions.text import parent_dir
 from tracehouse.operators.quality import QualityError, require_columns
 
@@ -112,7 +113,7 @@ def landed_image(matrix: DataFrame, key: str = "id", time: str = "mins") -> Data
     from tracehouse.operators.traces import image_columns, rezero_time
 
     wavelengths = image_columns(matrix, (key, time))
-    return rezero_time(matrix, key, time).select(key, time, *wavelengths)
+    return rezero_time(matrix, key, time).select(key, time, *map(named, wavelengths))
 
 
 def merge_metadata(
