@@ -143,7 +143,7 @@ def test_reconciliation(spark, tmp_path):
 
 def _pump(spark, document: bytes):
     df = spark.createDataFrame([("r1", document.decode("utf-8-sig"))], "id string, xml string")
-    return xml.pump_tables(df)
+    return xml.pump_tables(xml.parse_methods(df))
 
 
 def test_pump_tables(spark):

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracehouse.functions.scoring import canonical_tokens, combined, ratio
-from tracehouse.operators.skew import hot_limit
 
 BLOCK = 2_000  # texts of one side compared by one task at a time
 _BINS = 64
@@ -141,36 +140,26 @@ def _best_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=_BEST_COLUMNS)
 
 
-def _blocked(side: DataFrame, hot: DataFrame | None, own: str, other: str) -> DataFrame:
-    """Give every signature row its block on this side and a copy for each block of the other."""
-    if hot is None:
-        return side.withColumns({own: F.lit(0), other: F.lit(0)})
-    spread = side.join(F.broadcast(hot.select("sig", f"{own}_blocks", f"{other}_blocks")), "sig", "left")
-    mine = F.pmod(F.xxhash64("canon"), F.coalesce(F.col(f"{own}_blocks"), F.lit(1)))
-    copies = F.sequence(F.lit(0), (F.coalesce(F.col(f"{other}_blocks"), F.lit(1)) - 1).cast("int"))
-    return spread.withColumns({own: mine.cast("int"), other: F.explode(copies)}).drop(
-        f"{own}_blocks", f"{other}_blocks"
+def _block_counts(left: DataFrame, right: DataFrame, block: int) -> DataFrame:
+    """Number of blocks per side of the signatures with more than ``block`` texts on a side."""
+    sides = [s.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > block) for s in (left, right)]
+    one, two = (
+        side.select("sig", F.ceil(F.col("n") / block).cast("int").alias(name))
+        for side, name in zip(sides, ("l_blocks", "r_blocks"))
     )
+    return one.join(two, "sig", "full").na.fill(1, ["l_blocks", "r_blocks"])
 
 
-def _hot_signatures(left: DataFrame, right: DataFrame, block: int) -> DataFrame | None:
-    """Block counts of signatures with more than ``block`` texts on a side; None without such.
+def _blocked(side: DataFrame, blocks: DataFrame, own: str, other: str) -> DataFrame:
+    """Give every signature row its block on this side and a copy for each block of the other.
 
-    Both limits admit at most ``skew.MAX_HOT`` signatures, so the result is safe to broadcast.
+    Spark picks the join by the size of ``blocks``, and AQE splits the skewed signatures.
     """
-    counts = {s: f.groupBy("sig").agg(F.count("*").alias("n")) for s, f in (("l", left), ("r", right))}
-    found = []
-    for side, frame in counts.items():
-        limit = hot_limit(frame, block)
-        if limit is not None:
-            blocks = F.ceil(F.col("n") / limit).cast("int").alias(f"{side}_blocks")
-            found.append(frame.where(F.col("n") > limit).select("sig", blocks))
-    if not found:
-        return None
-    if len(found) == 2:
-        return found[0].join(found[1], "sig", "full")
-    missing = "r_blocks" if "l_blocks" in found[0].columns else "l_blocks"
-    return found[0].withColumn(missing, F.lit(1))
+    spread = side.join(blocks, "sig", "left")
+    count = {s: F.coalesce(F.col(f"{s}_blocks"), F.lit(1)) for s in (own, other)}
+    mine = F.pmod(F.xxhash64("canon"), count[own]).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), count[other] - 1))
+    return spread.withColumns({own: mine, other: copies}).drop(f"{own}_blocks", f"{other}_blocks")
 
 
 def best_match(
@@ -202,9 +191,9 @@ def best_match(
         return texts.withColumn("sig", F.explode(sigs))
 
     left_sigs, right_sigs = signed(left_texts, "left"), signed(right_texts, "right")
-    hot = _hot_signatures(left_sigs, right_sigs, block)
-    one = _blocked(left_sigs, hot, "l", "r")
-    two = _blocked(right_sigs, hot, "r", "l")
+    blocks = _block_counts(left_sigs, right_sigs, block)
+    one = _blocked(left_sigs, blocks, "l", "r")
+    two = _blocked(right_sigs, blocks, "r", "l")
 
     position = right_texts.schema["position"].dataType.simpleString()
     schema = f"canon string, score int, position {position}, match string"

@@ -21,7 +21,7 @@ from tracehouse.functions.columns import quoted
 # A key below this many rows is sorted by one task.
 ROWS_PER_TASK = 4_000_000
 # A key is hot only above 1/MAX_HOT of all rows, so there are never more hot keys than this.
-MAX_HOT = 16_384
+MAX_HOT = 65_536
 
 SLICE = "__slice"
 MAX_CUTS = 8  # each cut divides a burst's span by at least its share of the rows

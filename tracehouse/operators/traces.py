@@ -89,6 +89,11 @@ def even_step(n: Column, first: Column, last: Column) -> Column:
     return F.rint(F.try_divide(last - first, n - 1) * scale) / scale
 
 
+def _trace_keys(df: DataFrame, key: str) -> list[str]:
+    """Run key, and the run's file where known: rows joined by file then need no second shuffle."""
+    return [key, "path"] if "path" in df.columns else [key]
+
+
 def _even_time(key: str, time: str) -> Column:
     """Even time of a numbered row; fails where the grid would end before the rows do."""
     step = even_step(F.col("n"), F.col("first"), F.col("last"))
@@ -119,7 +124,7 @@ def regrid_time(
     A trace whose grid would end before its rows do (times far below zero) is an error, raised
     by the task that meets it.
     """
-    trace = positions(df, key, [time, *order], rows_per_task=rows_per_task)
+    trace = positions(df, _trace_keys(df, key), [time, *order], rows_per_task=rows_per_task)
     even = _even_time(key, time)
     columns = [even.alias(c) if c == time else named(c) for c in df.columns]
     return trace.select(*columns, *(["idx"] if keep_idx else []))
@@ -130,7 +135,7 @@ def trim_rows(
     short: str = "error", keep_idx: bool = False, rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """First ``rows`` rows of each run. A shorter run is an error, or kept as is (``short='keep'``)."""
-    trace = positions(df, key, order, rows_per_task=rows_per_task)
+    trace = positions(df, _trace_keys(df, key), order, rows_per_task=rows_per_task)
     kept = trace.where(_leading_rows(key, rows, short))
     return kept.select(*map(named, df.columns), *(["idx"] if keep_idx else []))
 
@@ -140,7 +145,7 @@ def prepare_cube(
     short: str = "error", rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Re-grid and trim from one numbering of the rows, keeping ``idx``."""
-    trace = positions(images, key, time, rows_per_task=rows_per_task)
+    trace = positions(images, _trace_keys(images, key), time, rows_per_task=rows_per_task)
     kept = trace.where(_leading_rows(key, rows, short))
     even = _even_time(key, time)
     return kept.select(*[even.alias(c) if c == time else named(c) for c in images.columns], "idx")

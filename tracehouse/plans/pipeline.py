@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracehouse.operators import exclusion, program
 from tracehouse.operators.quality import QualityError, require_rows, validate
-from tracehouse.operators.traces import image_stats
+from tracehouse.operators.traces import STATS_WAVELENGTH, image_stats
 from tracehouse.plans.catalogue import clean_catalogue
 from tracehouse.plans.register import load_register
 from tracehouse.plans.runs import registered_runs, sequences, stage_runs
@@ -17,7 +17,7 @@ from tracehouse.plans.warehouse import Warehouse
 from tracehouse.schemas import TABLES
 from tracehouse.sources import tables as sources
 from tracehouse.sources.sinks import write_parquet, write_table
-from tracehouse.sources.xml import read_pump_tables
+from tracehouse.sources.xml import pump_tables, read_methods
 
 logger = logging.getLogger(__name__)
 
@@ -48,10 +48,12 @@ def load_pump_tables(builder: _Builder, runs: DataFrame, composition: DataFrame,
     builder.add("solvprop_over_mins", program.solvent_program(timetables, solvcomps))
 
 
-def load_image_stats(builder: _Builder, images: DataFrame) -> DataFrame:
+def load_image_stats(builder: _Builder, images: DataFrame, extents: DataFrame) -> DataFrame:
+    """Statistics of the images' trace, with the wavelength extent of each file."""
     if "chm" not in builder.written:
         raise QualityError("image statistics need the chm table")
-    stats = image_stats(images, ["id", "path"])
+    trace = image_stats(images, ["id", "path"])
+    stats = trace.drop(*[c for c in extents.columns if c != "path"]).join(extents, "path")
     return builder.add("image_stats", stats.join(builder.written["chm"].select("id", "runid"), "id"))
 
 
@@ -79,13 +81,17 @@ def build_warehouse(
     build.add("st", register)
     write_parquet(unmatched, f"{out}/st_not_in_ct", overwrite=overwrite)
 
+    if check:
+        sources.require_same_schema(spark, sources.metadata_pattern(data_dir))
     loading = build.add("chm_loading", stage_runs(sources.read_run_metadata(spark, data_dir), order))
     build.add("sequences", sequences(loading))
     runs = build.add("chm", registered_runs(loading, build.written["st"]))
 
-    load_pump_tables(build, runs, *read_pump_tables(spark, data_dir))
+    write_parquet(read_methods(spark, data_dir), f"{out}/pump_methods", overwrite=overwrite)
+    load_pump_tables(build, runs, *pump_tables(spark.read.parquet(f"{out}/pump_methods")))
     gradients = program.run_gradients(require_rows(build.written["solvprop_over_mins"], "solvprop_over_mins"), False)
 
-    load_image_stats(build, sources.read_images(spark, data_dir))
+    images = sources.read_images(spark, data_dir, [STATS_WAVELENGTH])
+    load_image_stats(build, images, sources.image_extents(spark, data_dir))
     build.add("excluded", exclude_runs(runs, gradients, excluded))
     return Warehouse(spark, out, data_dir)

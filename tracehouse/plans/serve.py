@@ -16,7 +16,9 @@ from tracehouse.sources.tables import read_images
 OUTPUTS = ("cube", "pairs")
 
 
-def fetch_images(warehouse: Warehouse, runids: Sequence[str] | None = None) -> DataFrame:
+def fetch_images(
+    warehouse: Warehouse, runids: Sequence[str] | None = None, wavelengths: Sequence[str] | None = None
+) -> DataFrame:
     """Images of included runs with runid and path in front; excluded runs are silently absent.
 
     For listed runs only their files are opened. Otherwise the library is scanned once and joined
@@ -27,10 +29,10 @@ def fetch_images(warehouse: Warehouse, runids: Sequence[str] | None = None) -> D
         wanted = paths.where(F.col("runid").isin(list(runids)))
         # at most as many rows as the caller listed
         files = [row["data_path"] for row in wanted.select("data_path").collect()]
-        images = read_images(warehouse.spark, warehouse.lib_dir, files=files)
+        images = read_images(warehouse.spark, warehouse.lib_dir, wavelengths, files)
         paths = wanted
     else:
-        images = read_images(warehouse.spark, warehouse.lib_dir)
+        images = read_images(warehouse.spark, warehouse.lib_dir, wavelengths)
     keyed = images.join(paths.select("runid", F.col("data_path").alias("path")), "path")
     return keyed.select("runid", "path", *[named(c) for c in images.columns if c != "path"])
 
@@ -47,9 +49,7 @@ def get_data(
     if output not in OUTPUTS:
         raise ValueError(f"output must be one of {OUTPUTS}, got {output!r}")
     require_rows(warehouse.view("inc_chm"), "inc_chm")
-    images = fetch_images(warehouse, runids)
-    if wavelengths:
-        images = images.select("runid", "path", "id", "mins", *map(named, wavelengths))
+    images = fetch_images(warehouse, runids, wavelengths)
     metadata = warehouse.view("sample_metadata")
     if runids:
         metadata = metadata.where(F.col("runid").isin(list(runids)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,20 +41,29 @@ def read_register_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _local_path(uri: Column) -> Column:
+    """Path of a file as Spark's readers accept it, without the scheme of local files."""
+    return F.regexp_replace(uri, "^file:/*", "/")
+
+
 def _with_source(df: DataFrame) -> DataFrame:
-    return df.withColumn("path", F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/"))
+    return df.withColumn("path", _local_path(F.col("_metadata.file_path")))
 
 
-def read_run_metadata(spark: SparkSession, lib_dir: str) -> DataFrame:
-    """Metadata of all runs, ``<lib>/*/extract_*/metadata.parquet``, with the extract folder as path.
+def metadata_pattern(lib_dir: str) -> str:
+    return f"{lib_dir}/*/extract_*/metadata.parquet"
 
-    One scan with a fixed schema; a file of another schema fails its cast or shows nulls in the
-    not-null check.
-    """
-    pattern = f"{lib_dir}/*/extract_*/metadata.parquet"
-    declared = T._parse_datatype_string(schemas.RUN_METADATA_SOURCE)
-    _read(spark, pattern)  # listing only: fails early if no file is found
-    df = _with_source(spark.read.schema(declared).parquet(pattern))
+
+def image_pattern(lib_dir: str) -> str:
+    return f"{lib_dir}/*.D/extract_*/data.parquet"
+
+
+def read_run_metadata(spark: SparkSession, lib_dir: str) -> DataFrame:
+    """Metadata of all runs in one scan, as text, with the extract folder as path."""
+    raw = _read(spark, metadata_pattern(lib_dir))
+    columns = T._parse_datatype_string(schemas.RUN_METADATA_SOURCE).names
+    require_columns(raw, columns, "run metadata")
+    df = _with_source(raw).select(*[named(c).cast("string") for c in columns], "path")
     return df.withColumn("path", parent_dir(F.col("path")))
 
 
@@ -62,23 +71,29 @@ def read_images(
     spark: SparkSession, lib_dir: str, wavelengths: Sequence[str] | None = None,
     files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Wide images of all runs, ``<lib>/*.D/extract_*/data.parquet``, with their file as path.
+    """Wide images of all runs, with their file as path.
 
-    The first file's schema is taken for all unless ``wavelengths`` names the columns; ``files``
-    limits the scan to those files.
+    Without ``wavelengths`` the columns of all files are merged, which reads every footer; a run
+    has nulls where another run's wavelength is missing. ``files`` limits the scan to those files.
     """
-    pattern = f"{lib_dir}/*.D/extract_*/data.parquet"
-    schema = _read(spark, pattern).schema
-    if wavelengths is not None:
-        fields = ["id string", "mins double", *[f"`{w}` double" for w in wavelengths]]
-        schema = T._parse_datatype_string(",".join(fields))
     if files is not None and not files:
-        return spark.createDataFrame([], schema).withColumn("path", F.lit("").cast("string"))
-    return _with_source(spark.read.schema(schema).parquet(*(files or [pattern])))
+        kinds = ["id string", "mins double", *[f"`{w}` double" for w in wavelengths or ()], "path string"]
+        return spark.createDataFrame([], ",".join(kinds))
+    sources = list(files) if files else [image_pattern(lib_dir)]
+    try:
+        if wavelengths is None:
+            return _with_source(spark.read.option("mergeSchema", "true").parquet(*sources))
+        kinds = ["id string", "mins double", *[f"`{w}` double" for w in wavelengths]]
+        return _with_source(spark.read.schema(",".join(kinds)).parquet(*sources))
+    except AnalysisException as error:
+        raise QualityError(f"no images at {sources[0]}") from error
 
 
-def file_schemas(spark: SparkSession, pattern: str) -> DataFrame:
-    """Columns and types of each parquet file: (path, columns). Tasks read file footers only."""
+def file_columns(spark: SparkSession, pattern: str) -> DataFrame:
+    """Column names and types of each parquet file: (path, columns, types).
+
+    Tasks read the footers; the driver only lists the files.
+    """
 
     def footers(batches):
         import pandas as pd
@@ -86,22 +101,39 @@ def file_schemas(spark: SparkSession, pattern: str) -> DataFrame:
         import pyarrow.parquet as pq
 
         for batch in batches:
-            texts = []
-            for uri in batch["path"]:
+            found = []
+            for uri in batch["uri"]:
                 system, name = fs.FileSystem.from_uri(uri)
                 schema = pq.read_schema(name, filesystem=system)
-                texts.append(", ".join(f"{field.name} {field.type}" for field in schema))
-            yield pd.DataFrame({"path": batch["path"], "columns": texts})
-
-    files = spark.read.format("binaryFile").load(pattern).select(
-        F.regexp_replace("path", "^file:/+", "file:///").alias("path")
+                found.append((uri, schema.names, [str(t) for t in schema.types]))
+            yield pd.DataFrame(found, columns=["uri", "columns", "types"])
+
+    files = spark.read.format("binaryFile").load(pattern)
+    uris = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("uri"))
+    read = uris.mapInPandas(footers, "uri string, columns array<string>, types array<string>")
+    return read.select(_local_path(F.col("uri")).alias("path"), "columns", "types")
+
+
+def image_extents(spark: SparkSession, lib_dir: str) -> DataFrame:
+    """Per image file: first and last wavelength and number of columns, id and mins included."""
+    files = file_columns(spark, image_pattern(lib_dir))
+    names = F.col("columns")
+    return files.select(
+        "path",
+        F.element_at(names, 3).cast("double").cast("int").alias("nm_min"),
+        F.element_at(names, -1).cast("double").cast("int").alias("nm_max"),
+        F.size(names).alias("nm_count"),
+        (F.size(names) - 2).alias("n_wavelengths"),
     )
-    return files.mapInPandas(footers, "path string, columns string")
 
 
 def require_same_schema(spark: SparkSession, pattern: str) -> None:
     """Raise if the files differ in columns, their order or their types."""
-    kinds = file_schemas(spark, pattern).groupBy("columns").agg(F.min("path").alias("path"), F.count("*").alias("n"))
+    kinds = (
+        file_columns(spark, pattern)
+        .groupBy("columns", "types")
+        .agg(F.min("path").alias("path"), F.count("*").alias("n"))
+    )
     sample = kinds.orderBy(F.desc("n")).limit(3).collect()
     if len(sample) > 1:
         shown = "; ".join(f"{row['n']} files like {row['path']}: {row['columns']}" for row in sample)

@@ -72,15 +72,33 @@ def run_identity(folders: DataFrame, sequence: DataFrame, sample: DataFrame) ->
     return joined.select("run_dir", F.coalesce("__seq", "__smp", missing.cast("string")).alias("id"))
 
 
-def _table_rows(methods: DataFrame, where: str, table: Column, columns: Mapping[str, str], what: str) -> DataFrame:
-    """Rows of one pump table: the carried columns, idx from 0 and the named values as text."""
-    carried = [c for c in methods.columns if c != "__pump"]
+def parse_methods(documents: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> DataFrame:
+    """Rows of the two pump tables of each document: the ``ids``, ``composition``, ``timetable``.
+
+    They are the first and second table of the first section named ``Binary Pump``.
+    """
+    parsed = F.from_xml("xml", METHOD_SCHEMA)
+    sections = parsed["Doc"]["Content"]["MethodConfiguration"]["MethodDescription"]["Section"]["Section"]
+    pumps = F.filter(sections, lambda s: s["Name"] == PUMP_SECTION)
+    absent = F.raise_error(F.concat(F.lit(f"no section {PUMP_SECTION} in "), F.col(where)))
+    pump = F.coalesce(F.get(pumps, F.lit(0)), absent.cast(_SECTION))
+    tables = documents.select(*ids, pump["Table"].alias("__tables"))
+    return tables.select(
+        *ids,
+        F.get("__tables", F.lit(0))["Row"].alias("composition"),
+        F.get("__tables", F.lit(1))["Row"].alias("timetable"),
+    )
+
+
+def _table_rows(methods: DataFrame, ids: Sequence[str], table: str, columns: Mapping[str, str], where: str) -> DataFrame:
+    """One pump table as rows: the ids, idx from 0 and the named values as text."""
 
     def fail(problem: str) -> Column:
-        return F.raise_error(F.concat(F.lit(f"{what}: {problem} in "), F.col(where)))
+        return F.raise_error(F.concat(F.lit(f"{table}: {problem} in "), F.col(where)))
 
-    rows = F.when(F.size(F.coalesce(table, F.array())) > 0, table).otherwise(fail("no rows").cast(_ROWS))
-    exploded = methods.select(*carried, F.posexplode(rows).alias("idx", "__row"))
+    filled = F.size(F.coalesce(table, F.array())) > 0
+    rows = F.when(filled, F.col(table)).otherwise(fail("no rows").cast(_ROWS))
+    exploded = methods.select(*ids, F.posexplode(rows).alias("idx", "__row"))
     # empty values are absent ones
     values = F.map_from_entries(
         F.transform(
@@ -88,29 +106,19 @@ def _table_rows(methods: DataFrame, where: str, table: Column, columns: Mapping[
             lambda p: F.struct(F.lower(p["Name"]), F.nullif(p["Value"], F.lit(""))),
         )
     )
-    with_values = exploded.select(*carried, "idx", values.alias("__values"))
+    with_values = exploded.select(*ids, "idx", values.alias("__values"))
 
     def value(name: str) -> Column:
         present = F.map_contains_key("__values", F.lit(name))
         return F.when(present, F.col("__values")[name]).otherwise(fail(f"no column {name!r}").cast("string"))
 
-    return with_values.select(*carried, "idx", *[value(n).alias(c) for n, c in columns.items()])
+    return with_values.select(*ids, "idx", *[value(n).alias(c) for n, c in columns.items()])
 
 
-def pump_tables(documents: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> tuple[DataFrame, DataFrame]:
-    """(solvent composition, timetable) of documents that carry ``xml`` and the ``ids`` columns.
-
-    Both come from the first section named ``Binary Pump``: its first and second table.
-    """
-    parsed = F.from_xml("xml", METHOD_SCHEMA)
-    sections = parsed["Doc"]["Content"]["MethodConfiguration"]["MethodDescription"]["Section"]["Section"]
-    pumps = F.filter(sections, lambda s: s["Name"] == PUMP_SECTION)
-    absent = F.raise_error(F.concat(F.lit(f"no section {PUMP_SECTION} in "), F.col(where)))
-    pump = F.coalesce(F.get(pumps, F.lit(0)), absent.cast(_SECTION))
-    methods = documents.select(*ids, pump.alias("__pump"))
-    tables = F.col("__pump.Table")
-    composition = _table_rows(methods, where, F.get(tables, F.lit(0))["Row"], COMPOSITION_COLUMNS, "solvent composition")
-    timetable = _table_rows(methods, where, F.get(tables, F.lit(1))["Row"], TIMETABLE_COLUMNS, "timetable")
+def pump_tables(methods: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(solvent composition, timetable) of parsed methods, typed."""
+    composition = _table_rows(methods, ids, "composition", COMPOSITION_COLUMNS, where)
+    timetable = _table_rows(methods, ids, "timetable", TIMETABLE_COLUMNS, where)
     numbers = [F.col(c).cast("float").alias(c) for c in TIMETABLE_COLUMNS.values()]
     return (
         composition.withColumn("percent", F.col("percent").cast("float")),
@@ -118,13 +126,15 @@ def pump_tables(documents: DataFrame, ids: Sequence[str] = ("id",), where: str =
     )
 
 
-def read_pump_tables(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Pump tables of all run folders, with the run ids of their identity documents."""
+def read_methods(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Parsed pump tables of all run folders, with the run ids of their identity documents.
+
+    Write the result before deriving both tables from it: parsing is the cost.
+    """
     methods = read_documents(spark, data_dir, "acq.macaml")
     identity = run_identity(
         run_folders(methods),
         read_documents(spark, data_dir, "sequence.acam_", optional=True),
         read_documents(spark, data_dir, "sample.acaml", optional=True),
     )
-    documents = methods.join(identity, "run_dir")
-    return pump_tables(documents)
+    return parse_methods(methods.join(identity, "run_dir"))
