@@ -60,8 +60,8 @@ def _image(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _wide_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings with one column per dimension, named 200 to 263."""
     vectors = _table(spark, sf_dir, "embeddings")
-    cells = [F.col("embedding")[i].cast("double").alias(str(200 + i)) for i in range(64)]
-    return vectors.select("vec_id", "label", *cells)
+    cells = [f"double(embedding[{i}]) AS `{200 + i}`" for i in range(64)]
+    return vectors.selectExpr("vec_id", "label", *cells)
 
 
 def _timetables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,7 +457,7 @@ def matrix_columns_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = _wide_embeddings(spark, sf_dir).drop("vec_id")
     sums = traces.column_sums(wide, "label")
-    return _rounded(sums, *[c for c in sums.columns if c != "label"])
+    return sums.selectExpr("label", *[f"round(`{c}`, {DIGITS}) AS `{c}`" for c in sums.columns if c != "label"])
 
 
 @_query

@@ -170,7 +170,7 @@ def wide_to_array(df: DataFrame, ids: Sequence[str], value: str = "absorbance")
 def column_sums(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Sum of every wavelength column per run, in one pass over the wide image."""
     columns = list(columns or image_columns(df, [key, "id", "runid", "path", "mins"]))
-    return df.groupBy(key).agg(*[F.sum(named(c)).alias(c) for c in columns])
+    return df.groupBy(key).agg(*[F.expr(f"sum(`{c}`) AS `{c}`") for c in columns])
 
 
 def element_stats(df: DataFrame, array: str, position: str = "dim") -> DataFrame:
@@ -197,14 +197,17 @@ def cube(
     """Run x time x wavelength cube with every metadata field of the run beside its values.
 
     ``form='long'`` has a row per cell, ``'array'`` a row per time with an array over wavelengths.
+    If both inputs name the run's file in ``path``, they are joined by it: the numbered rows are
+    partitioned by file already, so the images are shuffled once in all.
     """
-    trimmed = prepare_cube(images, key, time, rows, short=short, rows_per_task=rows_per_task)
-    numeric = trimmed.drop(*[c for c in ("id", "path") if c in trimmed.columns])
-    ids = [key, "idx", time]
-    if form == "long":
-        values = wide_to_long(numeric, ids)
-    elif form == "array":
-        values = wide_to_array(numeric, ids)
-    else:
+    if form not in ("long", "array"):
         raise ValueError(f"form must be 'long' or 'array', got {form!r}")
-    return values.join(metadata, key)
+    by_path = "path" in images.columns and "path" in metadata.columns
+    trimmed = prepare_cube(images, key, time, rows, short=short, rows_per_task=rows_per_task)
+    unused = ["id"] if by_path else ["id", "path"]
+    numeric = trimmed.drop(*[c for c in unused if c in trimmed.columns])
+    ids = [key, "idx", time, *(["path"] if by_path else [])]
+    values = wide_to_long(numeric, ids) if form == "long" else wide_to_array(numeric, ids)
+    if by_path:
+        return values.join(metadata.drop(key), "path").drop("path")
+    return values.join(metadata.drop("path"), key)

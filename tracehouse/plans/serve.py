@@ -55,4 +55,5 @@ def get_data(
         metadata = metadata.where(F.col("runid").isin(list(runids)))
     if output == "pairs":
         return regrid_time(images, "runid"), metadata
-    return cube(images, metadata, rows=rows, form=form)
+    paths = warehouse.view("run_data_paths").select("runid", F.col("data_path").alias("path"))
+    return cube(images, metadata.join(paths, "runid"), rows=rows, form=form)

@@ -21,6 +21,8 @@ def local_session(cpus: int | str = "*", app: str = "tracehouse", **conf: str) -
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # plans with hundreds of columns: no call-site capture for each of their expressions
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
