@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,10 +22,12 @@ from tracehouse.functions.columns import quoted
 # A key below this many rows is sorted by one task.
 ROWS_PER_TASK = 4_000_000
 # A key is hot only above 1/MAX_HOT of all rows, so there are never more hot keys than this.
-MAX_HOT = 65_536
+MAX_HOT = 32_768
 
 SLICE = "__slice"
-MAX_CUTS = 8  # each cut divides a burst's span by at least its share of the rows
+PARTS = 32  # most slices made of one cell at a time
+MAX_CUTS = 8
+LABEL_WIDTH = 2
 _BYTES = 6  # bytes of a text that fit exactly in a double
 
 
@@ -66,57 +69,68 @@ def slice_hot_keys(
 ) -> tuple[DataFrame, bool]:
     """Add a slice label that rises with ``order`` and keeps every (key, slice) sortable by one task.
 
-    Cold keys keep the empty label. Hot ones are cut evenly by value; a slice that is still too
-    large (a burst) is cut again between its own bounds, until only equal values remain together.
-    At most ``MAX_HOT`` cells are hot at a time, so the cut points are collected and broadcast
-    within that bound.
+    Cold keys keep the empty label. Hot ones are cut at quantiles of their order values, so a burst
+    in time is divided like any other stretch; a slice that is still too large is cut again, until
+    only equal values remain together. Hot cells hold over 1/MAX_HOT of all rows each, which bounds
+    their number: their cut points are collected, so that every later use sees the same slices, and
+    broadcast.
     """
     keys = list(keys)
-    limit = hot_limit(df.groupBy(*keys).agg(F.count("*").alias("n")), rows_per_task)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    limit = hot_limit(counts, rows_per_task)
     sliced = df.withColumn(SLICE, F.lit(""))
     if limit is None:
         return sliced, False
 
-    kind = df.schema[order].dataType
-    for _ in range(MAX_CUTS):
-        cells = (
-            sliced.groupBy(*keys, SLICE)
+    spark, kind = df.sparkSession, df.schema[order].dataType
+    hot = counts.where(F.col("n") > limit).select(*keys)
+    hot = spark.createDataFrame(hot.collect(), hot.schema)
+    recent = sliced.join(F.broadcast(hot), same_keys(sliced, hot, keys), "left_semi")
+    for depth in range(1, MAX_CUTS + 1):
+        extents = (
+            recent.groupBy(*keys, SLICE)
             .agg(F.count("*").alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi"))
             .where((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
         )
-        found = cells.collect()  # at most MAX_HOT rows: each holds over 1/MAX_HOT of the total
+        found = extents.collect()
         if not found:
             break
-        schema = T.StructType(cells.schema.fields + [T.StructField("__skip", T.IntegerType())])
-        rows = [(*row, _shared_bytes(row["__lo"], row["__hi"])) for row in found]
-        cuts = df.sparkSession.createDataFrame(rows, schema)
-        skip = F.col("__skip")
-        low, high = _number(kind, F.col("__lo"), skip), _number(kind, F.col("__hi"), skip)
-        cuts = cuts.select(
-            *keys,
-            SLICE,
-            skip,
-            low.alias("__low"),
-            (high - low).cast("double").alias("__span"),
-            (F.ceil(F.col("__n") / limit) * 2).alias("__parts"),
+        parts = {tuple(r[: len(keys) + 1]): min(PARTS, 2 * ceil(r["__n"] / limit)) for r in found}
+        cells = spark.createDataFrame(
+            [(*r[: len(keys) + 1], _shared_bytes(r["__lo"], r["__hi"])) for r in found],
+            T.StructType(extents.schema.fields[:-3] + [T.StructField("__skip", T.IntegerType())]),
         )
-        offset = (_number(kind, F.col(order), skip) - F.col("__low")).cast("double")
-        share = F.try_divide(offset, F.col("__span"))
-        part = F.least(F.floor(share * F.col("__parts")), F.col("__parts") - 1)
-        label = F.concat(F.col("__label"), F.lpad(F.coalesce(part, F.lit(0)).cast("string"), 6, "0"))
-        renamed = sliced.withColumnRenamed(SLICE, "__label")
-        matched = renamed.join(
-            F.broadcast(cuts),
-            same_keys(renamed, cuts, keys) & (renamed["__label"] == cuts[SLICE]),
-            "left",
+        number = _number(kind, F.col(order), F.col("__skip")).cast("double")
+        fractions = [i / PARTS for i in range(1, PARTS)]
+        quantiles = (
+            _with_cell(recent, cells, keys, "inner")
+            .groupBy(*keys, SLICE, "__skip")
+            .agg(F.percentile_approx(number, fractions).alias("__cuts"))
         )
-        sliced = matched.select(
-            *[renamed[quoted(c)] for c in df.columns],
-            F.when(F.col("__parts").isNotNull(), label).otherwise(F.col("__label")).alias(SLICE),
+        cuts = []
+        for row in quantiles.collect():
+            cell = tuple(row[: len(keys) + 1])
+            wanted = [PARTS * i // parts[cell] - 1 for i in range(1, parts[cell])]
+            cuts.append((*row[:-1], [row["__cuts"][i] for i in wanted]))
+        cuts = spark.createDataFrame(cuts, quantiles.schema)
+        part = F.size(F.filter("__cuts", lambda cut: cut <= number))
+        label = F.concat(F.col(SLICE), F.lpad(part.cast("string"), LABEL_WIDTH, "0"))
+        sliced = _with_cell(sliced, cuts, keys, "left").select(
+            *[F.col(quoted(c)) for c in df.columns],
+            F.when(F.col("__cuts").isNotNull(), label).otherwise(F.col(SLICE)).alias(SLICE),
         )
+        recent = sliced.where(F.length(SLICE) == LABEL_WIDTH * depth)
     return sliced, True
 
 
+def _with_cell(rows: DataFrame, cells: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows with the further columns of their cell. The cells are few, see ``slice_hot_keys``."""
+    condition = same_keys(rows, cells, [*keys, SLICE])
+    further = [c for c in cells.columns if c not in (*keys, SLICE)]
+    joined = rows.join(F.broadcast(cells), condition, how)
+    return joined.select(*[rows[quoted(c)] for c in rows.columns], *[cells[c] for c in further])
+
+
 def positions(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -152,7 +166,8 @@ def positions(
     if not hot:
         return numbered.drop(SLICE)
 
-    # one row per slice of a hot key: at most a few times MAX_HOT rows
+    # one row per slice of a hot key: at most a few times MAX_HOT rows, as cells are cut in
+    # proportion to their rows
     summary = [
         F.count("*").alias("__n"),
         F.min(by).alias("__first"),
