@@ -80,3 +80,12 @@ def test_token_set_ratio_by_hand(spark):
 def test_canonical_tokens(spark):
     row = spark.range(1).select(canonical_tokens(F.lit("  The-old  VINE, the vine_2 é ")).alias("c")).first()
     assert row["c"] == "old the vine vine_2 é"
+
+
+def test_positions_keep_their_type(spark):
+    big = 2**53
+    lf = spark.createDataFrame([("old vine",), ("none",)], "l string")
+    rf = spark.createDataFrame([(big + 1, "vine old"), (big, "Old Vine!"), (big + 2, "old")], "pos long, r string")
+    assert {r["l"]: r["match"] for r in best_match(lf, rf, "l", "r", "pos").collect()}["old vine"] == "Old Vine!"
+    dated = rf.withColumn("pos", F.col("pos").cast("string"))
+    assert best_match(lf, dated, "l", "r", "pos").where("l = 'old vine'").first()["score"] == 100

@@ -40,6 +40,11 @@ def test_every_table_and_view_exists(spark, warehouse):
     assert {"st_not_in_ct", "gradients", "counts_per_gradient", "inc_chm", "inc_img_stats", "run_data_paths"} <= names
 
 
+def test_tables_describe_themselves(warehouse):
+    kinds = {(r["table"], r["column"]): r["type"] for r in warehouse.describe().collect()}
+    assert kinds["st", "size"] == "float" and kinds["chm", "acq_date"] == "timestamp_ntz"
+
+
 def test_catalogue_names_are_cleaned(warehouse):
     wines = _values(warehouse.table("ct"), "wine_key", "varietal")
     assert wines == [

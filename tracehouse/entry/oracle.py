@@ -295,6 +295,7 @@ SELECT floor(l_quantity / 5) * 5 AS bin, count(*) AS count FROM lineitem GROUP B
     "score_percent": """
 SELECT l_quantity, count(l_quantity) * 100 / (SELECT count(*) FROM lineitem) AS count_perc
 FROM lineitem WHERE l_quantity > 20 GROUP BY l_quantity""",
+    "top_rows": "SELECT * FROM lineitem ORDER BY ALL DESC LIMIT 5",
     "bool_and_check": "SELECT bool_and(l_quantity > 0) AS all_positive FROM lineitem",
     "count_report": """
 SELECT 'total' AS metric, count(*)::double AS value FROM lineitem

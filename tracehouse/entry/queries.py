@@ -618,6 +618,11 @@ def score_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.percent_of_total(lines, "l_quantity", F.col("l_quantity") > 20)
 
 
+@_query
+def top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_rows(_table(spark, sf_dir, "lineitem"), 5)
+
+
 @_query
 def bool_and_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.all_true(_table(spark, sf_dir, "lineitem"), F.col("l_quantity") > 0, "all_positive")

@@ -9,6 +9,7 @@ earlier one on a tie. Comparing all pairs is avoided exactly, without caps:
   high character ratio implies a shared element among the rarest (letter, occurrence) pairs of both;
 * the texts of one signature are compared inside the task, best upper bound first, stopping once no
   bound can win; only the best right text of each left one leaves the task, never the pairs;
+* a pair that shares several signatures is compared under the first of them only;
 * a signature held by many texts is dealt out as a grid of bounded blocks.
 
 A low ``min_score`` makes signatures less selective and the work grows towards all pairs;
@@ -18,19 +19,22 @@ the result stays exact.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tracehouse.functions.scoring import canonical_tokens, combined, ratio
 
 BLOCK = 2_000  # texts of one side compared by one task at a time
 _BINS = 64
-_BEST_COLUMNS = ["canon", "score", "position", "match"]
+_BLOCK = ("sig", "l", "r")
 # Fixed value: letters from rare to common. Only the amount of work depends on it.
 _RARE_TO_COMMON = "zqxjkvbpygfwmucldrhsnioate"
 
@@ -63,29 +67,52 @@ def _rare_elements(text: str, share: float) -> list[str]:
     return [f"{char}{-occurrence}" for occurrence, _, char in elements[:keep]]
 
 
-def signatures(side: str, min_score: int):
-    """Arrow UDF: the signatures under which a text of one side is compared."""
+def _shared_part(min_score: int) -> float:
+    """Least shared part of a text in a pair that reaches ``min_score``."""
     ratio_needed = _threshold(min_score)
-    share = ratio_needed / (2 - ratio_needed)  # shared part of a text at that ratio
+    return ratio_needed / (2 - ratio_needed)
+
+
+def _signatures(text: str, side: str, share: float) -> list[str]:
+    """Signatures of a text of one side: of its long tokens, of all tokens, of its rare elements."""
+    some, every = _long_tokens(text, share), text.split()
+    by_left, by_right = (some, every) if side == "left" else (every, some)
+    found = [f"l:{t}" for t in by_left] + [f"r:{t}" for t in by_right]
+    return found + [f"c:{e}" for e in _rare_elements(text, share)]
+
+
+def _precedence(signature: str) -> tuple:
+    """Total order of signatures, the same for both sides, with the selective ones first."""
+    kind, value = signature[0], signature[2:]
+    if kind == "c":
+        char, occurrence = value[0], int(value[1:])
+        return (1, -occurrence, _RARE_TO_COMMON.find(char), char)
+    return (0, -len(value), value, kind)
+
+
+def signature_arrays(side: str, min_score: int):
+    """Arrow UDF: the signatures under which the texts of one side are compared."""
+    share = _shared_part(min_score)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def of(texts: pd.Series) -> pd.Series:
-        def one(text: str) -> list[str]:
-            some, every = _long_tokens(text, share), text.split()
-            by_left, by_right = (some, every) if side == "left" else (every, some)
-            return (
-                [f"l:{t}" for t in by_left]
-                + [f"r:{t}" for t in by_right]
-                + [f"c:{e}" for e in _rare_elements(text, share)]
-            )
-
-        return texts.map(one)
+        return texts.map(lambda text: _signatures(text, side, share))
 
     return of
 
 
+def _earlier_holders(texts: list[str], signature: str, share: float) -> dict[str, np.ndarray]:
+    """Right texts of each signature that precedes the block's."""
+    limit, held = _precedence(signature), {}
+    for at, text in enumerate(texts):
+        for other in _signatures(text, "right", share):
+            if _precedence(other) < limit:
+                held.setdefault(other, []).append(at)
+    return {other: np.array(rows) for other, rows in held.items()}
+
+
 def _letter_counts(texts: list[str]) -> np.ndarray:
-    counts = np.zeros((len(texts), _BINS), dtype=np.int16)
+    counts = np.zeros((len(texts), _BINS), dtype=np.int32)
     for row, text in enumerate(texts):
         np.add.at(counts[row], np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) % _BINS, 1)
     return counts
@@ -100,31 +127,43 @@ def _shared_lengths(text: str, lengths: np.ndarray, holders: dict[str, np.ndarra
     return np.maximum(shared - 1, 0)
 
 
-def _best_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Best right text of each left text within one block, as (canon, score, position, match)."""
-    if left.empty or right.empty:
-        return pd.DataFrame(columns=_BEST_COLUMNS)
-    right = right.sort_values("position", kind="stable")
-    texts, places = right["canon"].tolist(), right["position"].tolist()
-    names = right["match"].tolist()
-    counts, lengths = _letter_counts(texts), np.array([len(t) for t in texts])
+def _token_holders(texts: list[str]) -> dict[str, np.ndarray]:
     held: dict[str, list[int]] = {}
     for at, text in enumerate(texts):
         for token in text.split():
             held.setdefault(token, []).append(at)
-    holders = {token: np.array(rows) for token, rows in held.items()}
+    return {token: np.array(rows) for token, rows in held.items()}
+
+
+def _best_in_block(left: list[str], right: list[tuple], signature: str, share: float) -> list[tuple]:
+    """Best right text of each left text within one block, as (canon, score, position, match).
+
+    ``right`` holds (position, canon, match). A pair that shares several signatures is compared
+    under the first of them only.
+    """
+    right = sorted(right)
+    places, texts, names = (list(column) for column in zip(*right))
+    counts, lengths = _letter_counts(texts), np.array([len(t) for t in texts])
+    holders, earlier = _token_holders(texts), _earlier_holders(texts, signature, share)
+    order = np.arange(len(texts))
     rows = []
-    for text, own in zip(left["canon"], _letter_counts(left["canon"].tolist())):
+    for text, own in zip(left, _letter_counts(left)):
+        here = np.ones(len(texts), dtype=bool)
+        for other in _signatures(text, "left", share):
+            if other in earlier:
+                here[earlier[other]] = False
+        if not here.any():
+            continue
         # the shared tokens begin both combined texts, so their ratios need no alignment
         shared = _shared_lengths(text, lengths, holders)
         shorter = np.minimum(lengths, len(text))
-        scores = np.rint(100 * (2.0 * shared / (shared + shorter))).astype(int)
+        scores = np.where(here, np.rint(100 * (2.0 * shared / (shared + shorter))), -1).astype(int)
         at = int(scores.argmax())
         best = int(scores[at])
         # letters in common bound the aligned ratio; candidates come by bound, then by place
         common = np.minimum(own, counts).sum(axis=1)
         bounds = np.rint(100 * (2.0 * common / (lengths + len(text)))).astype(int)
-        open_ = np.flatnonzero((bounds > best) | ((bounds == best) & (np.arange(len(texts)) < at)))
+        open_ = np.flatnonzero(here & ((bounds > best) | ((bounds == best) & (order < at))))
         for candidate in open_[np.lexsort((open_, -bounds[open_]))]:
             bound = bounds[candidate]
             if bound < best:
@@ -137,7 +176,25 @@ def _best_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
                 best, at = score, int(candidate)
         if best > 0:
             rows.append((text, best, places[at], names[at]))
-    return pd.DataFrame(rows, columns=_BEST_COLUMNS)
+    return rows
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str], list[tuple]]]:
+    """(signature, left texts, right texts) of each block of a sorted partition, one at a time."""
+    current, left, right = None, [], []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in (*_BLOCK, "canon", "position", "match", "is_right")]
+        for sig, l, r, canon, position, match, is_right in zip(*columns):
+            if (sig, l, r) != current:
+                if left and right:
+                    yield current[0], left, right
+                current, left, right = (sig, l, r), [], []
+            if is_right:
+                right.append((position, canon, match))
+            else:
+                left.append(canon)
+    if left and right:
+        yield current[0], left, right
 
 
 def _block_counts(left: DataFrame, right: DataFrame, block: int) -> DataFrame:
@@ -187,7 +244,7 @@ def best_match(
     )
 
     def signed(texts: DataFrame, side: str) -> DataFrame:
-        sigs = F.array_distinct(signatures(side, min_score)("canon"))
+        sigs = F.array_distinct(signature_arrays(side, min_score)("canon"))
         return texts.withColumn("sig", F.explode(sigs))
 
     left_sigs, right_sigs = signed(left_texts, "left"), signed(right_texts, "right")
@@ -197,10 +254,24 @@ def best_match(
 
     position = right_texts.schema["position"].dataType.simpleString()
     schema = f"canon string, score int, position {position}, match string"
+    share = _shared_part(min_score)
+
+    kinds = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def best_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for signature, texts, candidates in _blocks(batches):
+            rows = _best_in_block(texts, candidates, signature, share)
+            if rows:
+                columns = [pa.array(values, kind.type) for values, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+
+    stacked = one.withColumn("is_right", F.lit(False)).unionByName(
+        two.withColumn("is_right", F.lit(True)), allowMissingColumns=True
+    )
+    # few bytes, much work: a given number of tasks keeps AQE from merging them
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
-        one.groupBy("sig", "l", "r")
-        .cogroup(two.groupBy("sig", "l", "r"))
-        .applyInPandas(_best_in_block, schema)
+        stacked.repartition(tasks, *_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(best_of_blocks, schema)
     )
     best = found.groupBy("canon").agg(
         F.min(F.struct((-F.col("score")).alias("rank"), "position", "match")).alias("best")

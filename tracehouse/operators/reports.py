@@ -20,3 +20,20 @@ def percent_of_total(
     shown = df if where is None else df.where(where)
     counts = shown.groupBy(column).agg(F.count(column).alias("__n"))
     return counts.select(column, (F.col("__n") * 100 / total).alias(name))
+
+
+def top_rows(df: DataFrame, rows: int, columns: list[str] | None = None) -> DataFrame:
+    """Largest rows by the given columns, by default all from the left. Each task keeps that many."""
+    return df.orderBy(*[F.desc(c) for c in (columns or df.columns)]).limit(rows)
+
+
+def describe_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """Columns of several tables, stacked: (table, place, column, type, nullable, comment)."""
+    rows = [
+        (name, place, f.name, f.dataType.simpleString(), f.nullable, f.metadata.get("comment"))
+        for name, df in tables.items()
+        for place, f in enumerate(df.schema.fields)
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    kinds = "table string, place int, column string, type string, nullable boolean, comment string"
+    return spark.createDataFrame(rows, kinds)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracehouse.operators import exclusion, program
 from tracehouse.operators.quality import QualityError
+from tracehouse.operators.reports import describe_tables
 from tracehouse.plans import runs
 from tracehouse.schemas import TABLES
 
@@ -48,12 +49,23 @@ class Warehouse:
             return runs.run_metadata(*tables)
         raise ValueError(f"unknown view {name!r}; there are {VIEWS}")
 
-    def register_views(self) -> None:
-        """Make every table and view available to SQL."""
+    def tables(self) -> dict[str, DataFrame]:
+        """The tables that were written, by name."""
+        found = {}
         for name in (*TABLES, "st_not_in_ct"):
             try:
-                self.table(name).createOrReplaceTempView(name)
+                found[name] = self.table(name)
             except QualityError:
-                continue  # transient tables are not kept
+                continue  # intermediate forms are not all written
+        return found
+
+    def register_views(self) -> None:
+        """Make every table and view available to SQL."""
+        for name, table in self.tables().items():
+            table.createOrReplaceTempView(name)
         for name in VIEWS:
             self.view(name).createOrReplaceTempView(name)
+
+    def describe(self) -> DataFrame:
+        """Columns of every table."""
+        return describe_tables(self.tables())
