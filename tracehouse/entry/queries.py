@@ -237,9 +237,8 @@ def normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = F.col("html")
     pages = _table(spark, sf_dir, "pages")
-    return pages.select("page_id", F.when(html.contains("&"), text.html_unescape(html)).otherwise(html).alias("html"))
+    return pages.select("page_id", text.html_unescape(F.col("html")).alias("html"))
 
 
 @_query

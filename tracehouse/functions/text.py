@@ -65,8 +65,12 @@ def _unescape_batch(texts: pd.Series) -> pd.Series:
 
 
 def html_unescape(col: Column) -> Column:
-    """Resolve HTML entities. All named entities are covered, so this one needs Python."""
-    return _unescape_batch(col)
+    """Resolve HTML entities. All named entities are covered, so this one needs Python.
+
+    A condition around a Python function does not keep rows from it, so texts without an ampersand
+    are sent as nulls and taken from the column itself.
+    """
+    return F.coalesce(_unescape_batch(F.when(col.contains("&"), col)), col)
 
 
 def concat_skip_null(cols: Iterable[Column | str]) -> Column:

@@ -15,11 +15,9 @@ OUTPUTS = ("df", "parquet", "table")
 
 def clean_catalogue(raw: DataFrame, name_order: str = "quotes_first") -> DataFrame:
     """Lower-case, trimmed columns; the name freed of entities, quotes and accents; a text key."""
-    # Python sees only the names that can hold an entity
-    name = F.when(F.col("Wine").contains("&"), html_unescape(F.col("Wine"))).otherwise(F.col("Wine"))
     columns = {c.lower(): trim_lower(F.col(c)) for c in CATALOGUE_SOURCE}
     columns["vintage"] = F.col("Vintage").cast("int")
-    columns["wine"] = normalise_name(name, name_order)
+    columns["wine"] = normalise_name(html_unescape(F.col("Wine")), name_order)
     cleaned = raw.select(*[c.alias(n) for n, c in columns.items()])
     keyed = cleaned.withColumn("wine_key", F.concat_ws(" ", F.col("vintage").cast("string"), "wine"))
     return keyed.select(*TABLES["ct"].column_names)

@@ -49,8 +49,10 @@ def _existing_runs(spark: SparkSession, path: str, key: str) -> DataFrame | None
         return None
 
 
-def write_runs(df: DataFrame, path: str, key: str = "runid", overwrite: bool = False) -> None:
-    """Land runs, one folder per run, replacing only the runs that are written.
+def write_runs(
+    df: DataFrame, path: str, key: str = "runid", overwrite: bool = False, order: str = "mins"
+) -> None:
+    """Land runs, one folder per run in time order, replacing only the runs that are written.
 
     A run that is there already is an error unless ``overwrite``. Rows are rebalanced by run, and
     AQE splits a run that is too large for one task.
@@ -64,6 +66,7 @@ def write_runs(df: DataFrame, path: str, key: str = "runid", overwrite: bool = F
             raise QualityError(f"runs exist already, e.g. {[row[0] for row in clash]}; use overwrite")
     (
         df.hint("rebalance", key)
+        .sortWithinPartitions(key, order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
