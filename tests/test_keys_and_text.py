@@ -105,3 +105,18 @@ def test_surrogate_key_is_dense_and_repeatable(spark):
     for limit in (10_000, 20):
         rows = keys.surrogate_key(df, "k", rows_per_task=limit).collect()
         assert {(r["pk"], r["k"]) for r in rows} == {(i + 1, i) for i in range(500)}
+
+
+def test_local_time_ignores_the_session_zone(spark):
+    from tracehouse.functions.times import local_micros
+
+    # 2023-03-12 02:30 does not exist in New York, yet lies between its neighbours
+    times = ["2023-03-12 01:59:59.5", "2023-03-12 02:30:00", "2023-03-12 03:00:00.000001"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = _apply(spark, lambda c: local_micros(c.cast("timestamp_ntz")), times)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    start = int(dt.datetime(2023, 3, 12, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    assert [g - start for g in got] == [7_199_500_000, 9_000_000_000, 10_800_000_001]

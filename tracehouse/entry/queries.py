@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracehouse.functions import text
+from tracehouse.functions.times import local_micros
 from tracehouse.operators import exclusion, filters, keys, matching, program, quality, reports, reshape, traces
 from tracehouse.plans import catalogue, reconcile, register, runs
 from tracehouse.schemas import ForeignKey
@@ -40,7 +41,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def _minutes(ts: Column) -> Column:
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", start, ts) / F.lit(6e7)
+    return (local_micros(ts) - local_micros(start)) / F.lit(6e7)
 
 
 def _trace(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracehouse.functions.columns import quoted
+from tracehouse.functions.times import local_micros
 
 # A key below this many rows is sorted by one task.
 ROWS_PER_TASK = 4_000_000
@@ -50,8 +51,7 @@ def _number(kind: T.DataType, value: Column, skip: Column) -> Column:
         raw = F.substring(F.encode(value, "utf-8"), skip + 1, F.lit(_BYTES))
         return F.conv(F.rpad(F.hex(raw), 2 * _BYTES, "0"), 16, 10).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", start, value)
+        return local_micros(value)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value)
     return value
