@@ -49,7 +49,7 @@ class Stage:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
         self.written = 0
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -57,13 +57,19 @@ class Stage:
         self.written += 1
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = path
+        self.paths[id(back)] = (back, path)
         return back
 
+    def passed_on(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """``new`` reads the table of ``old`` and is dropped in its place."""
+        self.paths[id(new)] = (new, self.paths.pop(id(old))[1])
+        return new
+
     def drop(self, *frames: DataFrame | None) -> None:
         for frame in frames:
-            path = self.paths.pop(id(frame), None)
-            if path is not None:
+            held = self.paths.pop(id(frame), None)
+            if held is not None:
+                path = held[1]
                 target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
                 conf = self.spark.sparkContext._jsc.hadoopConfiguration()
                 target.getFileSystem(conf).delete(target, True)
