@@ -59,7 +59,7 @@ def super_minhash(elements: np.ndarray, registers: int = REGISTERS) -> np.ndarra
             # registers above this step can still improve; none can once all hold earlier steps
             if int(values.max() >> np.uint64(32)) < step:
                 break
-            drawn = mix(block + _STEP * np.uint64(step + 1))
+            drawn = mix(block + np.uint64((int(_STEP) * (step + 1)) % (1 << 64)))
             fraction = drawn & _LOW
             pick = (((drawn >> np.uint64(32)) * np.uint64(registers - step)) >> np.uint64(32)).astype(np.int64) + step
             if step == 0:
