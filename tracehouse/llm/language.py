@@ -43,17 +43,18 @@ def learn_profiles(
     labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = PER_LANGUAGE
 ) -> dict[str, list[str]]:
     """Profiles by language. One row a language and its n-grams come to the driver, nothing else."""
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).withColumn("__h", F.xxhash64(key))
-    order = Window.partitionBy(lang).orderBy("__h")
+    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    rows = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("__h"))
+    order = Window.partitionBy("lang").orderBy("__h")
     cuts = (
-        rows.select(lang, "__h")
+        rows.select("lang", "__h")
         .withColumn("__n", F.row_number().over(order))
         .where(F.col("__n") <= per_language)
-        .groupBy(lang)
+        .groupBy("lang")
         .agg(F.max("__h").alias("__cut"))
     )
     # one row a language
-    sample = rows.join(F.broadcast(cuts), lang).where(F.col("__h") <= F.col("__cut")).select(lang, text)
+    sample = rows.join(F.broadcast(cuts), "lang").where(F.col("__h") <= F.col("__cut")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter[str]] = {}

@@ -259,7 +259,8 @@ def learn_quality(
         own = own.orderBy(F.xxhash64("__id"), "__id").limit(per_class)
         chosen = own if chosen is None else chosen.unionByName(own)
     # at most 2·per_class rows
-    sample = docs.join(F.broadcast(chosen), F.col(key) == F.col("__id")).select("quality", F.col(text).alias("text"))
+    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))
+    sample = texts.join(F.broadcast(chosen), F.col("__key") == F.col("__id")).select("quality", "text")
     rows = _features_frame(sample).limit(4 * per_class).collect()
     rows.sort(key=lambda r: (r["quality"], r["bins"]))
     texts = [

@@ -33,13 +33,13 @@ EPS = 1e-9
 
 
 def source_targets(sizes: DataFrame, *, source: str = "source", size: str = "size") -> DataFrame:
-    """One row a source: ``source``, ``source_size``, ``n_docs``, ``target``.
+    """One row a source: ``source``, ``source_size``, ``__n_docs``, ``target``.
 
     Shares above MOST times a source's size are handed on by weight until none is above: with the level
     v at which sources that are not full stand, a target is min(MOST·size, v·weight). Sources fill up in
     the order of size over weight, so v follows from sums over that order.
     """
-    by_source = sizes.groupBy(source).agg(F.sum(size).alias("source_size"), F.count("*").alias("n_docs"))
+    by_source = sizes.groupBy(source).agg(F.sum(size).alias("source_size"), F.count("*").alias("__n_docs"))
     # windows over one row a source
     place = F.row_number().over(Window.orderBy(F.col(source).asc_nulls_last())) - 1
     weights = F.array(*[F.lit(float(w)) for w in WEIGHTS])
@@ -61,7 +61,7 @@ def source_targets(sizes: DataFrame, *, source: str = "source", size: str = "siz
     level = F.max(F.when(F.col("__level") * F.col("__w") <= F.col("__most"), F.col("__level"))).over(everything)
     return filled.withColumn(
         "target", F.coalesce(F.least(F.col("__most"), level * F.col("__w")), F.col("__most"))
-    ).select(source, "source_size", "n_docs", "target")
+    ).select(source, "source_size", "__n_docs", "target")
 
 
 def fly(size: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -129,14 +129,14 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
     targets = stage(source_targets(sized, source=source))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = sized.join(targets, sized[source].eqNullSafe(targets[source])).drop(targets[source])
-    spread = F.pmod(F.xxhash64(F.col(key), F.col("size"), F.lit(SEED)), F.ceil(F.col("n_docs") / BLOCK))
+    spread = F.pmod(F.xxhash64(F.col(key), F.col("size"), F.lit(SEED)), F.ceil(F.col("__n_docs") / BLOCK))
     undecided = (
         joined.withColumn("__e", expected)
         .withColumn("__whole", F.floor(F.col("__e") + EPS).cast("long"))
         .withColumn("__p", F.greatest(F.lit(0.0), F.col("__e") - F.col("__whole")))
         .withColumn("__order", F.xxhash64(F.col(key), F.lit(SEED + 1)))
         .withColumn("__block", spread)
-        .drop("__e", "n_docs")
+        .drop("__e", "__n_docs")
     )
     schema = T.StructType([f for f in undecided.schema])
 
