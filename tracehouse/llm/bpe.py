@@ -65,6 +65,8 @@ class PairIndex:
 
     def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each piece (bytes, not empty)."""
+        if not pieces:
+            return []
         width, rank = self.width, self.rank
         symbol: list[int] = []
         starts: list[int] = []
