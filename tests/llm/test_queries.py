@@ -12,6 +12,7 @@ from tracehouse.llm.oracle import ORACLE
 from tracehouse.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
+LABELLED = "/root/testdata/sf0.01"  # enough labels to learn from
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -50,9 +51,9 @@ def test_stages(spark, tmp_path):
 
 
 def test_quality_stage_keeps_good_texts(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
-    kept = corpus_pipeline.quality(spark, docs, SMALL).select("doc_id").withColumn("kept", F.lit(1))
+    docs = spark.read.parquet(f"{LABELLED}/documents.parquet")
+    labels = spark.read.parquet(f"{LABELLED}/labels.parquet")
+    kept = corpus_pipeline.quality(spark, docs, LABELLED).select("doc_id").withColumn("kept", F.lit(1))
     shares = labels.join(kept, "doc_id", "left").groupBy("quality").agg(F.count("kept") / F.count("*")).collect()
     share = {r[0]: r[1] for r in shares}
     assert share[1] >= 0.97 and share[0] <= 0.1
