@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 import random
 
 import pytest
@@ -44,3 +45,43 @@ def test_one_shuffle_of_the_rows_when_nothing_is_hot(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
     plan = positions(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window") == 1
+
+
+def _cases(kind):
+    rng = random.Random(len(kind))
+    day = dt.date(2024, 1, 1)
+    make = {
+        "date": lambda i: day + dt.timedelta(days=i % 90),
+        "decimal(12,3)": lambda i: decimal.Decimal(i % 400) / 8,
+        "double": lambda i: float("nan") if i % 7 == 0 else (i % 300) * 0.25 - 9,
+        "boolean": lambda i: i % 3 == 0,
+        "binary": lambda i: bytes([7, 7, 7, i % 5, i % 256]),
+        "string": lambda i: f"prefix-{i % 37:04d}é",
+        "timestamp": lambda i: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=i % 50),
+        "int": lambda i: 5,
+    }[kind]
+    rows = [("hot", None if i % 4 == 1 else make(i), rng.randrange(3), i) for i in range(700)]
+    rows += [("null", None, i % 3, i) for i in range(200)] + [("cold", make(i), 0, i) for i in range(20)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["date", "decimal(12,3)", "double", "boolean", "binary", "string", "timestamp", "int"])
+def test_nulls_ties_and_types_give_one_answer_at_every_size(spark, kind):
+    df = spark.createDataFrame(_cases(kind), f"k string, t {kind}, u int, i int")
+    plain = positions(df, "k", ["t", "u", "i"], dense=True)
+    sliced = positions(df, "k", ["t", "u", "i"], dense=True, rows_per_task=40)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, sliced.collect()))
+    cut, hot = slice_hot_keys(df, ["k"], ["t", "u", "i"], 40)
+    assert hot and cut.groupBy("k", SLICE).count().agg(F.max("count")).first()[0] <= 40
+
+
+def test_unordered_types_fail_at_every_size(spark):
+    df = spark.createDataFrame([("a", [1])], "k string, t array<int>")
+    with pytest.raises(TypeError):
+        positions(df, "k", "t")
+
+
+def test_a_known_count_starts_no_job(spark):
+    df = spark.range(100).select(F.raise_error(F.lit("was read")).cast("int").alias("k"), F.col("id").alias("t"))
+    positions(df, "k", "t", most_rows=1000)

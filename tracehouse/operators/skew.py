@@ -47,80 +47,127 @@ def hot_limit(counts: DataFrame, rows_per_task: int) -> int | None:
 
 def _number(kind: T.DataType, value: Column, skip: Column) -> Column:
     """Number that rises with an order value; for text, from the bytes behind ``skip`` shared ones."""
-    if isinstance(kind, T.StringType):
-        raw = F.substring(F.encode(value, "utf-8"), skip + 1, F.lit(_BYTES))
-        return F.conv(F.rpad(F.hex(raw), 2 * _BYTES, "0"), 16, 10).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        raw = F.encode(value, "utf-8") if isinstance(kind, T.StringType) else value
+        return F.conv(F.rpad(F.hex(F.substring(raw, skip + 1, F.lit(_BYTES))), 2 * _BYTES, "0"), 16, 10).cast("double")
     if isinstance(kind, T.TimestampNTZType):
         return local_micros(value)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value)
+    if isinstance(kind, T.BooleanType):
+        return value.cast("int")
     return value
 
 
+_ORDERED = (T.NumericType, T.StringType, T.BinaryType, T.TimestampNTZType, T.TimestampType, T.DateType, T.BooleanType)
+
+
+def _require_ordered(df: DataFrame, order: Sequence[str]) -> None:
+    """Fail on every path alike, rather than only once a key is large."""
+    for name in order:
+        kind = df.schema[name].dataType
+        if not isinstance(kind, _ORDERED):
+            raise TypeError(f"cannot order by {name} of type {kind.simpleString()}")
+
+
 def _shared_bytes(low, high) -> int:
     """Length of the common beginning of two texts, which all texts between them share."""
-    if not isinstance(low, str):
+    if not isinstance(low, (str, bytes, bytearray)):
         return 0
-    return len(commonprefix([low.encode(), high.encode()]))
+    low, high = (x.encode() if isinstance(x, str) else bytes(x) for x in (low, high))
+    return len(commonprefix([low, high]))
 
 
 def slice_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> tuple[DataFrame, bool]:
     """Add a slice label that rises with ``order`` and keeps every (key, slice) sortable by one task.
 
     Cold keys keep the empty label. Hot ones are cut at quantiles of their order values, so a burst
-    in time is divided like any other stretch; a slice that is still too large is cut again, until
-    only equal values remain together. Hot cells hold over 1/MAX_HOT of all rows each, which bounds
-    their number: their cut points are collected, so that every later use sees the same slices, and
-    broadcast.
+    in time is divided like any other stretch; a slice that is still too large is cut again, and one
+    of equal values by the next order column, until only rows equal in all of them remain together.
+    Hot cells hold over 1/MAX_HOT of all rows each, which bounds their number: their cut points are
+    collected, so that every later use sees the same slices, and broadcast.
     """
     keys = list(keys)
+    order = [order] if isinstance(order, str) else list(order)
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
     limit = hot_limit(counts, rows_per_task)
     sliced = df.withColumn(SLICE, F.lit(""))
     if limit is None:
         return sliced, False
 
-    spark, kind = df.sparkSession, df.schema[order].dataType
     hot = counts.where(F.col("n") > limit).select(*keys)
-    hot = spark.createDataFrame(hot.collect(), hot.schema)
+    hot = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    for place, column in enumerate(order):
+        sliced = _cut(sliced, hot, keys, order[:place], column, limit)
+    return sliced, True
+
+
+def _cut(
+    sliced: DataFrame, hot: DataFrame, keys: list[str], settled: Sequence[str], by: str, limit: int
+) -> DataFrame:
+    """Cut the cells above ``limit`` that are equal in the ``settled`` columns at quantiles of ``by``.
+
+    Nulls come first in Spark's order, so they form the part before the first cut.
+    """
+    spark, kind = sliced.sparkSession, sliced.schema[by].dataType
+    columns = [c for c in sliced.columns if c != SLICE]
     recent = sliced.join(F.broadcast(hot), same_keys(sliced, hot, keys), "left_semi")
-    for depth in range(1, MAX_CUTS + 1):
+    for _ in range(MAX_CUTS):
+        one_value = reduce(
+            lambda a, c: a
+            & F.min(c).eqNullSafe(F.max(c))
+            & ((F.count(c) == 0) | (F.count(c) == F.count("*"))),
+            settled,
+            F.lit(True),
+        )
         extents = (
             recent.groupBy(*keys, SLICE)
-            .agg(F.count("*").alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-            .where((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
+            .agg(
+                F.count("*").alias("__n"),
+                F.min(by).alias("__lo"),
+                F.max(by).alias("__hi"),
+                F.count(by).alias("__known"),
+                one_value.alias("__one"),
+            )
+            .where((F.col("__n") > limit) & F.col("__one") & (F.col("__known") > 0))
+            .where((F.col("__hi") > F.col("__lo")) | (F.col("__known") < F.col("__n")))
+            .drop("__known", "__one")
         )
         found = extents.collect()
         if not found:
             break
-        parts = {tuple(r[: len(keys) + 1]): min(PARTS, 2 * ceil(r["__n"] / limit)) for r in found}
+        parts = {tuple(r[: len(keys) + 1]): min(PARTS, max(2, 2 * ceil(r["__n"] / limit))) for r in found}
         cells = spark.createDataFrame(
             [(*r[: len(keys) + 1], _shared_bytes(r["__lo"], r["__hi"])) for r in found],
             T.StructType(extents.schema.fields[:-3] + [T.StructField("__skip", T.IntegerType())]),
         )
-        number = _number(kind, F.col(order), F.col("__skip")).cast("double")
+        number = _number(kind, F.col(by), F.col("__skip")).cast("double")
         fractions = [i / PARTS for i in range(1, PARTS)]
         quantiles = (
             _with_cell(recent, cells, keys, "inner")
             .groupBy(*keys, SLICE, "__skip")
-            .agg(F.percentile_approx(number, fractions).alias("__cuts"))
+            .agg(F.percentile_approx(number, fractions).alias("__cuts"), F.min(number).alias("__least"))
         )
         cuts = []
         for row in quantiles.collect():
             cell = tuple(row[: len(keys) + 1])
             wanted = [PARTS * i // parts[cell] - 1 for i in range(1, parts[cell])]
-            cuts.append((*row[:-1], [row["__cuts"][i] for i in wanted]))
-        cuts = spark.createDataFrame(cuts, quantiles.schema)
+            # the least value parts the nulls from the rest
+            cuts.append((*row[:-2], [row["__least"], *(row["__cuts"][i] for i in wanted)]))
+        cuts = spark.createDataFrame(cuts, T.StructType(quantiles.schema.fields[:-1]))
         part = F.size(F.filter("__cuts", lambda cut: cut <= number))
         label = F.concat(F.col(SLICE), F.lpad(part.cast("string"), LABEL_WIDTH, "0"))
-        sliced = _with_cell(sliced, cuts, keys, "left").select(
-            *[F.col(quoted(c)) for c in df.columns],
+        marked = _with_cell(sliced, cuts, keys, "left")
+        sliced = marked.select(
+            *[F.col(quoted(c)) for c in columns],
             F.when(F.col("__cuts").isNotNull(), label).otherwise(F.col(SLICE)).alias(SLICE),
         )
-        recent = sliced.where(F.length(SLICE) == LABEL_WIDTH * depth)
-    return sliced, True
+        recent = _with_cell(recent, cuts, keys, "inner").select(*[F.col(quoted(c)) for c in columns], label.alias(SLICE))
+    return sliced
 
 
 def _with_cell(rows: DataFrame, cells: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -138,17 +185,25 @@ def positions(
     *,
     dense: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key along ``order`` (later columns only break ties).
 
     Adds ``idx`` (from 0), ``prev`` (previous order value), ``n`` (rows of the key), ``first`` and
     ``last`` (bounds of the order column) and, if ``dense``, ``rank`` (dense, from 1). All come
-    from one window specification: one shuffle and one sort of the rows.
+    from one window specification: one shuffle and one sort of the rows. Nulls come first.
+
+    Rows per key are counted first, which reads the input once more. A caller that knows the largest
+    count gives it as ``most_rows``; below ``rows_per_task`` no job runs while the query is built.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
+    _require_ordered(df, order)
     by = order[0]
-    sliced, hot = slice_hot_keys(df, keys, by, rows_per_task)
+    if most_rows is not None and most_rows <= rows_per_task:
+        sliced, hot = df.withColumn(SLICE, F.lit("")), False
+    else:
+        sliced, hot = slice_hot_keys(df, keys, order, rows_per_task)
     cell = [*keys, SLICE] if hot else keys
     along = Window.partitionBy(*cell).orderBy(*order)
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -167,37 +222,45 @@ def positions(
         return numbered.drop(SLICE)
 
     # one row per slice of a hot key: at most a few times MAX_HOT rows, as cells are cut in
-    # proportion to their rows
-    summary = [
-        F.count("*").alias("__n"),
-        F.min(by).alias("__first"),
-        F.max(by).alias("__last"),
-    ]
-    if dense:
-        summary.append(F.count_distinct(by).alias("__values"))
-    slices = sliced.where(F.col(SLICE) != "").groupBy(*keys, SLICE).agg(*summary)
+    # proportion to their rows. Null is a value like others, and the first one.
+    ranked = F.struct(F.col(by).isNotNull().alias("known"), F.col(by).alias("value"))
+    slices = (
+        sliced.where(F.col(SLICE) != "")
+        .groupBy(*keys, SLICE)
+        .agg(
+            F.count("*").alias("__n"),
+            F.min(ranked)["value"].alias("__first"),
+            F.max(ranked)["value"].alias("__last"),
+            *([F.count_distinct(ranked).alias("__values")] if dense else []),
+        )
+    )
     before = Window.partitionBy(*keys).orderBy(SLICE)
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
     every = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stitched = {
-        "__offset": F.sum("__n").over(earlier),
+        "__offset": F.coalesce(F.sum("__n").over(earlier), F.lit(0)),
         "__prev": F.lag("__last").over(before),
-        "__n": F.sum("__n").over(every),
-        "__first": F.first("__first").over(every),
-        "__last": F.last("__last").over(every),
+        "__all": F.sum("__n").over(every),
+        "__low": F.first("__first").over(every),
+        "__high": F.last("__last").over(every),
     }
     if dense:
-        stitched["__ranks"] = F.sum("__values").over(earlier)
+        # slices that part rows with equal values share that value's rank
+        follows = (F.row_number().over(before) > 1) & F.col("__first").eqNullSafe(F.lag("__last").over(before))
+        slices = slices.withColumn("__shared", follows.cast("long"))
+        own = F.col("__values") - F.col("__shared")
+        stitched["__ranks"] = F.coalesce(F.sum(own).over(earlier), F.lit(0)) - F.col("__shared")
     offsets = slices.select(*keys, SLICE, *[c.alias(name) for name, c in stitched.items()])
     joined = numbered.join(
         F.broadcast(offsets), same_keys(numbered, offsets, [*keys, SLICE]), "left"
     )
+    is_sliced = numbered[SLICE] != ""
     columns = {
         "idx": F.col("idx") + F.coalesce(F.col("__offset"), F.lit(0)),
-        "prev": F.coalesce(F.col("prev"), F.col("__prev")),
-        "n": F.coalesce(F.col("__n"), F.col("n")),
-        "first": F.coalesce(F.col("__first"), F.col("first")),
-        "last": F.coalesce(F.col("__last"), F.col("last")),
+        "prev": F.when(is_sliced & (F.col("idx") == 0), F.col("__prev")).otherwise(F.col("prev")),
+        "n": F.when(is_sliced, F.col("__all")).otherwise(F.col("n")),
+        "first": F.when(is_sliced, F.col("__low")).otherwise(F.col("first")),
+        "last": F.when(is_sliced, F.col("__high")).otherwise(F.col("last")),
     }
     if dense:
         columns["rank"] = F.col("rank") + F.coalesce(F.col("__ranks"), F.lit(0))
