@@ -7,6 +7,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+# Tags, names and texts of the method and identity files.
 WAVELENGTHS = ("254", "256", "300")
 PUMP = "Binary Pump"
 
@@ -62,7 +63,7 @@ STEEP = ((30, 0, 100), (32, 0, 100), (34, 95, 5), (44, 95, 5))
 
 # folder, notebook, date, id file, timetable, rows, step in minutes
 RUNS = [
-    ("013.D", "13", "04-Apr-23, 10:00:00", "sequence.acam_", STANDARD, 60, 0.4 / 60),
+    ("013 a+b%20é.D", "13", "04-Apr-23, 10:00:00", "sequence.acam_", STANDARD, 60, 0.4 / 60),
     ("054.D", "54", "05-Apr-23, 10:00:00", "sample.acaml", STANDARD, 61, 0.4 / 60),
     ("061.D", "61", "6-Apr-23, 10:00:00", "sequence.acam_", STANDARD, 60, 0.4 / 60),
     ("089.D", "89", "07-Apr-23, 10:00:00", "sequence.acam_", STANDARD, 60, 0.4 / 60),

@@ -119,6 +119,27 @@ def test_register_csv_stays_text(spark, tmp_path):
     assert [staged["00"]["pk"], staged["02"]["pk"]] == [1, 2]
 
 
+def _catalogue_csv(tmp_path, *rows):
+    path = tmp_path / "catalogue.csv"
+    names = ",".join(tables.schemas.CATALOGUE_SOURCE)
+    path.write_text("\n".join([names, *rows]) + "\n")
+    return str(path)
+
+
+def test_catalogue_csv_keeps_quotes_and_line_breaks_in_their_field(spark, tmp_path):
+    names = list(tables.schemas.CATALOGUE_SOURCE)
+    fields = [f"f{i}" for i in range(len(names))]
+    fields[3] = '"Chateau ""One"", red"'
+    fields[5] = '"two\nlines"'
+    row = tables.read_catalogue(spark, _catalogue_csv(tmp_path, ",".join(fields)), "csv").first()
+    assert row[names[3]] == 'Chateau "One", red' and row[names[5]] == "two\nlines" and row[names[-1]] == fields[-1]
+
+
+def test_short_catalogue_rows_are_errors(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_catalogue(spark, _catalogue_csv(tmp_path, "only,three,fields"), "csv").collect()
+
+
 def test_reconciliation(spark, tmp_path):
     rows = [("raw", "1", "2018", "Chateau Ome", "y"), ("raw", "2", "2019", "two sons", "y"), ("raw", "3", "2020", "zzzz qqqq", "n")]
     raw = spark.createDataFrame(
@@ -166,6 +187,7 @@ def test_single_row_table(spark):
     [
         (method_xml(STANDARD, section="Quaternary Pump"), "no section Binary Pump in r1"),
         (method_xml(()), "timetable: no rows in r1"),
+        (method_xml(STANDARD)[:-40], "broken method document in r1"),
         (method_xml(STANDARD).replace(b"<Name>Flow</Name>", b"<Name>Other</Name>"), "no column 'flow' in r1"),
     ],
 )
@@ -183,6 +205,9 @@ def test_sequence_identity_comes_first(spark):
     assert {tuple(r) for r in ids.collect()} == {("a", "seq"), ("b", "smp-b")}
     with pytest.raises(Exception, match="no run id in b"):
         xml.run_identity(folders, documents(("a", "seq")), documents(("a", "x"))).collect()
+    torn = documents(("b", "seq")).withColumn("xml", F.substring("xml", 1, 120))
+    with pytest.raises(Exception, match="broken sequence document in b"):
+        xml.run_identity(folders, torn, documents(("a", "x"), ("b", "y"))).collect()
     with pytest.raises(quality.QualityError, match="duplicate"):
         xml.run_folders(folders.union(folders))
     with pytest.raises(quality.QualityError, match="no acq.macaml"):

@@ -712,13 +712,13 @@ def _method_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def xml_solvent_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    composition, _ = xml.pump_tables(xml.parse_methods(_method_documents(spark, sf_dir)))
-    return composition.withColumn("percent", F.round(F.col("percent").cast("double"), 4))
+    methods = xml.parse_methods(_method_documents(spark, sf_dir), tables=("composition",))
+    return xml.composition_rows(methods).withColumn("percent", F.round(F.col("percent").cast("double"), 4))
 
 
 @_query
 def xml_timetable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, timetable = xml.pump_tables(xml.parse_methods(_method_documents(spark, sf_dir)))
+    timetable = xml.timetable_rows(xml.parse_methods(_method_documents(spark, sf_dir), tables=("timetable",)))
     numbers = [F.col(c).cast("double").alias(c) for c in ("mins", "a", "b", "flow", "pressure")]
     return timetable.select("id", "idx", *numbers)
 

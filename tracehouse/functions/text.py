@@ -106,6 +106,16 @@ def vintage_or_default(col: Column, default: int = 9999) -> Column:
     return F.when(text.isNull() | (text == "null"), F.lit(default)).otherwise(text.cast("int"))
 
 
+def plain_path(uri: Column, encoded: bool) -> Column:
+    """One form of a file's path: as its folders are named, without the scheme of local files.
+
+    ``_metadata.file_path`` comes percent-encoded, the path of ``binaryFile`` does not.
+    """
+    # decoding a URL turns + into a blank, a path keeps it
+    named = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))) if encoded else uri
+    return F.regexp_replace(named, "^file:/*", "/")
+
+
 def parent_dir(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]+$", "")
 

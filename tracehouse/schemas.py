@@ -162,7 +162,7 @@ TABLES: dict[str, Table] = {
         Table(
             "image_stats",
             "runid string,nm_min int,nm_max int,nm_count int,mins_min float,mins_max float,"
-            "mins_count int,abs_min float,abs_max float,abs_argmin float,abs_argmax float,"
+            "mins_count int,abs_min float,abs_max float,abs_argmin bigint,abs_argmax bigint,"
             "hertz float,path string",
             primary_key=("runid",),
             unique=(("path",),),

@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 import os
+import shutil
 import sys
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once an application, for functions that run in Python there."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parent
+        base = Path(tempfile.mkdtemp(prefix="ship-")) / package.name
+        archive = shutil.make_archive(str(base), "zip", root_dir=package.parent, base_dir=package.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
+
 
 def local_session(cpus: int | str = "*", app: str = "tracehouse", **conf: str) -> SparkSession:
     """A local session. Every option here can be set in a cluster's own configuration instead."""

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracehouse.operators.quality import QualityError
 from tracehouse.schemas import Table
@@ -38,15 +43,20 @@ def save_to_catalog(spark: SparkSession, table: Table, out: str, database: str =
     if table.comment:
         spark.sql(f"COMMENT ON TABLE {name} IS :text", args={"text": table.comment})
     for column, text in table.column_comments.items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {column} COMMENT '{text}'")
+        escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {column} COMMENT '{escaped}'")
     return name
 
 
-def _existing_runs(spark: SparkSession, path: str, key: str) -> DataFrame | None:
+def _existing_runs(df: DataFrame, path: str, key: str) -> DataFrame | None:
+    """Keys of the landed runs, as text: an inferred type would turn '00' into 0."""
+    schema = T.StructType([T.StructField(key, T.StringType())])
     try:
-        return spark.read.parquet(path).select(F.col(key).cast("string").alias(key)).distinct()
-    except AnalysisException:
-        return None
+        return df.sparkSession.read.schema(schema).parquet(path).distinct()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def write_runs(
@@ -57,8 +67,7 @@ def write_runs(
     A run that is there already is an error unless ``overwrite``. Rows are rebalanced by run, and
     AQE splits a run that is too large for one task.
     """
-    spark = df.sparkSession
-    present = _existing_runs(spark, path, key)
+    present = _existing_runs(df, path, key)
     if present is not None and not overwrite:
         incoming = df.select(F.col(key).cast("string").alias(key)).distinct()
         clash = incoming.join(present, key, "left_semi").limit(3).collect()
@@ -74,31 +83,35 @@ def write_runs(
     )
 
 
+def _bucket(key: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(key), buckets).cast("int")
+
+
 def write_cube(
     cube: DataFrame, path: str, key: str = "runid", buckets: int = CUBE_BUCKETS, overwrite: bool = False
 ) -> None:
     """Write a long or array cube under a fixed number of run buckets, sorted for row-group pruning.
 
     Folders per run would be too many for a large library; within a bucket the sort order lets the
-    reader skip the row groups of other runs.
+    reader skip the row groups of other runs. The number of buckets is part of the folders' names.
     """
     order = [c for c in (key, "wavelength", "idx") if c in cube.columns]
-    bucketed = cube.withColumn("run_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    bucketed = cube.withColumn("n_buckets", F.lit(buckets)).withColumn("run_bucket", _bucket(F.col(key), F.lit(buckets)))
     (
         bucketed.hint("rebalance", "run_bucket")
         .sortWithinPartitions("run_bucket", *order)
         .write.mode("overwrite" if overwrite else "errorifexists")
-        .partitionBy("run_bucket")
+        .partitionBy("n_buckets", "run_bucket")
         .parquet(path)
     )
 
 
-def read_cube(spark: SparkSession, path: str, runids: list[str] | None = None, key: str = "runid",
-              buckets: int = CUBE_BUCKETS) -> DataFrame:
-    """Read a written cube; for given runs only their buckets are opened."""
+def read_cube(spark: SparkSession, path: str, runids: Sequence | None = None, key: str = "runid") -> DataFrame:
+    """Read a written cube; for given runs only their buckets are opened, however many there are."""
     cube = spark.read.parquet(path)
     if runids is not None:
-        wanted = F.array(*[F.pmod(F.xxhash64(F.lit(r)), F.lit(buckets)).cast("int") for r in runids])
-        numbers = spark.range(1).select(F.explode(wanted).alias("b")).distinct().collect()
-        cube = cube.where(F.col("run_bucket").isin([row["b"] for row in numbers]) & F.col(key).isin(runids))
-    return cube.drop("run_bucket")
+        kind = cube.schema[key].dataType
+        wanted = [F.lit(r).cast(kind) for r in runids]
+        here = reduce(or_, (F.col("run_bucket") == _bucket(w, F.col("n_buckets")) for w in wanted), F.lit(False))
+        cube = cube.where(here & F.col(key).isin(wanted) if wanted else here)
+    return cube.drop("n_buckets", "run_bucket")

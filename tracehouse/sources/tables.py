@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracehouse import schemas
 from tracehouse.functions.columns import named
-from tracehouse.functions.text import parent_dir
+from tracehouse.functions.text import parent_dir, plain_path
 from tracehouse.operators.quality import QualityError, require_columns
 
 
@@ -22,9 +22,13 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
         raise QualityError(f"no parquet files at {path}") from error
 
 
+# one reading of quoted CSV: doubled quotes, line breaks in fields; short and long rows are errors
+_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+
+
 def read_catalogue(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Landed catalogue export with its 13 columns as text; a missing column is an error."""
-    raw = spark.read.csv(path, header=True) if fmt == "csv" else _read(spark, path)
+    raw = spark.read.csv(path, **_CSV) if fmt == "csv" else _read(spark, path)
     require_columns(raw, schemas.CATALOGUE_SOURCE, "catalogue")
     return raw.select(*[F.col(c).cast("string") for c in schemas.CATALOGUE_SOURCE])
 
@@ -36,18 +40,11 @@ def read_register(spark: SparkSession, path: str) -> DataFrame:
 
 def read_register_csv(spark: SparkSession, path: str) -> DataFrame:
     """Original register (CSV with header). All columns are text: codes such as '00' are not numbers."""
-    return spark.read.csv(
-        path, header=True, schema=schemas.REGISTER_SOURCE, quote='"', escape='"', enforceSchema=False
-    )
-
-
-def _local_path(uri: Column) -> Column:
-    """Path of a file as Spark's readers accept it, without the scheme of local files."""
-    return F.regexp_replace(uri, "^file:/*", "/")
+    return spark.read.csv(path, schema=schemas.REGISTER_SOURCE, enforceSchema=False, **_CSV)
 
 
 def _with_source(df: DataFrame) -> DataFrame:
-    return df.withColumn("path", _local_path(F.col("_metadata.file_path")))
+    return df.withColumn("path", plain_path(F.col("_metadata.file_path"), encoded=True))
 
 
 def metadata_pattern(lib_dir: str) -> str:
@@ -96,22 +93,28 @@ def file_columns(spark: SparkSession, pattern: str) -> DataFrame:
     """
 
     def footers(batches):
+        from urllib.parse import quote
+
         import pandas as pd
         import pyarrow.fs as fs
         import pyarrow.parquet as pq
 
         for batch in batches:
             found = []
-            for uri in batch["uri"]:
-                system, name = fs.FileSystem.from_uri(uri)
+            for path in batch["path"]:
+                if "://" in path:
+                    scheme, rest = path.split("://", 1)
+                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    system, name = fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+                else:
+                    system, name = fs.LocalFileSystem(), path
                 schema = pq.read_schema(name, filesystem=system)
-                found.append((uri, schema.names, [str(t) for t in schema.types]))
-            yield pd.DataFrame(found, columns=["uri", "columns", "types"])
+                found.append((path, schema.names, [str(t) for t in schema.types]))
+            yield pd.DataFrame(found, columns=["path", "columns", "types"])
 
     files = spark.read.format("binaryFile").load(pattern)
-    uris = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("uri"))
-    read = uris.mapInPandas(footers, "uri string, columns array<string>, types array<string>")
-    return read.select(_local_path(F.col("uri")).alias("path"), "columns", "types")
+    paths = files.select(plain_path(F.col("path"), encoded=False).alias("path"))
+    return paths.mapInPandas(footers, "path string, columns array<string>, types array<string>")
 
 
 def image_extents(spark: SparkSession, lib_dir: str) -> DataFrame:

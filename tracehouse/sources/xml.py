@@ -12,10 +12,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracehouse.functions.text import parent_dir
+from tracehouse.functions.text import parent_dir, plain_path
 from tracehouse.operators.quality import QualityError, duplicate_keys
 
 PUMP_SECTION = "Binary Pump"
+PUMP_TABLES = ("composition", "timetable")
 
 _ROWS = "array<struct<Parameter: array<struct<Name: string, Value: string>>>>"
 _SECTION = f"struct<Name: string, Table: array<struct<Name: string, Row: {_ROWS}>>>"
@@ -48,7 +49,7 @@ def read_documents(spark: SparkSession, data_dir: str, name: str, optional: bool
         if not optional:
             raise QualityError(f"no {name} in the run folders of {data_dir}") from error
         return spark.createDataFrame([], "run_dir string, xml string")
-    path = F.regexp_replace(F.col("path"), "^file:/*", "/")
+    path = plain_path(F.col("path"), encoded=False)
     text = F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", "")
     return raw.select(parent_dir(path).alias("run_dir"), text.alias("xml"))
 
@@ -64,30 +65,44 @@ def run_identity(folders: DataFrame, sequence: DataFrame, sample: DataFrame) ->
     """Run id of each folder: from its sequence document, else its sample document, else an error."""
 
     def ids(documents: DataFrame, name: str) -> DataFrame:
-        parsed = F.from_xml("xml", IDENTITY_SCHEMA)
+        parsed = _parsed(IDENTITY_SCHEMA, "run_dir", f"{name} document")
         return documents.select("run_dir", parsed["Doc"]["Content"]["SampleContexts"]["Setup"]["_id"].alias(name))
 
-    joined = folders.join(ids(sequence, "__seq"), "run_dir", "left").join(ids(sample, "__smp"), "run_dir", "left")
+    joined = folders.join(ids(sequence, "sequence"), "run_dir", "left").join(ids(sample, "sample"), "run_dir", "left")
     missing = F.raise_error(F.concat(F.lit("no run id in "), F.col("run_dir")))
-    return joined.select("run_dir", F.coalesce("__seq", "__smp", missing.cast("string")).alias("id"))
+    return joined.select("run_dir", F.coalesce("sequence", "sample", missing.cast("string")).alias("id"))
 
 
-def parse_methods(documents: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> DataFrame:
-    """Rows of the two pump tables of each document: the ``ids``, ``composition``, ``timetable``.
+def _parsed(schema: str, where: str, what: str) -> Column:
+    """The document in ``xml``; a broken one fails with the name of its folder (or other key)."""
+    parsed = F.from_xml("xml", f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    broken = F.raise_error(F.concat(F.lit(f"broken {what} in "), F.col(where)))
+    # bound once, so that the document is parsed once
+    checked = F.transform(
+        F.array(parsed), lambda p: F.when(p["_corrupt_record"].isNull(), p["Doc"]).otherwise(broken.cast(_doc_type(schema)))
+    )
+    return F.struct(F.get(checked, F.lit(0)).alias("Doc"))
+
+
+def _doc_type(schema: str) -> str:
+    return schema.removeprefix("Doc ")
 
-    They are the first and second table of the first section named ``Binary Pump``.
+
+def parse_methods(
+    documents: DataFrame, ids: Sequence[str] = ("id",), where: str = "id", tables: Sequence[str] = PUMP_TABLES
+) -> DataFrame:
+    """Rows of the pump tables of each document: the ``ids``, ``composition``, ``timetable``.
+
+    They are the first and second table of the first section named ``Binary Pump``. With one of them
+    named in ``tables``, the other's rows are not carried on.
     """
-    parsed = F.from_xml("xml", METHOD_SCHEMA)
+    parsed = _parsed(METHOD_SCHEMA, where, "method document")
     sections = parsed["Doc"]["Content"]["MethodConfiguration"]["MethodDescription"]["Section"]["Section"]
     pumps = F.filter(sections, lambda s: s["Name"] == PUMP_SECTION)
     absent = F.raise_error(F.concat(F.lit(f"no section {PUMP_SECTION} in "), F.col(where)))
     pump = F.coalesce(F.get(pumps, F.lit(0)), absent.cast(_SECTION))
-    tables = documents.select(*ids, pump["Table"].alias("__tables"))
-    return tables.select(
-        *ids,
-        F.get("__tables", F.lit(0))["Row"].alias("composition"),
-        F.get("__tables", F.lit(1))["Row"].alias("timetable"),
-    )
+    found = documents.select(*ids, pump["Table"].alias("__tables"))
+    return found.select(*ids, *[F.get("__tables", F.lit(PUMP_TABLES.index(t)))["Row"].alias(t) for t in tables])
 
 
 def _table_rows(methods: DataFrame, ids: Sequence[str], table: str, columns: Mapping[str, str], where: str) -> DataFrame:
@@ -115,15 +130,21 @@ def _table_rows(methods: DataFrame, ids: Sequence[str], table: str, columns: Map
     return with_values.select(*ids, "idx", *[value(n).alias(c) for n, c in columns.items()])
 
 
+def composition_rows(methods: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> DataFrame:
+    """Solvent composition of parsed methods, typed."""
+    rows = _table_rows(methods, ids, "composition", COMPOSITION_COLUMNS, where)
+    return rows.withColumn("percent", F.col("percent").cast("float"))
+
+
+def timetable_rows(methods: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> DataFrame:
+    """Timetable of parsed methods, typed."""
+    rows = _table_rows(methods, ids, "timetable", TIMETABLE_COLUMNS, where)
+    return rows.select(*ids, "idx", *[F.col(c).cast("float").alias(c) for c in TIMETABLE_COLUMNS.values()])
+
+
 def pump_tables(methods: DataFrame, ids: Sequence[str] = ("id",), where: str = "id") -> tuple[DataFrame, DataFrame]:
     """(solvent composition, timetable) of parsed methods, typed."""
-    composition = _table_rows(methods, ids, "composition", COMPOSITION_COLUMNS, where)
-    timetable = _table_rows(methods, ids, "timetable", TIMETABLE_COLUMNS, where)
-    numbers = [F.col(c).cast("float").alias(c) for c in TIMETABLE_COLUMNS.values()]
-    return (
-        composition.withColumn("percent", F.col("percent").cast("float")),
-        timetable.select(*ids, "idx", *numbers),
-    )
+    return composition_rows(methods, ids, where), timetable_rows(methods, ids, where)
 
 
 def read_methods(spark: SparkSession, data_dir: str) -> DataFrame:
