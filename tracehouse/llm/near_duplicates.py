@@ -8,8 +8,9 @@
   bands share a bucket. At a similarity of 0.8 a pair misses all buckets with probability
   (1 - 0.8**ROWS)**BANDS, below one in a million.
 * In each bucket the class with most company leads: every other one is compared with it on whole sets.
-  After STAR_ROUNDS leaders, a bucket's classes that are still in different groups are compared in
-  blocks. Classes already grouped need no further comparison, so groups of copies never become pairs.
+  After STAR_ROUNDS leaders, the classes outside a bucket's largest group are compared with the bucket's
+  others in blocks. Classes already grouped need no further comparison, so groups of copies never
+  become pairs.
 
 Defined results: a text without words, or null, has an empty set and is linked with nothing; a text with
 fewer words than a shingle has its whole sequence as one. Equal texts are linked. Null ids have no group
@@ -34,7 +35,7 @@ ROWS, BANDS = 5, 36
 REGISTERS = ROWS * BANDS
 SIMILARITY = 80  # percent
 SHINGLE = 5
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 PAIRS_PER_TASK = 500  # members compared with one copy of their leader
 BLOCK = 64  # leaders compared at a time in the blocked comparison
 ELEMENTS = 1 << 16  # shingles whose registers are drawn together
@@ -276,16 +277,17 @@ def group_near_duplicates(
 
 
 def _blocked(search: _Search, labelled: DataFrame) -> DataFrame:
-    """Whatever a bucket's leaders left apart: all of it against its blocks of BLOCK classes."""
+    """Whatever a bucket's leaders left apart: its classes outside the bucket's largest group, in blocks of BLOCK,
+    against all its classes. Buckets with one largest group are taken together, as they hold much the same."""
     stage = search.stage
-    sizes = stage(labelled.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
-    cut = stage(
-        labelled.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    )
-    group = F.xxhash64("key", "block")
-    leaders = cut.select(group.alias("group"), F.lit(0).cast("long").alias("part"), F.col("rep").alias("id"), "label")
-    members = cut.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    members = members.select(
-        group.alias("group"), F.lit(0).cast("long").alias("part"), F.col("rep").alias("id"), "label"
-    )
+    counts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
+    largest = stage(counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("m")).select("key", F.col("m.label").alias("home")))
+    homes = stage(labelled.join(largest, "key").select("home", "rep", "label").distinct())
+    apart = F.col("label") != F.col("home")
+    sizes = stage(homes.where(apart).groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    sized = homes.join(sizes, "home")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    columns = [F.col("home").alias("group"), "part", F.col("rep").alias("id"), "label"]
+    leaders = sized.where(apart).withColumn("part", own).select(*columns)
+    members = sized.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(*columns)
     return search.verified(leaders, members)
