@@ -41,7 +41,7 @@ def test_best_match_equals_brute_force(spark, min_score, block):
     left, right = _texts(min_score + block, 60)
     lf = spark.createDataFrame([(t,) for t in left], "l string")
     rf = spark.createDataFrame(list(enumerate(right)), "pos int, r string")
-    rows = best_match(lf, rf, "l", "r", "pos", min_score=min_score, block=block).collect()
+    rows = best_match(lf, rf, "l", "r", "pos", min_score=min_score, fallback=min_score <= 1, block=block).collect()
     assert len(rows) == len(left)
     got = {row["l"]: (row["match"], row["score"]) for row in rows}
     want = _brute(left, right, min_score)

@@ -6,27 +6,26 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, difference
+from tracehouse.entry.oracle import ORACLE
+from tracehouse.entry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are not here")
 
-# without SQL: the scorer has no DuckDB counterpart; test_matching compares it with brute force
-ROWS_ONLY = {"match_names", "match_suppliers"}
-
 
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert difference(spark, con, name, SF_DIR) is None
 
 
 def test_coverage_of_the_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):

@@ -330,3 +330,69 @@ SELECT concat('/lib/', o_orderkey, '.D') AS run_dir,
        concat(CASE WHEN o_orderstatus = 'F' THEN 'seq-' ELSE 'smp-' END, o_orderkey) AS id
 FROM orders""",
 }
+
+
+def _matches(left: str, right: str, least: int, columns: str) -> str:
+    """Best right text of each left one. ``left``: rows with ``left_string``; ``right``: (name, place).
+
+    The score's aligned part is found as its definition says: the longest common block (the first one in
+    the first text, then in the second), and the same again on both sides of it.
+    """
+    block = """list_max(list_transform(range(1, length({a}) + 1), lambda i: {{
+        'k': list_max(list_filter(range(0, length({a}) - i + 2), lambda n: n = 0 OR contains({b}, substring({a}, i, n)))),
+        'back': -i}}))"""
+    canon = r"array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(lower({}), '\W+', ' ', 'g'), ' '), lambda t: t <> ''))), ' ')"
+    share = "round_even(200.0 * {m} / ({a} + {b}), 0)::INTEGER"
+    return f"""
+WITH RECURSIVE
+l AS ({left}),
+lt AS (SELECT DISTINCT {canon.format("left_string")} AS lc FROM l),
+rt AS (SELECT {canon.format("name")} AS rc, min({{'place': place, 'name': name}}) AS first_ FROM ({right}) GROUP BY 1),
+split_ AS (
+  SELECT lc, rc, first_, list_sort(list_intersect(string_split(lc, ' '), string_split(rc, ' '))) AS both_,
+    list_sort(list_filter(string_split(lc, ' '), lambda t: NOT list_contains(string_split(rc, ' '), t))) AS lo,
+    list_sort(list_filter(string_split(rc, ' '), lambda t: NOT list_contains(string_split(lc, ' '), t))) AS ro
+  FROM lt, rt
+),
+pair AS (
+  SELECT lc, first_, array_to_string(both_, ' ') AS s, array_to_string(both_ || lo, ' ') AS one,
+    array_to_string(both_ || ro, ' ') AS two FROM split_
+),
+texts AS (SELECT DISTINCT one, two FROM pair),
+part_ AS (
+  SELECT one, two, one AS a, two AS b, {block.format(a="one", b="two")} AS m FROM texts
+  UNION ALL
+  SELECT one, two, x.a, x.b, {block.format(a="x.a", b="x.b")} FROM (
+    SELECT one, two, unnest([
+      {{'a': substring(a, 1, -m.back - 1), 'b': substring(b, 1, instr(b, substring(a, -m.back, m.k)) - 1)}},
+      {{'a': substring(a, -m.back + m.k), 'b': substring(b, instr(b, substring(a, -m.back, m.k)) + m.k)}}]) AS x
+    FROM part_ WHERE m.k > 0
+  ) WHERE x.a <> '' AND x.b <> ''
+),
+aligned AS (SELECT one, two, sum(m.k) AS k FROM part_ GROUP BY ALL),
+scored AS (
+  SELECT lc, first_, greatest(
+    CASE WHEN s = '' THEN 0 ELSE {share.format(m="length(s)", a="length(s)", b="length(one)")} END,
+    CASE WHEN s = '' THEN 0 ELSE {share.format(m="length(s)", a="length(s)", b="length(two)")} END,
+    {share.format(m="k", a="length(one)", b="length(two)")}) AS score
+  FROM pair JOIN aligned USING (one, two)
+),
+best AS (SELECT lc, min({{'rank': -score, 'first': first_}}) AS m FROM scored WHERE score >= {least} GROUP BY lc)
+SELECT {columns}, m.first.name AS match, -m.rank AS score
+FROM l LEFT JOIN best ON lc = {canon.format("left_string")}"""
+
+
+ORACLE["match_names"] = _matches(
+    """SELECT p_partkey, lower(p_type) || ' ' || translate(split_part(p_name, ' ', 2), 'l', 'r') || ' '
+      || translate(split_part(p_name, ' ', 1), 'o', '0') AS left_string FROM part""",
+    "SELECT p_name AS name, p_name AS place FROM part",
+    60,
+    "p_partkey, left_string",
+)
+
+ORACLE["match_suppliers"] = _matches(
+    "SELECT s_suppkey, 'suplier ' || substring(s_name, 10, 20) AS left_string FROM supplier",
+    "SELECT s_name AS name, s_suppkey AS place FROM supplier",
+    76,
+    "s_suppkey, left_string",
+)

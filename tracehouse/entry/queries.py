@@ -503,9 +503,11 @@ def cube_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def cube_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of one wavelength and one kind of run within a time range."""
-    cells = traces.cube(_image(spark, sf_dir), _run_dimension(spark, sf_dir), rows=TRIM_ROWS, short="keep")
-    inside = (F.col("wavelength") == 256) & (F.col("c_mktsegment") == "BUILDING") & F.col("mins").between(100, 20_000)
-    return cells.where(inside)
+    # the wavelength and the runs are chosen below the numbering, the times above it
+    runs = _run_dimension(spark, sf_dir).where(F.col("c_mktsegment") == "BUILDING")
+    images = _image(spark, sf_dir).select("runid", "mins", "256").join(runs.select("runid"), "runid", "left_semi")
+    cells = traces.cube(images, runs, rows=TRIM_ROWS, short="keep")
+    return cells.where(F.col("mins").between(100, 20_000))
 
 
 # --- exclusion and serving -----------------------------------------------------------------------
@@ -594,7 +596,7 @@ def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     misspelt = F.concat_ws(" ", F.lower("p_type"), F.translate(words[1], "l", "r"), F.translate(words[0], "o", "0"))
     left = parts.select("p_partkey", misspelt.alias("left_string"))
     right = parts.select(F.col("p_name").alias("name"))
-    return matching.best_match(left, right, "left_string", "name", "name")
+    return matching.best_match(left, right, "left_string", "name", "name", min_score=60)
 
 
 @_query

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -32,6 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tracehouse.functions.scoring import canonical_tokens, combined, ratio
 
+MIN_SCORE = 76
 BLOCK = 2_000  # texts of one side compared by one task at a time
 _BINS = 64
 _BLOCK = ("sig", "l", "r")
@@ -73,14 +75,16 @@ def _shared_part(min_score: int) -> float:
     return ratio_needed / (2 - ratio_needed)
 
 
-def _signatures(text: str, side: str, share: float) -> list[str]:
+@lru_cache(maxsize=1 << 17)
+def _signatures(text: str, side: str, share: float) -> tuple[str, ...]:
     """Signatures of a text of one side: of its long tokens, of all tokens, of its rare elements."""
     some, every = _long_tokens(text, share), text.split()
     by_left, by_right = (some, every) if side == "left" else (every, some)
     found = [f"l:{t}" for t in by_left] + [f"r:{t}" for t in by_right]
-    return found + [f"c:{e}" for e in _rare_elements(text, share)]
+    return (*found, *[f"c:{e}" for e in _rare_elements(text, share)])
 
 
+@lru_cache(maxsize=1 << 17)
 def _precedence(signature: str) -> tuple:
     """Total order of signatures, the same for both sides, with the selective ones first."""
     kind, value = signature[0], signature[2:]
@@ -96,7 +100,7 @@ def signature_arrays(side: str, min_score: int):
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: _signatures(text, side, share))
+        return texts.map(lambda text: list(_signatures(text, side, share)))
 
     return of
 
@@ -221,13 +225,13 @@ def _blocked(side: DataFrame, blocks: DataFrame, own: str, other: str) -> DataFr
 
 def best_match(
     left: DataFrame, right: DataFrame, left_text: str, right_text: str, right_order: str, *,
-    min_score: int = 1, block: int = BLOCK,
+    min_score: int = MIN_SCORE, fallback: bool = False, block: int = BLOCK,
 ) -> DataFrame:
     """Left rows with the best right text (``match``) and its ``score``.
 
     ``right_order`` decides ties. Left rows whose best score is below ``min_score`` keep a null
-    match; with the default of 1 they get the first right text and score 0, so that every left row
-    has a match.
+    match, or with ``fallback`` the first right text and score 0. Together with a ``min_score`` of 1
+    that gives every left row its best match, at the price of comparing nearly all pairs.
     """
     keyed = left.withColumn("canon", canonical_tokens(F.coalesce(F.col(left_text), F.lit(""))))
     left_texts = keyed.select("canon").where("canon != ''").distinct()
@@ -279,7 +283,7 @@ def best_match(
     score = -F.col("best.rank")
     joined = keyed.join(best.where(score >= min_score), "canon", "left")
     match: Column = F.col("best.match")
-    if min_score <= 1:
+    if fallback:
         first = right.agg(F.min_by(right_text, right_order)).scalar()
         match, score = F.coalesce(match, first), F.coalesce(score, F.lit(0))
     return joined.select(*left.columns, match.alias("match"), score.alias("score"))

@@ -38,11 +38,17 @@ def stage_register(raw: DataFrame) -> DataFrame:
     return surrogate_key(cleaned.withColumn("wine_key", key), "samplecode")
 
 
-def match_names(register: DataFrame, catalogue: DataFrame, min_score: int = 1) -> DataFrame:
-    """(pk, left_string, match, score, verified) of every register row."""
+def match_names(
+    register: DataFrame, catalogue: DataFrame, min_score: int = VERIFIED_ABOVE + 1, fallback: bool = False
+) -> DataFrame:
+    """(pk, left_string, match, score, verified) of every register row.
+
+    Only matches that can be verified are searched. ``min_score=1, fallback=True`` gives every row its
+    best match for inspection.
+    """
     left = register.select("pk", F.lower("wine_key").alias("left_string"))
     right = catalogue.select(F.lower("wine_key").alias("match_key"))
-    matched = best_match(left, right, "left_string", "match_key", "match_key", min_score=min_score)
+    matched = best_match(left, right, "left_string", "match_key", "match_key", min_score=min_score, fallback=fallback)
     return matched.select(
         "pk", "left_string", "match", "score",
         F.coalesce(F.col("score") > VERIFIED_ABOVE, F.lit(False)).alias("verified"),
@@ -96,7 +102,7 @@ def match_report(register: DataFrame, matches: DataFrame) -> DataFrame:
     return total.unionByName(labelled_values(matches, kinds))
 
 
-def reconcile(raw: DataFrame, catalogue: DataFrame, min_score: int = 1) -> tuple[DataFrame, DataFrame]:
+def reconcile(raw: DataFrame, catalogue: DataFrame, min_score: int = VERIFIED_ABOVE + 1) -> tuple[DataFrame, DataFrame]:
     """(corrected register, matches). Write the matches first if both are used: scoring is the cost."""
     register = stage_register(raw)
     matches = match_names(register, catalogue, min_score)
