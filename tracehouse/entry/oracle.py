@@ -396,3 +396,20 @@ ORACLE["match_suppliers"] = _matches(
     76,
     "s_suppkey, left_string",
 )
+
+ORACLE["table_read_back"] = """
+SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier"""
+
+ORACLE["runs_read_back"] = """
+SELECT substring(o_orderpriority, 1, 1) AS runid, o_orderkey AS mins,
+       CASE WHEN o_orderpriority LIKE '1%' THEN -o_totalprice ELSE o_totalprice END AS value
+FROM orders"""
+
+ORACLE["cube_read_back"] = f"""{ORACLE["cube_long"]}
+WHERE runid IN (3, 7, 50, 1000000000)"""
+
+ORACLE["reconciled_suppliers"] = """
+SELECT lpad(s_suppkey::varchar, 9, '0') AS samplecode, 'supplier ' || substring(s_name, 10) AS wine,
+       (1990 + s_nationkey)::integer AS vintage, (1990 + s_nationkey) || ' supplier ' || substring(s_name, 10) AS wine_key
+FROM supplier"""

@@ -7,6 +7,7 @@ Orders, customers and nations stand for runs, register and catalogue; events for
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ from tracehouse.functions import text
 from tracehouse.functions.times import local_micros
 from tracehouse.operators import exclusion, filters, keys, matching, program, quality, reports, reshape, traces
 from tracehouse.plans import catalogue, reconcile, register, runs
-from tracehouse.schemas import ForeignKey
-from tracehouse.sources import xml
+from tracehouse.schemas import ForeignKey, Table
+from tracehouse.session import shared_folder
+from tracehouse.sources import sinks, xml
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -741,3 +743,60 @@ def xml_run_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sequence = documents("seq-", orders.where("o_orderstatus = 'F'"))
     return xml.run_identity(orders.select(folder.alias("run_dir")), sequence, documents("smp-", orders))
+
+
+# --- written and read back -----------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+@_query
+def table_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers stacked under customers by name, as written, conformed and read back."""
+    people = _table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_name AS name", "c_acctbal AS balance")
+    more = _table(spark, sf_dir, "supplier").selectExpr("s_acctbal AS balance", "s_suppkey AS key", "s_name AS name")
+    table = Table("people", "key bigint,name string,balance double")
+    return sinks.write_table(sinks.append_by_name(more, people), table, _scratch(spark, "tables"))
+
+
+@_query
+def runs_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed by priority; one priority is then landed again with other prices."""
+    path = _scratch(spark, "runs")
+    orders = _table(spark, sf_dir, "orders").select(
+        F.substring("o_orderpriority", 1, 1).alias("runid"), F.col("o_orderkey").alias("mins"), F.col("o_totalprice").alias("value")
+    )
+    sinks.write_runs(orders, path)
+    again = orders.where("runid = '1'").withColumn("value", -F.col("value"))
+    sinks.write_runs(again, path, overwrite=True)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@_query
+def cube_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some runs of a written cube, read through their buckets."""
+    path = _scratch(spark, "cube")
+    cells = traces.cube(_image(spark, sf_dir), _run_dimension(spark, sf_dir), rows=TRIM_ROWS, short="keep")
+    sinks.write_cube(cells, path, buckets=8)
+    return sinks.read_cube(spark, path, [3, 7, 50, 10**9])
+
+
+@_query
+def reconciled_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A register of misspelt supplier names, corrected from the catalogue of suppliers."""
+    suppliers = _table(spark, sf_dir, "supplier")
+    year = (F.lit(1990) + F.col("s_nationkey")).cast("string")
+    raw = suppliers.select(
+        F.lit("raw").alias("detection"), F.lit("JV").alias("sampler"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("samplecode"),
+        year.alias("vintage"), F.concat(F.lit("suplier "), F.substring("s_name", 10, 20)).alias("name"),
+        F.lit("").alias("open_date"), F.lit("").alias("sampled_date"), F.lit("y").alias("added_to_cellartracker"),
+        F.lit("").alias("notes"), F.lit(None).cast("string").alias("size"),
+    )
+    name = F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit(" ")))
+    catalogue = suppliers.select(
+        F.concat_ws(" ", year, name).alias("wine_key"), name.alias("wine"), year.cast("int").alias("vintage")
+    )
+    corrected, _ = reconcile.reconcile(raw, catalogue)
+    return corrected.select("samplecode", "wine", "vintage", "wine_key")

@@ -24,6 +24,18 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(application)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not chosen.isDefined():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stage-"))
+            chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = chosen.get()
+    return folder.rstrip("/")
+
+
 def local_session(cpus: int | str = "*", app: str = "tracehouse", **conf: str) -> SparkSession:
     """A local session. Every option here can be set in a cluster's own configuration instead."""
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
