@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracehouse.session import shared_folder
+
 # A word is a run of characters other than the ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -29,26 +30,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- staging ----------------------------------------------------------------------------------------
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        set_by_hand = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_by_hand.isDefined():
-            return set_by_hand.get()
-        folder = tempfile.mkdtemp(prefix="llm-stage-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return folder
-
-
 class Stage:
     """Tables written once to shared storage and read back: lineage ends there, and a lost executor
     costs no recomputation. ``drop`` deletes what no later step reads."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.paths: dict[int, tuple[DataFrame, str]] = {}
         self.written = 0
 
