@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 TRIM_ROWS = 40
 END_CUTOFF = 40_000.0  # minutes
+DIMENSIONS = 64  # of the embeddings
 DIGITS = 6
 
 
@@ -61,9 +62,11 @@ def _image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wide_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings with one column per dimension, named 200 to 263."""
+    """Embeddings with one column per dimension, named 200 to 263; another length is an error."""
     vectors = _table(spark, sf_dir, "embeddings")
-    cells = [f"double(embedding[{i}]) AS `{200 + i}`" for i in range(64)]
+    other = F.raise_error(F.lit(f"an embedding has not {DIMENSIONS} elements")).cast("boolean")
+    vectors = vectors.where(F.when(F.size("embedding") == DIMENSIONS, F.lit(True)).otherwise(other))
+    cells = [f"double(embedding[{i}]) AS `{200 + i}`" for i in range(DIMENSIONS)]
     return vectors.selectExpr("vec_id", "label", *cells)
 
 

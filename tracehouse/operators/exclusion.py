@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tracehouse.functions.text import child_path
 from tracehouse.operators.program import TARGET_GRADIENT
 
+# Fixed value: the reason as the warehouse states it.
 GRADIENT_REASON = f"gradient not equal to {TARGET_GRADIENT}"
 
 

@@ -117,14 +117,16 @@ def _leading_rows(key: str, rows: int, short: str) -> Column:
 
 def regrid_time(
     df: DataFrame, key: str, time: str = "mins", *, order: Sequence[str] = (),
-    keep_idx: bool = False, rows_per_task: int = ROWS_PER_TASK,
+    keep_idx: bool = False, rows_per_task: int = ROWS_PER_TASK, most_rows: int | None = None,
 ) -> DataFrame:
     """Replace each run's times by 0, step, 2*step, ... at its mean step.
 
     A trace whose grid would end before its rows do (times far below zero) is an error, raised
-    by the task that meets it.
+    by the task that meets it. ``most_rows``: the largest run's rows, if known.
     """
-    trace = positions(df, _trace_keys(df, key), [time, *order], rows_per_task=rows_per_task)
+    trace = positions(
+        df, _trace_keys(df, key), [time, *order], rows_per_task=rows_per_task, most_rows=most_rows
+    )
     even = _even_time(key, time)
     columns = [even.alias(c) if c == time else named(c) for c in df.columns]
     return trace.select(*columns, *(["idx"] if keep_idx else []))
@@ -142,10 +144,12 @@ def trim_rows(
 
 def prepare_cube(
     images: DataFrame, key: str = "runid", time: str = "mins", rows: int = CUBE_ROWS, *,
-    short: str = "error", rows_per_task: int = ROWS_PER_TASK,
+    short: str = "error", rows_per_task: int = ROWS_PER_TASK, most_rows: int | None = None,
 ) -> DataFrame:
     """Re-grid and trim from one numbering of the rows, keeping ``idx``."""
-    trace = positions(images, _trace_keys(images, key), time, rows_per_task=rows_per_task)
+    trace = positions(
+        images, _trace_keys(images, key), time, rows_per_task=rows_per_task, most_rows=most_rows
+    )
     kept = trace.where(_leading_rows(key, rows, short))
     even = _even_time(key, time)
     return kept.select(*[even.alias(c) if c == time else named(c) for c in images.columns], "idx")
@@ -192,18 +196,19 @@ def element_stats(df: DataFrame, array: str, position: str = "dim") -> DataFrame
 def cube(
     images: DataFrame, metadata: DataFrame, *, key: str = "runid", time: str = "mins",
     rows: int = CUBE_ROWS, form: str = "long", short: str = "error",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, most_rows: int | None = None,
 ) -> DataFrame:
     """Run x time x wavelength cube with every metadata field of the run beside its values.
 
     ``form='long'`` has a row per cell, ``'array'`` a row per time with an array over wavelengths.
     If both inputs name the run's file in ``path``, they are joined by it: the numbered rows are
-    partitioned by file already, so the images are shuffled once in all.
+    partitioned by file already, so the images are shuffled once in all. ``most_rows``: the largest
+    run's rows, if known; they are counted otherwise.
     """
     if form not in ("long", "array"):
         raise ValueError(f"form must be 'long' or 'array', got {form!r}")
     by_path = "path" in images.columns and "path" in metadata.columns
-    trimmed = prepare_cube(images, key, time, rows, short=short, rows_per_task=rows_per_task)
+    trimmed = prepare_cube(images, key, time, rows, short=short, rows_per_task=rows_per_task, most_rows=most_rows)
     unused = ["id"] if by_path else ["id", "path"]
     numeric = trimmed.drop(*[c for c in unused if c in trimmed.columns])
     ids = [key, "idx", time, *(["path"] if by_path else [])]

@@ -53,7 +53,9 @@ def get_data(
     metadata = warehouse.view("sample_metadata")
     if runids:
         metadata = metadata.where(F.col("runid").isin(list(runids)))
+    # the rows of each run were counted when its statistics were written
+    most = warehouse.table("image_stats").agg(F.max("mins_count")).first()[0]
     if output == "pairs":
-        return regrid_time(images, "runid"), metadata
+        return regrid_time(images, "runid", most_rows=most), metadata
     paths = warehouse.view("run_data_paths").select("runid", F.col("data_path").alias("path"))
-    return cube(images, metadata.join(paths, "runid"), rows=rows, form=form)
+    return cube(images, metadata.join(paths, "runid"), rows=rows, form=form, most_rows=most)

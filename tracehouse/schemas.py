@@ -1,4 +1,7 @@
-"""Warehouse tables: columns, keys and comments."""
+"""Warehouse tables: columns, keys and comments.
+
+Fixed values: the names of tables and columns, their types and their constraints.
+"""
 
 from __future__ import annotations
 
