@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 PER_LANGUAGE = 2_000  # texts a language's profile is learned from
 PROFILE = 400
+LANES = 64  # parts of a language; each keeps its lowest hashes before they meet
 UNKNOWN = "und"
 EDGE, OTHER = 0, 1  # codes of a word's edge and of letters in no profile
 
@@ -45,9 +46,13 @@ def learn_profiles(
     """Profiles by language. One row a language and its n-grams come to the driver, nothing else."""
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("__h"))
+    lane = Window.partitionBy("lang", "__lane").orderBy("__h")
     order = Window.partitionBy("lang").orderBy("__h")
+    # a language's lowest hashes are among its lanes' lowest: no task gets more than LANES * per_language of one
     cuts = (
-        rows.select("lang", "__h")
+        rows.select("lang", "__h", F.pmod("__h", F.lit(LANES)).alias("__lane"))
+        .withColumn("__n", F.row_number().over(lane))
+        .where(F.col("__n") <= per_language)
         .withColumn("__n", F.row_number().over(order))
         .where(F.col("__n") <= per_language)
         .groupBy("lang")
