@@ -133,6 +133,27 @@ def test_a_family_around_a_centre_needs_later_leaders(spark):
     assert {r["component_id"] for r in found} == {0}
 
 
+def test_buckets_of_three_elect_two_leaders(spark):
+    # 1 nearly equals 0 and leads; 2 resembles 0 only, and meets it only in buckets of these three
+    seed = 393
+    rng = random.Random(seed)
+    words = [f"w{seed}x{i}" for i in range(180)]
+    bodies = [words[:100], [*words[1:100], words[150]], [*words[:90], *words[160:171]]]
+    bodies += [[words[150], *rng.sample(bodies[1], 65), *(f"r{k}x{i}" for i in range(35))] for k in range(6)]
+    sets = [near_duplicates.shingle_set(" ".join(b), 1) for b in bodies]
+    held = defaultdict(list)
+    for i, own in enumerate(sets):
+        for key in near_duplicates.band_keys(near_duplicates.super_minhash(own)).tolist():
+            held[key].append(i)
+    company = Counter(i for m in held.values() if len(m) > 1 for i in m for _ in m)
+    assert max(company, key=company.get) == 1 and {tuple(m) for m in held.values() if {0, 2} <= set(m)} == {(0, 1, 2)}
+    linked = [(a, b) for b in range(len(sets)) for a in range(b) if near_duplicates.alike(sets[a], sets[b])]
+    assert linked == [(0, 1), (0, 2)]
+    docs = spark.createDataFrame([(i, " ".join(b)) for i, b in enumerate(bodies)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.group_near_duplicates(docs, shingle=1).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, **{i: i for i in range(3, len(bodies))}}
+
+
 def test_blocked_comparison_alone_finds_all_links(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "STAR_ROUNDS", 0)
     docs = documents(spark).where("doc_id between 12 and 22")
@@ -414,6 +435,42 @@ def test_embedding_groups_equal_brute_force(spark):
     assert empty.count() == 0
 
 
+@pytest.mark.parametrize("values", [1 << 20, 64 * 100])
+def test_crowds_longer_than_the_lists(spark, monkeypatch, values):
+    # all linked with each other, too far apart for balls, and more than a list can hold
+    monkeypatch.setattr(embedding_groups, "CROWD_VALUES", values)
+    rng = np.random.Generator(np.random.PCG64(12))
+    vectors = rng.standard_normal(64) + 0.26 * rng.standard_normal((260, 64))
+    vectors = np.concatenate([vectors, rng.standard_normal((40, 64)), vectors[:20] + 0.4 * rng.standard_normal((20, 64))])
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near.sum(axis=1).max() > 250
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    result, recall = embedding_groups.group_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = {r["vec_id"]: r for r in result.collect()}
+    expected = grouped([(int(a), int(b)) for a, b in np.argwhere(near)], range(len(rows)))
+    assert recall == 1.0
+    assert [found[i]["n_links"] for i in range(len(rows))] == near.sum(axis=1).tolist()
+    assert [found[i]["component_id"] for i in range(len(rows))] == [expected[i] for i in range(len(rows))]
+
+
+def test_all_vectors_are_compared_if_the_audit_fails(spark, monkeypatch):
+    monkeypatch.setattr(embedding_groups, "TRIES", 1)
+    recalls = iter([0.5, 1.0, 0.5, 0.5])
+    monkeypatch.setattr(embedding_groups, "_audit", lambda units, result: next(recalls))
+    rng = np.random.Generator(np.random.PCG64(13))
+    vectors = np.repeat(rng.standard_normal((30, 16)), 3, axis=0) + 0.2 * rng.standard_normal((90, 16))
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["n_links"] for r in embedding_groups.group_embeddings(frame)[0].collect()}
+    assert [found[i] for i in range(90)] == near.sum(axis=1).tolist()
+    with pytest.raises(RuntimeError):
+        embedding_groups.group_embeddings(frame)
+
+
 def test_texts_fixture_has_the_cases():
     bodies = texts()
     assert None in bodies and "" in bodies and max(len(b or "") for b in bodies) > 50_000

@@ -6,10 +6,12 @@
 * NN-descent over centres: lists of the nearest other centres start from such leaves. In each round, every
   centre's neighbours (and those it is a neighbour of) are compared with each other, and each keeps its best.
   A list whose last entry could still hold links is saturated and doubles.
+* Crowds: balls whose lists are still saturated, or had to grow and hold nothing but possible links, are open. Their members are compared with all rows, in
+  broadcasts of bounded size, and counted like other links; lists decide only about pairs of balls that are not open.
 * Links: balls whose centres are near enough for a link are compared member by member, in blocks. Links are
   decided in double precision, and counted rather than written as pairs.
 * Audit: a bounded sample of vectors is compared with all rows. While the recall of its links is below RECALL, the
-  search is repeated with further random codes, and its candidates are added.
+  search goes on from its lists with further random codes; after TRIES all balls are open, which needs no lists.
 
 Defined results: null, zero, ragged-length or non-finite vectors link with nothing. Equal rows are one vector and
 share their result; rows with one id and different vectors are different vectors. Null ids link with nothing and have
@@ -42,6 +44,8 @@ RECALL = 0.99
 AUDITED = 500
 TRIES = 3
 BLOCK = 256
+CROWD_VALUES = 1 << 20  # numbers of one broadcast of members of open balls
+SLACK = 1e-3  # list cosines are single precision
 SEED = 97
 
 _VECTOR = "row long, vector array<float>"
@@ -195,16 +199,27 @@ def _local_join(table: pa.Table) -> pa.Table:
     )
 
 
-def _descend(lists: DataFrame, centres: DataFrame, stage: Stage, links_from: float) -> DataFrame:
-    """Rounds of NN-descent until few entries change."""
+def _state(lists: DataFrame, least: DataFrame) -> DataFrame:
+    """(a, last, keep, full, saturated, open) of every list; ``least`` has (a, least), from which on entries may hold
+    links. A list that has grown is open until it reaches below that, even if it is not full yet."""
+    ends = lists.groupBy("a").agg(F.min("cosine").alias("last"), F.count("*").alias("n"), F.max("keep").alias("keep"))
+    full = F.col("n") >= F.col("keep")
+    within = F.col("last") >= F.col("least")
+    return ends.join(least, "a").select(
+        "a",
+        "last",
+        "keep",
+        full.alias("full"),
+        (full & within).alias("saturated"),
+        ((full | (F.col("keep") > NEIGHBOURS)) & within).alias("open"),
+    )
+
+
+def _descend(lists: DataFrame, centres: DataFrame, stage: Stage, least: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rounds of NN-descent until few entries change and no list is saturated: the lists, and (centre) of open ones."""
+    state = stage(_state(lists, least))
     for _ in range(MOST_ROUNDS):
-        state = stage(
-            lists.groupBy("a").agg(
-                F.min("cosine").alias("last"), F.count("*").alias("n"), F.max("keep").alias("keep")
-            )
-        )
-        full = F.col("n") >= F.col("keep")
-        saturated = full & (F.col("last") >= links_from)
+        full, saturated = F.col("full"), F.col("saturated")
         # a saturated list is open again, at twice its length
         state_now = state.select(
             F.col("a").alias("x"),
@@ -234,9 +249,10 @@ def _descend(lists: DataFrame, centres: DataFrame, stage: Stage, links_from: flo
         size = better.count()
         stage.drop(lists, state)
         lists = better
-        if changed <= SETTLED * size:
+        state = stage(_state(lists, least))
+        if changed <= SETTLED * size and state.where("saturated").limit(1).count() == 0:
             break
-    return lists
+    return lists, stage(state.where("open").select(F.col("a").alias("centre")))
 
 
 def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,6 +296,78 @@ def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _against(crowd):
+    """Rows (row, centre, unit, open) against a broadcast of open ones: (row, n) links with rows of other balls, each
+    counted for both its rows, and (a, b) balls that they connect."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, balls, matrix = crowd.value
+        names, starts = np.unique(balls, return_index=True)
+        label = np.arange(len(names))
+        outside = np.zeros(len(rows), np.int64)
+        edges: set[tuple[int, int]] = set()
+
+        def out(row, n, a, b) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in (row, n, a, b)], names=["row", "n", "a", "b"]
+            )
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(start, BLOCK)
+                own = part.column("centre").to_numpy()
+                hit = _matrix(part.column("unit")) @ matrix.T >= COSINE
+                hit &= own[:, None] != balls[None, :]
+                n = hit.sum(axis=1)
+                some = np.flatnonzero(n)
+                if not len(some):
+                    continue
+                closed = ~part.column("open").to_numpy(zero_copy_only=False)
+                outside += hit[closed].sum(axis=0)
+                none = [None] * len(some)
+                yield out(part.column("row").to_numpy()[some], n[some], none, none)
+                # every ball that a row meets is connected; balls with one label are known to be
+                met = np.logical_or.reduceat(hit[some], starts, axis=1)
+                edges.update(zip(own[some].tolist(), names[met.argmax(axis=1)].tolist(), strict=True))
+                low = np.where(met, label, len(label)).min(axis=1)
+                for k in np.flatnonzero(low != np.where(met, label, -1).max(axis=1)):
+                    at = np.flatnonzero(met[k])
+                    labels, first = np.unique(label[at], return_index=True)
+                    reached = names[at[first]].tolist()
+                    edges.update((reached[0], other) for other in reached[1:])
+                    label[np.isin(label, labels)] = labels[0]
+        some = np.flatnonzero(outside)
+        none = [None] * len(some)
+        yield out(rows[some], outside[some], none, none)
+        none = [None] * len(edges)
+        yield out(none, none, [a for a, _ in edges], [b for _, b in edges])
+
+    return look
+
+
+def _crowds(open_: DataFrame, members: DataFrame, stage: Stage, width: int) -> DataFrame:
+    """(row, n, a, b): all links between balls of which one at least is open, as counts of rows and connected balls."""
+    spark = members.sparkSession
+    found = spark.createDataFrame([], "row long, n long, a long, b long")
+    if open_.limit(1).count() == 0:
+        return found
+    told = members.join(open_.withColumn("__open", F.lit(True)), "centre", "left")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    held = stage(
+        told.select("row", "centre", "unit", F.coalesce("__open", F.lit(False)).alias("open")).repartition(parts, "row")
+    )
+    passes = -(-held.where("open").count() // max(1, CROWD_VALUES // width))
+    for k in range(passes):
+        # balls stay together as far as they fit
+        own = held.where(F.col("open") & (F.pmod(F.xxhash64("row"), F.lit(passes)) == k)).orderBy("centre").toArrow()
+        if own.num_rows:
+            crowd = spark.sparkContext.broadcast((own["row"].to_numpy(), own["centre"].to_numpy(), _matrix(own["unit"])))
+            found = found.unionByName(stage(held.mapInArrow(_against(crowd), "row long, n long, a long, b long")))
+            crowd.unpersist()
+    stage.drop(held)
+    return found
+
+
 def _audit(units: DataFrame, result: DataFrame) -> float:
     """Share of a sample's links that were found; the sample is bounded, all rows are compared with it."""
     sample = units.select("row", "unit").orderBy(F.xxhash64("row"), "row").limit(AUDITED).collect()
@@ -324,15 +412,30 @@ def group_embeddings(vectors: DataFrame, *, key: str = "vec_id", vector: str = "
     )
     centres = stage(units.join(size.select(F.col("centre").alias("row")), "row", "left_semi"))
     members = stage(balls.join(units, "row").select("centre", "row", "unit"))
+    widest = size.agg(F.max("radius")).first()[0] or 0.0
+    least = stage(
+        size.select(F.col("centre").alias("a"), (F.cos(F.lit(angle + widest + SLACK) + F.col("radius")) - SLACK).alias("least"))
+    )
+    lists: DataFrame | None = None
     candidates: DataFrame | None = None
+    recall = 0.0
     for turn in range(TRIES):
-        lists = _descend(stage(_start(centres, SEED + 1 + turn, width)), centres, stage, math.cos(angle + 2 * reach))
-        near = lists.select("a", "b", "cosine").union(lists.select("b", "a", "cosine"))
+        begun = _start(centres, SEED + 1 + turn, width)
+        if lists is not None:
+            both = begun.unionByName(lists)
+            begun = _best(both.withColumn("keep", F.max("keep").over(Window.partitionBy("a"))))
+        lists, open_ = _descend(stage(begun), centres, stage, least)
+        near = stage(lists.select("a", "b", "cosine").union(lists.select("b", "a", "cosine")))
         candidates = near if candidates is None else candidates.union(near)
-        result, linked = _links(candidates, size, members, balls, stage, angle)
+        result, linked = _links(candidates, open_, size, members, balls, stage, angle, width)
         recall = _audit(units, result)
         if recall >= RECALL:
             break
+    else:
+        result, linked = _links(candidates, size.select("centre"), size, members, balls, stage, angle, width)
+        recall = _audit(units, result)
+        if recall < RECALL:
+            raise RuntimeError(f"links found by comparing all vectors have an audited recall of {recall}")
     labels = components(linked, stage)
     label = balls.join(labels.withColumnRenamed("id", "centre"), "centre", "left").select(
         "row", F.coalesce("component", "centre").alias("component")
@@ -355,19 +458,29 @@ def group_embeddings(vectors: DataFrame, *, key: str = "vec_id", vector: str = "
 
 
 def _links(
-    candidates: DataFrame, size: DataFrame, members: DataFrame, balls: DataFrame, stage: Stage, angle: float
+    candidates: DataFrame,
+    open_: DataFrame,
+    size: DataFrame,
+    members: DataFrame,
+    balls: DataFrame,
+    stage: Stage,
+    angle: float,
+    width: int,
 ) -> tuple[DataFrame, DataFrame]:
-    """((row, n_links), linked pairs of balls) from the pairs of balls that may hold links."""
+    """((row, n_links), linked pairs of balls) from the pairs of balls that may hold links, and from all rows for open
+    balls."""
+    crowds = _crowds(open_, members, stage, width)
+    for side in ("a", "b"):
+        candidates = candidates.join(open_.select(F.col("centre").alias(side)), side, "left_anti")
     of = lambda name, n, r: size.select(F.col("centre").alias(name), F.col("members").alias(n), F.col("radius").alias(r))
-    slack = 1e-3  # list cosines are single precision
     pairs = stage(
         candidates.groupBy("a", "b")
         .agg(F.max("cosine").cast("double").alias("cosine"))
         .join(of("a", "na", "ra"), "a")
         .join(of("b", "nb", "rb"), "b")
         .where(
-            F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cosine") + slack)))
-            <= F.lit(angle) + F.col("ra") + F.col("rb") + slack
+            F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cosine") + SLACK)))
+            <= F.lit(angle) + F.col("ra") + F.col("rb") + SLACK
         )
         .select("a", "b", F.ceil(F.col("na") / BLOCK).alias("parts"))
     )
@@ -384,10 +497,12 @@ def _links(
     keys = ["a", "part", "b"]
     dealt = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "role")
     counted = stage(dealt.mapInArrow(_count_links, "row long, a long, b long, n long"))
-    outside = counted.groupBy("row").agg(F.sum("n").alias("outside"))
+    every = counted.select("row", "n").unionByName(crowds.where(F.col("row").isNotNull()).select("row", "n"))
+    outside = every.groupBy("row").agg(F.sum("n").alias("outside"))
     result = stage(
         balls.join(size, "centre")
         .join(outside, "row", "left")
         .select("row", (F.col("members") - 1 + F.coalesce("outside", F.lit(0))).alias("n_links"))
     )
-    return result, counted.select("a", "b").distinct()
+    connected = counted.select("a", "b").unionByName(crowds.where(F.col("a").isNotNull()).select("a", "b"))
+    return result, connected.distinct()

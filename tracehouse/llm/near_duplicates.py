@@ -212,10 +212,13 @@ def group_near_duplicates(
         if turn == STAR_ROUNDS:
             found = _blocked(search, labelled)
         else:
-            order = F.struct(F.col("company"), (-F.col("rep")).alias("back"), F.col("label"))
+            # labels fall between rounds: only what stays the same tells who has led
+            place = F.struct(F.col("company"), (-F.col("rep")).alias("back"))
             able = labelled
             if last is not None:
-                able = able.join(last, "key", "left").where(F.col("was").isNull() | (order < F.col("was")))
+                before = last.select("key", F.struct("was.company", "was.back").alias("before"))
+                able = able.join(before, "key", "left").where(F.col("before").isNull() | (place < F.col("before")))
+            order = F.struct(F.col("company"), (-F.col("rep")).alias("back"), F.col("label"))
             led = stage(able.groupBy("key").agg(F.max(order).alias("was")))
             last = led
             pairs = (
