@@ -27,7 +27,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_numbers():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, tmp_path):

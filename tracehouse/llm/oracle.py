@@ -164,3 +164,75 @@ n AS (SELECT vec_id AS a FROM v),
 k AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
 SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
 FROM v LEFT JOIN k ON k.a = v.vec_id JOIN component ON component.a = v.vec_id"""
+
+# crc32 of the id's decimal digits: a byte is added, and eight steps divide by the fixed polynomial
+_CRC32 = """
+xor(list_reduce(
+  list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END),
+  4294967295)"""
+
+# All pairs of equal 5-grams of a text, up to a quarter of it apart, as islands on their diagonals. A stretch whose period
+# is a multiple of a smaller one of a stretch around it is no run.
+ORACLE["op12_periodic_runs"] = rf"""
+WITH h AS (SELECT doc_id, t, w, len(w) AS n, {_CRC32} AS h FROM ({_TEXTS})),
+g AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+d AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM p
+),
+gram AS (
+  SELECT doc_id, n, i, md5(array_to_string(w[i + 1:i + 5], ' ')) AS x
+  FROM (SELECT doc_id, n, w, unnest(range(0, n - 4)) AS i FROM d)
+),
+pair AS (
+  SELECT l.doc_id, l.i, r.i - l.i AS q FROM gram l JOIN gram r
+  ON l.doc_id = r.doc_id AND l.x = r.x AND l.i < r.i AND 4 * (r.i - l.i) <= l.n
+),
+island AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pair),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + 4 + q AS l FROM island GROUP BY doc_id, q, k),
+long_ AS (SELECT * FROM stretch WHERE l >= greatest(6, 4 * q)),
+run AS (
+  SELECT * FROM long_ a WHERE NOT EXISTS (
+    SELECT 1 FROM long_ b WHERE a.doc_id = b.doc_id AND b.q < a.q AND a.q % b.q = 0 AND b.s <= a.s AND b.s + b.l >= a.s + a.l)
+),
+best AS (
+  SELECT doc_id, s, l, q FROM run
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l::DOUBLE / q DESC, s, q) = 1
+),
+lines AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS x
+  FROM run GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM run),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS x FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, 1000 * l // q AS exponent_milli,
+  sha256(coalesce(lines.x, '')) AS runs_sha256, sha256(coalesce(kept.x, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+score AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM score WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN score s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""

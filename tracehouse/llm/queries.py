@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracehouse.llm import language, line_crf
+from tracehouse.llm import language, line_crf, merge_replay
 from tracehouse.llm.bpe import encode_decode
 from tracehouse.llm.common import crc_of_id, read_table
 from tracehouse.llm.embedding_groups import group_embeddings
+from tracehouse.llm.hard_negatives import mine_negatives
 from tracehouse.llm.line_quality import line_quality
 from tracehouse.llm.mixing import mix_sources
 from tracehouse.llm.near_duplicates import group_near_duplicates
+from tracehouse.llm.periodic_runs import periodic_runs, planted, run_lines
 from tracehouse.llm.secret_scan import base_spans, count_kind, scan, written
 from tracehouse.llm.substrings import remove_repeats
 from tracehouse.llm.token_counts import token_counts
@@ -118,3 +120,40 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted")
     )
+
+
+@_query
+def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = merge_replay.encode_decode(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs(planted(docs, number))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
