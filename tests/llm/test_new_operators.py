@@ -233,7 +233,7 @@ def vectors(seed: int, n: int, hot: float = 0.4):
         if i % 50 == 7:
             x = [100.0 * v for v in x]
         rows.append((i, x, 0 if rng.random() < hot else rng.randint(1, 4), "own"))
-    odd = [(n + 1, None, 1, "o"), (n + 2, [1.0, None, 0, 0, 0, 0.0], 1, "o"), (n + 3, [float("nan")] * 6, 1, "o")]
+    odd = [(n + 1, None, 1, "o"), (n + 2, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1, "o"), (n + 3, [float("nan")] * 6, 1, "o")]
     odd += [(n + 4, [float("inf")] + [1.0] * 5, 1, "o"), (n + 5, [1.0] * 6, None, "o"), (None, [1.0] * 6, 1, "o")]
     odd += [(n + 6, [], 1, "o"), (n + 7, [], 2, "o")]
     return rows, odd
