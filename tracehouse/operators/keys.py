@@ -8,8 +8,9 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracehouse.functions.columns import free_name, named
 from tracehouse.functions.text import char_at, slice_text
-from tracehouse.operators.skew import ROWS_PER_TASK, positions
+from tracehouse.operators.skew import ROWS_PER_TASK, global_positions, positions
 
 # Run keys whose register code differs, and a misnamed sequence.
 RUN_KEY_CODES = {
@@ -42,17 +43,13 @@ def uniquify_keys(
     """
     if order not in ("time", "text"):
         raise ValueError(f"order must be 'time' or 'text', got {order!r}")
-    by = date
+    by, columns = date, df.columns
     if order == "time" and dict(df.dtypes)[date] == "string":
-        by = "__when"
-        df = df.withColumn(by, acquisition_time(F.col(date)))
-    ranked = positions(df, key, by, dense=True, rows_per_task=rows_per_task)
-    unique = F.when(
-        F.col("rank") > 1, F.concat_ws("_", F.col(key), F.col("rank").cast("string"))
-    ).otherwise(F.col(key))
-    return ranked.select(
-        *[unique.alias(c) if c == key else F.col(c) for c in df.columns if c != "__when"]
-    )
+        by = free_name(columns, "when")
+        df = df.withColumn(by, acquisition_time(named(date)))
+    ranked, at = positions(df, key, by, dense=True, rows_per_task=rows_per_task)
+    unique = F.when(at["rank"] > 1, F.concat_ws("_", named(key), at["rank"].cast("string"))).otherwise(named(key))
+    return ranked.select(*[unique.alias(c) if c == key else named(c) for c in columns])
 
 
 def remap_key(col: Column, codes: Mapping[str, str] = RUN_KEY_CODES) -> Column:
@@ -88,12 +85,19 @@ def sequences(runs: DataFrame) -> DataFrame:
 
 
 def surrogate_key(
-    df: DataFrame, order: str | list[str], name: str = "pk", rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    order: str | list[str],
+    name: str = "pk",
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number the rows from 1 along a natural key, so that a rerun gives the same numbers.
 
-    All rows form one key here, which ``positions`` cuts into slices once it is large.
+    The table is range partitioned along the key, counted per partition and written once; rows with equal keys are
+    numbered by their contents. ``rows``: their number, if known.
     """
-    whole = df.withColumn("__all", F.lit(0))
-    numbered = positions(whole, "__all", order, rows_per_task=rows_per_task)
-    return numbered.select((F.col("idx") + 1).alias(name), *df.columns)
+    if free_name(df.columns, name) != name:
+        raise ValueError(f"there is a column {name} already")
+    numbered, number = global_positions(df, order, rows_per_task=rows_per_task, rows=rows)
+    return numbered.select((number + 1).alias(name), *map(named, df.columns))

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tracehouse.operators.quality import require_rows
 from tracehouse.operators.reshape import pivot_values, union_distinct, unpivot_values
+from tracehouse.operators.skew import positions
 
 CHANNELS = ("a", "b")
 TARGET_GRADIENT = 2.5
+MOST_STEPS = 100_000  # rows of a pump program, over all channels
 
 
 def mechanical_params(timetables: DataFrame) -> DataFrame:
@@ -98,10 +100,8 @@ def counts_per_gradient(gradient_table: DataFrame) -> DataFrame:
     return gradient_table.groupBy("gradient").agg(F.count("*").alias("count"))
 
 
-def elution_table(
-    timetables: DataFrame, solvcomps: DataFrame, id_col: str = "num", time: str = "time"
-) -> DataFrame:
-    """Wide program of the older layout: one row per (id, time), a column per channel, entry number."""
+def _elution_steps(timetables: DataFrame, solvcomps: DataFrame, id_col: str, time: str) -> DataFrame:
+    """(id, time, channel, percent) of the starting compositions and all steps."""
     steps = unpivot_values(
         timetables.select(id_col, F.col(time).cast("double"), *[F.col(c).cast("double") for c in CHANNELS]),
         [id_col, time],
@@ -109,16 +109,34 @@ def elution_table(
         "channel",
         "percent",
     )
-    stacked = union_distinct(zero_point(solvcomps, [id_col], time), steps)
-    return pivot_values(stacked, [id_col, time], "channel", "percent", CHANNELS)
+    return zero_point(solvcomps, [id_col], time).unionByName(steps)
 
 
-def numbered_elution_table(
+def elution_table(
     timetables: DataFrame, solvcomps: DataFrame, id_col: str = "num", time: str = "time"
 ) -> DataFrame:
-    """``elution_table`` with the steps of each program numbered from 1."""
-    from tracehouse.operators.skew import positions
+    """Wide program of the older layout: one row per (id, time) and a column per channel."""
+    # the pivot keeps one value a cell, so equal rows need no distinct of their own
+    stacked = _elution_steps(timetables, solvcomps, id_col, time)
+    return pivot_values(stacked, [id_col, time], "channel", "percent", CHANNELS)
+
+
+def numbered_elution_table(
+    timetables: DataFrame, solvcomps: DataFrame, id_col: str = "num", time: str = "time", *,
+    most_steps: int | None = MOST_STEPS,
+) -> DataFrame:
+    """``elution_table`` with the steps of each program numbered from 1.
 
-    wide = elution_table(timetables, solvcomps, id_col, time)
-    numbered = positions(wide, id_col, time, dense=True)
-    return numbered.select(*wide.columns, F.col("rank").alias("entry"))
+    Steps are ranked before the pivot, in the partitioning that it uses too: one shuffle in all. No program of a pump
+    has more than ``most_steps`` rows; a larger one fails in the task that meets it. With None, rows are counted first
+    and programs of any size are numbered.
+    """
+    stacked = _elution_steps(timetables, solvcomps, id_col, time)
+    ranked, at = positions(stacked, id_col, time, dense=True, most_rows=most_steps)
+    entry = at["rank"]
+    if most_steps is not None:
+        message = F.concat(F.lit(f"more than {most_steps} steps in program "), F.col(id_col).cast("string"))
+        entry = F.when(at["n"] > most_steps, F.raise_error(message).cast("long")).otherwise(entry)
+    numbered = ranked.select(*stacked.columns, entry.alias("entry"))
+    wide = pivot_values(numbered, [id_col, time, "entry"], "channel", "percent", CHANNELS)
+    return wide.select(id_col, time, *CHANNELS, "entry")

@@ -1,70 +1,40 @@
 """Hot-key handling for work that Spark cannot split by itself.
 
-Aggregates combine before the shuffle and AQE splits skewed joins, but a window sends a whole
-key to one task. ``positions`` numbers the rows of every key without doing so: a hot key is cut
-into slices of its ordering column, each slice is numbered on its own, and the slices are
-stitched together with the row counts of those before them.
+Aggregates combine before the shuffle and AQE splits skewed joins, but a window sends a whole key to
+one task. ``positions`` numbers the rows of every key without doing so: the rows of hot keys are range
+partitioned by key and order, so a key is a stretch of tasks, each numbers its own part, and the parts
+are stitched together with the row counts of those before them.
+
+Computed values come back in one struct column whose name no column of the input has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from math import ceil
-from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracehouse.functions.columns import quoted
-from tracehouse.functions.times import local_micros
+from tracehouse.functions.columns import free_name, named, quoted
+from tracehouse.sources.staging import staged
 
 # A key below this many rows is sorted by one task.
 ROWS_PER_TASK = 4_000_000
 # A key is hot only above 1/MAX_HOT of all rows, so there are never more hot keys than this.
 MAX_HOT = 32_768
 
-SLICE = "__slice"
-PARTS = 32  # most slices made of one cell at a time
-MAX_CUTS = 8
-LABEL_WIDTH = 2
-_BYTES = 6  # bytes of a text that fit exactly in a double
+_ORDERED = (T.NumericType, T.StringType, T.BinaryType, T.TimestampNTZType, T.TimestampType, T.DateType, T.BooleanType)
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Join condition in which null keys equal each other, as they do in grouping."""
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
-
+    return reduce(lambda a, b: a & b, (left[quoted(k)].eqNullSafe(right[quoted(k)]) for k in keys))
 
-def hot_limit(counts: DataFrame, rows_per_task: int) -> int | None:
-    """Row count above which a group of ``counts`` is hot, or None when no group is."""
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    if largest is None or largest <= rows_per_task:
-        return None
-    return max(rows_per_task, total // MAX_HOT)
 
-
-def _number(kind: T.DataType, value: Column, skip: Column) -> Column:
-    """Number that rises with an order value; for text, from the bytes behind ``skip`` shared ones."""
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        raw = F.encode(value, "utf-8") if isinstance(kind, T.StringType) else value
-        return F.conv(F.rpad(F.hex(F.substring(raw, skip + 1, F.lit(_BYTES))), 2 * _BYTES, "0"), 16, 10).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return local_micros(value)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value)
-    if isinstance(kind, T.BooleanType):
-        return value.cast("int")
-    return value
-
-
-_ORDERED = (T.NumericType, T.StringType, T.BinaryType, T.TimestampNTZType, T.TimestampType, T.DateType, T.BooleanType)
-
-
-def _require_ordered(df: DataFrame, order: Sequence[str]) -> None:
+def _require_ordered(df: DataFrame, order: Iterable[str]) -> None:
     """Fail on every path alike, rather than only once a key is large."""
     for name in order:
         kind = df.schema[name].dataType
@@ -72,139 +42,51 @@ def _require_ordered(df: DataFrame, order: Sequence[str]) -> None:
             raise TypeError(f"cannot order by {name} of type {kind.simpleString()}")
 
 
-def _shared_bytes(low, high) -> int:
-    """Length of the common beginning of two texts, which all texts between them share."""
-    if not isinstance(low, (str, bytes, bytearray)):
-        return 0
-    low, high = (x.encode() if isinstance(x, str) else bytes(x) for x in (low, high))
-    return len(commonprefix([low, high]))
-
-
-def slice_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> tuple[DataFrame, bool]:
-    """Add a slice label that rises with ``order`` and keeps every (key, slice) sortable by one task.
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, int, int] | None:
+    """Keys with more rows than a task should sort, their rows in all and the limit they exceed; None without any.
 
-    Cold keys keep the empty label. Hot ones are cut at quantiles of their order values, so a burst
-    in time is divided like any other stretch; a slice that is still too large is cut again, and one
-    of equal values by the next order column, until only rows equal in all of them remain together.
-    Hot cells hold over 1/MAX_HOT of all rows each, which bounds their number: their cut points are
-    collected, so that every later use sees the same slices, and broadcast.
+    One scan of the key columns. Hot keys hold over 1/MAX_HOT of all rows each, which bounds what is collected.
     """
-    keys = list(keys)
-    order = [order] if isinstance(order, str) else list(order)
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    limit = hot_limit(counts, rows_per_task)
-    sliced = df.withColumn(SLICE, F.lit(""))
-    if limit is None:
-        return sliced, False
-
-    hot = counts.where(F.col("n") > limit).select(*keys)
-    hot = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
-    for place, column in enumerate(order):
-        sliced = _cut(sliced, hot, keys, order[:place], column, limit)
-    return sliced, True
+    n = free_name(keys, "n")
+    counts = df.groupBy(*map(named, keys)).agg(F.count("*").alias(n))
+    total, largest = counts.agg(F.sum(n), F.max(n)).first()
+    if largest is None or largest <= rows_per_task:
+        return None
+    limit = max(rows_per_task, total // MAX_HOT)
+    rows = counts.where(F.col(n) > limit).collect()
+    if not rows:
+        return None
+    found = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in rows], T.StructType(counts.schema.fields[:-1]))
+    return found, sum(r[n] for r in rows), limit
 
 
-def _cut(
-    sliced: DataFrame, hot: DataFrame, keys: list[str], settled: Sequence[str], by: str, limit: int
-) -> DataFrame:
-    """Cut the cells above ``limit`` that are equal in the ``settled`` columns at quantiles of ``by``.
+def _sorted(df: DataFrame, order: Sequence[str], parts: int) -> tuple[DataFrame, str]:
+    """``df`` sorted along ``order`` over ``parts`` tasks, with each row's place.
 
-    Nulls come first in Spark's order, so they form the part before the first cut.
+    The place is a struct of ``part`` (ascending along the order) and ``row`` (ascending in the part; the upper bits hold
+    the part). Rows with equal order values are dealt by a hash of all their columns, so a rerun places them alike, and
+    rows that are equal in everything at random.
     """
-    spark, kind = sliced.sparkSession, sliced.schema[by].dataType
-    columns = [c for c in sliced.columns if c != SLICE]
-    recent = sliced.join(F.broadcast(hot), same_keys(sliced, hot, keys), "left_semi")
-    for _ in range(MAX_CUTS):
-        one_value = reduce(
-            lambda a, c: a
-            & F.min(c).eqNullSafe(F.max(c))
-            & ((F.count(c) == 0) | (F.count(c) == F.count("*"))),
-            settled,
-            F.lit(True),
-        )
-        extents = (
-            recent.groupBy(*keys, SLICE)
-            .agg(
-                F.count("*").alias("__n"),
-                F.min(by).alias("__lo"),
-                F.max(by).alias("__hi"),
-                F.count(by).alias("__known"),
-                one_value.alias("__one"),
-            )
-            .where((F.col("__n") > limit) & F.col("__one") & (F.col("__known") > 0))
-            .where((F.col("__hi") > F.col("__lo")) | (F.col("__known") < F.col("__n")))
-            .drop("__known", "__one")
-        )
-        found = extents.collect()
-        if not found:
-            break
-        parts = {tuple(r[: len(keys) + 1]): min(PARTS, max(2, 2 * ceil(r["__n"] / limit))) for r in found}
-        cells = spark.createDataFrame(
-            [(*r[: len(keys) + 1], _shared_bytes(r["__lo"], r["__hi"])) for r in found],
-            T.StructType(extents.schema.fields[:-3] + [T.StructField("__skip", T.IntegerType())]),
-        )
-        number = _number(kind, F.col(by), F.col("__skip")).cast("double")
-        fractions = [i / PARTS for i in range(1, PARTS)]
-        quantiles = (
-            _with_cell(recent, cells, keys, "inner")
-            .groupBy(*keys, SLICE, "__skip")
-            .agg(F.percentile_approx(number, fractions).alias("__cuts"), F.min(number).alias("__least"))
-        )
-        cuts = []
-        for row in quantiles.collect():
-            cell = tuple(row[: len(keys) + 1])
-            wanted = [PARTS * i // parts[cell] - 1 for i in range(1, parts[cell])]
-            # the least value parts the nulls from the rest
-            cuts.append((*row[:-2], [row["__least"], *(row["__cuts"][i] for i in wanted)]))
-        cuts = spark.createDataFrame(cuts, T.StructType(quantiles.schema.fields[:-1]))
-        part = F.size(F.filter("__cuts", lambda cut: cut <= number))
-        label = F.concat(F.col(SLICE), F.lpad(part.cast("string"), LABEL_WIDTH, "0"))
-        marked = _with_cell(sliced, cuts, keys, "left")
-        sliced = marked.select(
-            *[F.col(quoted(c)) for c in columns],
-            F.when(F.col("__cuts").isNotNull(), label).otherwise(F.col(SLICE)).alias(SLICE),
-        )
-        recent = _with_cell(recent, cuts, keys, "inner").select(*[F.col(quoted(c)) for c in columns], label.alias(SLICE))
-    return sliced
-
-
-def _with_cell(rows: DataFrame, cells: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Rows with the further columns of their cell. The cells are few, see ``slice_hot_keys``."""
-    condition = same_keys(rows, cells, [*keys, SLICE])
-    further = [c for c in cells.columns if c not in (*keys, SLICE)]
-    joined = rows.join(F.broadcast(cells), condition, how)
-    return joined.select(*[rows[quoted(c)] for c in rows.columns], *[cells[c] for c in further])
+    place = free_name(df.columns, "place")
+    hashed = [named(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
+    ties = F.struct(F.xxhash64(*hashed).alias("hash"), F.rand(1).alias("rand"))
+    by = [*map(named, order), F.col(place)["hash"], F.col(place)["rand"]]
+    ranged = df.withColumn(place, ties).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    at = F.struct(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+    return ranged.withColumn(place, at), place
 
 
-def positions(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    order: str | Sequence[str],
-    *,
-    dense: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-    most_rows: int | None = None,
-) -> DataFrame:
-    """Number the rows of each key along ``order`` (later columns only break ties).
-
-    Adds ``idx`` (from 0), ``prev`` (previous order value), ``n`` (rows of the key), ``first`` and
-    ``last`` (bounds of the order column) and, if ``dense``, ``rank`` (dense, from 1). All come
-    from one window specification: one shuffle and one sort of the rows. Nulls come first.
+def range_placed(df: DataFrame, order: Sequence[str], rows: int, limit: int) -> tuple[DataFrame, str]:
+    """``_sorted`` over tasks of about half of ``limit`` rows, written.
 
-    Rows per key are counted first, which reads the input once more. A caller that knows the largest
-    count gives it as ``most_rows``; below ``rows_per_task`` no job runs while the query is built.
+    Spark samples the ranges anew in each job; the table is written, so every later use sees the same ones.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [order] if isinstance(order, str) else list(order)
-    _require_ordered(df, order)
-    by = order[0]
-    if most_rows is not None and most_rows <= rows_per_task:
-        sliced, hot = df.withColumn(SLICE, F.lit("")), False
-    else:
-        sliced, hot = slice_hot_keys(df, keys, order, rows_per_task)
-    cell = [*keys, SLICE] if hot else keys
+    placed, place = _sorted(df, order, max(1, ceil(2 * rows / limit)))
+    return staged(placed, "placed"), place
+
+
+def _numbered(df: DataFrame, cell: list[Column], order: list[Column], by: Column, dense: bool, name: str) -> DataFrame:
+    """Numbers within every cell, from one window specification: one shuffle and one sort of the rows."""
     along = Window.partitionBy(*cell).orderBy(*order)
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     computed = {
@@ -215,55 +97,126 @@ def positions(
         "last": F.last(by).over(whole),
     }
     if dense:
-        by_value = Window.partitionBy(*cell).orderBy(by)
-        computed["rank"] = F.dense_rank().over(by_value).cast("long")
-    numbered = sliced.withColumns(computed)
-    if not hot:
-        return numbered.drop(SLICE)
-
-    # one row per slice of a hot key: at most a few times MAX_HOT rows, as cells are cut in
-    # proportion to their rows. Null is a value like others, and the first one.
-    ranked = F.struct(F.col(by).isNotNull().alias("known"), F.col(by).alias("value"))
-    slices = (
-        sliced.where(F.col(SLICE) != "")
-        .groupBy(*keys, SLICE)
-        .agg(
-            F.count("*").alias("__n"),
-            F.min(ranked)["value"].alias("__first"),
-            F.max(ranked)["value"].alias("__last"),
-            *([F.count_distinct(ranked).alias("__values")] if dense else []),
-        )
+        computed["rank"] = F.dense_rank().over(Window.partitionBy(*cell).orderBy(by)).cast("long")
+    return df.withColumn(name, F.struct(*[c.alias(field) for field, c in computed.items()]))
+
+
+def _by_range(
+    df: DataFrame, keys: list[str], order: list[str], rows: int, limit: int, dense: bool, name: str
+) -> DataFrame:
+    """Numbers of the rows of hot keys: part by part, then stitched together."""
+    by = order[0]
+    placed, place = range_placed(df, [*keys, *order], rows, limit)
+    part = F.col(place)["part"]
+    numbered = _numbered(placed, [part, *map(named, keys)], [F.col(place)["row"]], named(by), dense, name)
+
+    # one row per part of a hot key: at most the parts and the hot keys. Null is a value like others, and the first.
+    ranked = F.struct(named(by).isNotNull().alias("known"), named(by).alias("value"))
+    at = free_name([*placed.columns, name], "part")
+    of = free_name([*placed.columns, name, at], "own")
+    own = {
+        "n": F.count("*"),
+        "first": F.min(ranked)["value"],
+        "last": F.max(ranked)["value"],
+        **({"values": F.count_distinct(ranked)} if dense else {}),
+    }
+    parts = (
+        placed.groupBy(*map(named, keys), part.alias(at))
+        .agg(*[c.alias(f"{of}{field}") for field, c in own.items()])
+        .select(*map(named, keys), at, F.struct(*[F.col(f"{of}{field}").alias(field) for field in own]).alias(of))
     )
-    before = Window.partitionBy(*keys).orderBy(SLICE)
+    before = Window.partitionBy(*map(named, keys)).orderBy(at)
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
     every = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    here = F.col(of)
     stitched = {
-        "__offset": F.coalesce(F.sum("__n").over(earlier), F.lit(0)),
-        "__prev": F.lag("__last").over(before),
-        "__all": F.sum("__n").over(every),
-        "__low": F.first("__first").over(every),
-        "__high": F.last("__last").over(every),
+        "offset": F.coalesce(F.sum(here["n"]).over(earlier), F.lit(0)),
+        "prev": F.lag(here["last"]).over(before),
+        "n": F.sum(here["n"]).over(every),
+        "first": F.first(here["first"]).over(every),
+        "last": F.last(here["last"]).over(every),
     }
     if dense:
-        # slices that part rows with equal values share that value's rank
-        follows = (F.row_number().over(before) > 1) & F.col("__first").eqNullSafe(F.lag("__last").over(before))
-        slices = slices.withColumn("__shared", follows.cast("long"))
-        own = F.col("__values") - F.col("__shared")
-        stitched["__ranks"] = F.coalesce(F.sum(own).over(earlier), F.lit(0)) - F.col("__shared")
-    offsets = slices.select(*keys, SLICE, *[c.alias(name) for name, c in stitched.items()])
-    joined = numbered.join(
-        F.broadcast(offsets), same_keys(numbered, offsets, [*keys, SLICE]), "left"
-    )
-    is_sliced = numbered[SLICE] != ""
-    columns = {
-        "idx": F.col("idx") + F.coalesce(F.col("__offset"), F.lit(0)),
-        "prev": F.when(is_sliced & (F.col("idx") == 0), F.col("__prev")).otherwise(F.col("prev")),
-        "n": F.when(is_sliced, F.col("__all")).otherwise(F.col("n")),
-        "first": F.when(is_sliced, F.col("__low")).otherwise(F.col("first")),
-        "last": F.when(is_sliced, F.col("__high")).otherwise(F.col("last")),
+        # parts that hold equal values at their border share that value's rank
+        follows = (F.row_number().over(before) > 1) & here["first"].eqNullSafe(F.lag(here["last"]).over(before))
+        shared = free_name([*keys, at, of], "shared")
+        parts = parts.withColumn(shared, follows.cast("long"))
+        new = here["values"] - F.col(shared)
+        stitched["ranks"] = F.coalesce(F.sum(new).over(earlier), F.lit(0)) - F.col(shared)
+    offsets = parts.select(*map(named, keys), at, F.struct(*[c.alias(f) for f, c in stitched.items()]).alias(of))
+    condition = same_keys(numbered, offsets, keys) & (numbered[place]["part"] == offsets[at])
+    joined = numbered.join(F.broadcast(offsets), condition)
+    mine, whole = F.col(name), F.col(of)
+    fields = {
+        "idx": mine["idx"] + whole["offset"],
+        "prev": F.when(mine["idx"] == 0, whole["prev"]).otherwise(mine["prev"]),
+        "n": whole["n"],
+        "first": whole["first"],
+        "last": whole["last"],
     }
     if dense:
-        columns["rank"] = F.col("rank") + F.coalesce(F.col("__ranks"), F.lit(0))
-    return joined.select(
-        *[numbered[quoted(c)] for c in df.columns], *[c.alias(name) for name, c in columns.items()]
-    )
+        fields["rank"] = mine["rank"] + whole["ranks"]
+    values = F.struct(*[c.alias(field) for field, c in fields.items()])
+    return joined.select(*[numbered[quoted(c)] for c in df.columns], values.alias(name))
+
+
+def positions(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    order: str | Sequence[str],
+    *,
+    dense: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
+    most_rows: int | None = None,
+) -> tuple[DataFrame, Column]:
+    """The rows of ``df`` and, for each, its place among the rows of its key along ``order``.
+
+    The place is a struct column of the returned frame: ``idx`` (from 0), ``prev`` (previous order value), ``n`` (rows of
+    the key), ``first`` and ``last`` (bounds of the order column) and, if ``dense``, ``rank`` (dense, from 1). Later
+    order columns only break ties. Nulls come first. No column of ``df`` is touched, whatever its name.
+
+    Rows per key are counted first, which reads the key columns once more. A caller that knows the largest count gives
+    it as ``most_rows``; below ``rows_per_task`` no job runs while the query is built.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    _require_ordered(df, order)
+    name = free_name(df.columns, "position")
+    small = most_rows is not None and most_rows <= rows_per_task
+    hot = None if small else hot_keys(df, keys, rows_per_task)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return _numbered(rows, [named(k) for k in keys], [named(c) for c in order], named(order[0]), dense, name)
+
+    if hot is None:
+        return plain(df), F.col(name)
+    few, rows, limit = hot
+    of_hot = same_keys(df, few, keys)
+    large = _by_range(df.join(F.broadcast(few), of_hot, "left_semi"), keys, order, rows, limit, dense, name)
+    return plain(df.join(F.broadcast(few), of_hot, "left_anti")).unionByName(large), F.col(name)
+
+
+def global_positions(
+    df: DataFrame, order: str | Sequence[str], *, rows_per_task: int = ROWS_PER_TASK, rows: int | None = None
+) -> tuple[DataFrame, Column]:
+    """The rows of ``df`` and each one's number, from 0, along ``order`` over the whole table.
+
+    Rows are range partitioned along the order and counted per partition; a row's number is the sum of the counts before
+    its partition and its own place there. ``rows``: their number, if known; they are counted otherwise.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    _require_ordered(df, order)
+    rows = df.count() if rows is None else rows
+    number = free_name(df.columns, "number")
+    if rows <= rows_per_task:
+        placed, place = _sorted(df, order, 1)
+        return placed.select(*map(named, df.columns), F.col(place)["row"].alias(number)), F.col(number)
+    placed, place = range_placed(df, order, rows, rows_per_task)
+    within = F.col(place)["row"] - F.shiftleft(F.col(place)["part"].cast("long"), 33)
+    part, before = free_name(placed.columns, "part"), free_name(placed.columns, "before")
+    counts = placed.groupBy(F.col(place)["part"].alias(part)).agg(F.count("*").alias(before))
+    # one row per partition
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
+    joined = placed.join(F.broadcast(offsets), placed[place]["part"] == offsets[part])
+    return joined.select(*[placed[quoted(c)] for c in df.columns], (within + F.col(before)).alias(number)), F.col(number)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracehouse.functions.columns import named
+from tracehouse.functions.columns import free_name, named
 from tracehouse.operators.skew import ROWS_PER_TASK, positions
 
 STEP_DIGITS = 9
@@ -27,16 +27,15 @@ def image_columns(df: DataFrame, keys: Sequence[str] = ("runid", "id", "path", "
 def rezero_time(df: DataFrame, key: str, time: str = "mins") -> DataFrame:
     """Shift each run's times to start at zero."""
     # only the smallest time of each run is needed, so no window: an aggregate combines early
-    starts = df.groupBy(key).agg(F.min(time).alias("__start"))
+    start = free_name(df.columns, "start")
+    starts = df.groupBy(key).agg(F.min(time).alias(start))
     shifted = df.join(starts, key, "left")
-    return shifted.select(
-        *[(F.col(time) - F.col("__start")).alias(c) if c == time else named(c) for c in df.columns]
-    )
+    return shifted.select(*[(F.col(time) - F.col(start)).alias(c) if c == time else named(c) for c in df.columns])
 
 
 def signal_stats(
     df: DataFrame, key: str | Sequence[str], time: str, value: str, *, digits: int = 2,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, most_rows: int | None = None,
 ) -> DataFrame:
     """Per run: bounds and count of time, bounds of the value and the first index of each, rate in Hz.
 
@@ -44,19 +43,19 @@ def signal_stats(
     The statistics follow the numbering without another shuffle of the rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    trace = positions(df.select(*keys, time, value), keys, time, rows_per_task=rows_per_task)
-    rate = F.try_divide(F.lit(1.0), 60 * (F.col(time) - F.col("prev")))
-    valued = F.when(F.col(value).isNotNull(), F.col("idx"))
+    trace, at = positions(
+        df.select(*keys, time, value), keys, time, rows_per_task=rows_per_task, most_rows=most_rows
+    )
+    rate = F.try_divide(F.lit(1.0), 60 * (F.col(time) - at["prev"]))
+    valued = F.when(F.col(value).isNotNull(), at["idx"])
     return trace.groupBy(*keys).agg(
         F.min(time).alias("mins_min"),
         F.max(time).alias("mins_max"),
         F.count(time).alias("mins_count"),
         F.min(value).alias("abs_min"),
         F.max(value).alias("abs_max"),
-        F.min_by(valued, F.when(valued.isNotNull(), F.struct(value, "idx"))).alias("abs_argmin"),
-        F.max_by(
-            valued, F.when(valued.isNotNull(), F.struct(F.col(value), -F.col("idx")))
-        ).alias("abs_argmax"),
+        F.min_by(valued, F.when(valued.isNotNull(), F.struct(F.col(value), at["idx"]))).alias("abs_argmin"),
+        F.max_by(valued, F.when(valued.isNotNull(), F.struct(F.col(value), -at["idx"]))).alias("abs_argmax"),
         F.round(F.avg(rate), digits).alias("hertz"),
     )
 
@@ -94,25 +93,32 @@ def _trace_keys(df: DataFrame, key: str) -> list[str]:
     return [key, "path"] if "path" in df.columns else [key]
 
 
-def _even_time(key: str, time: str) -> Column:
-    """Even time of a numbered row; fails where the grid would end before the rows do."""
-    step = even_step(F.col("n"), F.col("first"), F.col("last"))
-    room = F.ceil((F.col("last") + step) / step)
+def _even_time(at: Column, key: str, time: str) -> Column:
+    """Even time of a row by its place; fails where the grid would end before the rows do."""
+    step = even_step(at["n"], at["first"], at["last"])
+    room = F.ceil((at["last"] + step) / step)
     message = F.concat(F.lit(f"{time} grid too short for {key} "), F.col(key).cast("string"))
-    too_short = (step > 0) & (F.col("n") > room)
-    return F.when(too_short, F.raise_error(message).cast("double")).otherwise(F.col("idx") * step)
+    too_short = (step > 0) & (at["n"] > room)
+    return F.when(too_short, F.raise_error(message).cast("double")).otherwise(at["idx"] * step)
 
 
-def _leading_rows(key: str, rows: int, short: str) -> Column:
-    """True for the first ``rows`` rows of a numbered trace."""
+def _leading_rows(at: Column, key: str, rows: int, short: str) -> Column:
+    """True for the first ``rows`` rows of a trace."""
     if short not in ("error", "keep"):
         raise ValueError(f"short must be 'error' or 'keep', got {short!r}")
-    inside = F.col("idx") < rows
+    inside = at["idx"] < rows
     if short == "keep":
         return inside
     name = F.col(key).cast("string")
-    message = F.format_string(f"{key} %s has %d rows, expected {rows}", name, F.col("n"))
-    return F.when(F.col("n") < rows, F.raise_error(message).cast("boolean")).otherwise(inside)
+    message = F.format_string(f"{key} %s has %d rows, expected {rows}", name, at["n"])
+    return F.when(at["n"] < rows, F.raise_error(message).cast("boolean")).otherwise(inside)
+
+
+def _index(df: DataFrame, at: Column) -> Column:
+    """The rows' numbers as the column ``idx``, which the rows must not have yet."""
+    if free_name(df.columns, "idx") != "idx":
+        raise ValueError("there is a column idx already")
+    return at["idx"].alias("idx")
 
 
 def regrid_time(
@@ -124,22 +130,22 @@ def regrid_time(
     A trace whose grid would end before its rows do (times far below zero) is an error, raised
     by the task that meets it. ``most_rows``: the largest run's rows, if known.
     """
-    trace = positions(
+    trace, at = positions(
         df, _trace_keys(df, key), [time, *order], rows_per_task=rows_per_task, most_rows=most_rows
     )
-    even = _even_time(key, time)
+    even = _even_time(at, key, time)
     columns = [even.alias(c) if c == time else named(c) for c in df.columns]
-    return trace.select(*columns, *(["idx"] if keep_idx else []))
+    return trace.select(*columns, *([_index(df, at)] if keep_idx else []))
 
 
 def trim_rows(
     df: DataFrame, key: str, rows: int = CUBE_ROWS, order: str | Sequence[str] = "mins", *,
-    short: str = "error", keep_idx: bool = False, rows_per_task: int = ROWS_PER_TASK,
+    short: str = "error", keep_idx: bool = False, rows_per_task: int = ROWS_PER_TASK, most_rows: int | None = None,
 ) -> DataFrame:
     """First ``rows`` rows of each run. A shorter run is an error, or kept as is (``short='keep'``)."""
-    trace = positions(df, _trace_keys(df, key), order, rows_per_task=rows_per_task)
-    kept = trace.where(_leading_rows(key, rows, short))
-    return kept.select(*map(named, df.columns), *(["idx"] if keep_idx else []))
+    trace, at = positions(df, _trace_keys(df, key), order, rows_per_task=rows_per_task, most_rows=most_rows)
+    kept = trace.where(_leading_rows(at, key, rows, short))
+    return kept.select(*map(named, df.columns), *([_index(df, at)] if keep_idx else []))
 
 
 def prepare_cube(
@@ -147,22 +153,27 @@ def prepare_cube(
     short: str = "error", rows_per_task: int = ROWS_PER_TASK, most_rows: int | None = None,
 ) -> DataFrame:
     """Re-grid and trim from one numbering of the rows, keeping ``idx``."""
-    trace = positions(
+    trace, at = positions(
         images, _trace_keys(images, key), time, rows_per_task=rows_per_task, most_rows=most_rows
     )
-    kept = trace.where(_leading_rows(key, rows, short))
-    even = _even_time(key, time)
-    return kept.select(*[even.alias(c) if c == time else named(c) for c in images.columns], "idx")
+    kept = trace.where(_leading_rows(at, key, rows, short))
+    even = _even_time(at, key, time)
+    return kept.select(*[even.alias(c) if c == time else named(c) for c in images.columns], _index(images, at))
 
 
 def wide_to_long(
     df: DataFrame, ids: Sequence[str], wavelengths: Sequence[str] | None = None,
     name: str = "wavelength", value: str = "absorbance",
 ) -> DataFrame:
-    """One row per time and wavelength. Pick wavelengths first: each multiplies the rows."""
+    """One row per time and wavelength. Pick wavelengths first: each multiplies the rows.
+
+    Wavelengths are whole numbers if all columns' names are, and fractions otherwise.
+    """
     columns = list(wavelengths or image_columns(df, ids))
     long = df.unpivot(list(ids), [named(c) for c in columns], name, value)
-    return long.withColumn(name, F.col(name).cast("double").cast("int"))
+    whole = all(float(c).is_integer() for c in columns)
+    number = F.col(name).cast("double")
+    return long.withColumn(name, number.cast("int") if whole else number)
 
 
 def wide_to_array(df: DataFrame, ids: Sequence[str], value: str = "absorbance") -> DataFrame:

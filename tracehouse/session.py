@@ -25,11 +25,17 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local session takes a folder of its own; a cluster has to name one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
         if not chosen.isDefined():
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stage-"))
             chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = chosen.get()
