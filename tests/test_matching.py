@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tracehouse.functions.scoring import canonical_tokens, ratio, score_canonical, token_set_ratio
+from tracehouse.operators import matching
 from tracehouse.operators.matching import best_match
 
 WORDS = "shiraz merlot pinot noir grigio riesling estate reserve old vine block hill valley red 2018 2019 2020".split()
@@ -89,3 +91,40 @@ def test_positions_keep_their_type(spark):
     assert {r["l"]: r["match"] for r in best_match(lf, rf, "l", "r", "pos").collect()}["old vine"] == "Old Vine!"
     dated = rf.withColumn("pos", F.col("pos").cast("string"))
     assert best_match(lf, dated, "l", "r", "pos").where("l = 'old vine'").first()["score"] == 100
+
+
+def _subsequence(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        left = 0
+        for k, y in enumerate(b, 1):
+            left, row[k] = row[k], (left + 1 if x == y else max(row[k], row[k - 1]))
+    return row[-1]
+
+
+def test_common_subsequences_and_bounds(monkeypatch):
+    """Short, long and empty texts; no bound lies below a score."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdé 日", k=rng.choice([0, 1, 5, 30, 63, 64, 65, 90]))) for _ in range(40)]
+    one, two = [t for t in texts[:20]], [t for t in texts[20:]]
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(20), np.arange(20)))
+    monkeypatch.setattr(matching, "_PAIRS", 33)
+    found = matching._subsequences(one, two, i, j)
+    assert found.tolist() == [_subsequence(one[a], two[b]) for a, b in zip(i, j)]
+    assert found.tolist() == [matching.common_subsequence(one[a], two[b]) for a, b in zip(i, j)]
+    letters = matching._Texts(one).common_letters(matching._Texts(two))
+    assert all(letters[a, b] >= n for a, b, n in zip(i, j, found))
+
+
+@pytest.mark.parametrize("least", [1, 60, 76, 90])
+def test_blocks_equal_brute_force(least):
+    rng = random.Random(least)
+    left, right = _texts(least, 60)
+    left = sorted({_canon(t) for t in left} - {""}) + ["".join(rng.choices("abc ", k=200)).strip()]
+    left = [_canon(t) for t in left]
+    right = sorted({_canon(t) for t in right} | {" ".join(sorted(set("".join(rng.choices("abcd ", k=150)).split())))})
+    rng.shuffle(right)
+    found = {r[0]: r[1:3] for r in matching._best_in_block(left, [(k, t, t) for k, t in enumerate(right)], least)}
+    for text in left:
+        best, place = max((score_canonical(text, r), -k) for k, r in enumerate(right))
+        assert found.get(text) == ((best, -place) if best >= least else None)

@@ -1,226 +1,207 @@
 """Best fuzzy match of every left text among the right texts.
 
 The score of two texts is ``functions.scoring.token_set_ratio``; the best right text wins, the
-earlier one on a tie. Comparing all pairs is avoided exactly, without caps:
+earlier one on a tie. The result is exact, without caps:
 
 * copies collapse first: both sides keep one row per canonical text;
-* a pair can only reach ``min_score`` if it shares a *signature*, so texts meet by an equi-join on
-  signatures. A high token overlap implies a shared token among the longest tokens of one side; a
-  high character ratio implies a shared element among the rarest (letter, occurrence) pairs of both;
-* the texts of one signature are compared inside the task, best upper bound first, stopping once no
-  bound can win; only the best right text of each left one leaves the task, never the pairs;
-* a pair that shares several signatures is compared under the first of them only;
-* a signature held by many texts is dealt out as a grid of bounded blocks.
-
-A low ``min_score`` makes signatures less selective and the work grows towards all pairs;
-the result stays exact.
+* both sides are dealt to a grid of blocks of bounded size, so every pair of texts meets once, in one
+  task, and only the best right text of each left one leaves a block, never the pairs;
+* in a block, one matrix product of letter indicators bounds the score of all pairs at once. It costs a
+  few nanoseconds a pair and leaves few of them;
+* these are bounded again by their longest common subsequence, for many pairs at once: a bit row of one
+  text in a machine word, one letter of the other text a step;
+* what still can win is aligned, best bound first, until no bound can win any more.
+
+A signature that every pair above a score must share, such as a rare letter or a long word, would leave
+out few pairs at the scores that names need: a pair of score 76 may differ in 40% of its letters.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
 from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tracehouse.functions.columns import free_name, named
 from tracehouse.functions.scoring import canonical_tokens, combined, ratio
 
 MIN_SCORE = 76
-BLOCK = 2_000  # texts of one side compared by one task at a time
-_BINS = 64
-_BLOCK = ("sig", "l", "r")
-# Fixed value: letters from rare to common. Only the amount of work depends on it.
-_RARE_TO_COMMON = "zqxjkvbpygfwmucldrhsnioate"
-
-
-def _threshold(min_score: int) -> float:
-    """Smallest ratio that rounds to ``min_score``, less a margin for rounding."""
-    return max((min_score - 0.5) / 100 - 1e-9, 1e-6)
-
-
-def _long_tokens(text: str, share: float) -> list[str]:
-    """Longest tokens of a text, up to where the rest is too short to be the shared part."""
-    needed, left, chosen = share * len(text), len(text), []
-    for token in sorted(text.split(), key=lambda t: (-len(t), t)):
-        if left < needed:
-            break
-        chosen.append(token)
-        left -= len(token) + 1
-    return chosen
-
-
-def _rare_elements(text: str, share: float) -> list[str]:
-    """Rarest (letter, occurrence) pairs, as many as cannot all be missing from a similar text."""
-    seen: Counter[str] = Counter()
-    elements = []
-    for char in text:
-        seen[char] += 1
-        elements.append((-seen[char], _RARE_TO_COMMON.find(char) if char != " " else 99, char))
-    elements.sort()
-    keep = len(text) - max(1, ceil(share * len(text) - 1e-9)) + 1
-    return [f"{char}{-occurrence}" for occurrence, _, char in elements[:keep]]
-
-
-def _shared_part(min_score: int) -> float:
-    """Least shared part of a text in a pair that reaches ``min_score``."""
-    ratio_needed = _threshold(min_score)
-    return ratio_needed / (2 - ratio_needed)
-
-
-@lru_cache(maxsize=1 << 17)
-def _signatures(text: str, side: str, share: float) -> tuple[str, ...]:
-    """Signatures of a text of one side: of its long tokens, of all tokens, of its rare elements."""
-    some, every = _long_tokens(text, share), text.split()
-    by_left, by_right = (some, every) if side == "left" else (every, some)
-    found = [f"l:{t}" for t in by_left] + [f"r:{t}" for t in by_right]
-    return (*found, *[f"c:{e}" for e in _rare_elements(text, share)])
-
-
-@lru_cache(maxsize=1 << 17)
-def _precedence(signature: str) -> tuple:
-    """Total order of signatures, the same for both sides, with the selective ones first."""
-    kind, value = signature[0], signature[2:]
-    if kind == "c":
-        char, occurrence = value[0], int(value[1:])
-        return (1, -occurrence, _RARE_TO_COMMON.find(char), char)
-    return (0, -len(value), value, kind)
-
-
-def signature_arrays(side: str, min_score: int):
-    """Arrow UDF: the signatures under which the texts of one side are compared."""
-    share = _shared_part(min_score)
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: list(_signatures(text, side, share)))
-
-    return of
-
-
-def _earlier_holders(texts: list[str], signature: str, share: float) -> dict[str, np.ndarray]:
-    """Right texts of each signature that precedes the block's."""
-    limit, held = _precedence(signature), {}
-    for at, text in enumerate(texts):
-        for other in _signatures(text, "right", share):
-            if _precedence(other) < limit:
-                held.setdefault(other, []).append(at)
-    return {other: np.array(rows) for other, rows in held.items()}
-
-
-def _letter_counts(texts: list[str]) -> np.ndarray:
-    counts = np.zeros((len(texts), _BINS), dtype=np.int32)
-    for row, text in enumerate(texts):
-        np.add.at(counts[row], np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) % _BINS, 1)
-    return counts
-
-
-def _shared_lengths(text: str, lengths: np.ndarray, holders: dict[str, np.ndarray]) -> np.ndarray:
-    """Length of the shared tokens, joined by blanks, of a text with each right text."""
-    shared = np.zeros(len(lengths), dtype=np.int64)
-    for token in text.split():
-        if token in holders:
-            shared[holders[token]] += len(token) + 1
-    return np.maximum(shared - 1, 0)
-
-
-def _token_holders(texts: list[str]) -> dict[str, np.ndarray]:
+BLOCK = 2_000  # texts of each side compared by one task at a time
+_LETTERS = 64  # bins of letters: letters that share one only loosen a bound
+_SEEN = 12  # occurrences of a letter that are told apart
+_WORD = 64  # letters of a text that fit a machine word
+_PAIRS = 100_000  # pairs whose subsequences are computed together
+
+
+def _binned(codes: Sequence[np.ndarray], bins: int) -> np.ndarray:
+    """How often each text's codes fall into each bin."""
+    sizes = [len(c) for c in codes]
+    rows = np.repeat(np.arange(len(codes)), sizes)
+    flat = np.concatenate([*codes, np.empty(0, np.int64)]).astype(np.int64) % bins
+    return np.bincount(rows * bins + flat, minlength=len(codes) * bins).reshape(len(codes), bins)
+
+
+class _Texts:
+    """Canonical texts of one side of a block, prepared for bounds."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        self.lengths = np.array([len(t) for t in texts], np.int64)
+        codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64) for t in texts]
+        letters = _binned(codes, _LETTERS)
+        # column (letter, k) is set if the text has the letter more than k times
+        self.seen = (letters[:, :, None] > np.arange(_SEEN)).reshape(len(texts), -1).astype(np.float32)
+        self.beyond = np.maximum(letters - _SEEN, 0).sum(axis=1)
+
+    def common_letters(self, other: _Texts) -> np.ndarray:
+        """No pair of texts has more letters in common than this."""
+        used = np.flatnonzero(self.seen.any(axis=0) & other.seen.any(axis=0))
+        told = self.seen[:, used] @ other.seen[:, used].T
+        return told.astype(np.int64) + np.minimum(self.beyond[:, None], other.beyond[None, :])
+
+
+def _score(matching, total):
+    """Score of texts of ``total`` characters of which ``matching`` are matched on each side."""
+    return np.rint(100 * (2.0 * matching / total)).astype(np.int64)
+
+
+def common_subsequence(one: str, two: str) -> int:
+    """Length of the longest common subsequence, by sums of whole bit rows."""
+    places: dict[str, int] = {}
+    for at, char in enumerate(one):
+        places[char] = places.get(char, 0) | 1 << at
+    every = (1 << len(one)) - 1
+    row = every
+    for char in two:
+        found = row & places.get(char, 0)
+        row = ((row + found) | (row - found)) & every
+    return len(one) - row.bit_count()
+
+
+def _subsequences(one: list[str], two: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``common_subsequence`` of all pairs (one[i], two[j]); texts beyond a machine word are done one by one."""
+    number = {char: k for k, char in enumerate(sorted(set("".join(one)) & set("".join(two))))}
+    unknown = len(number)
+    places = np.zeros((len(one), unknown + 1), np.uint64)  # bits of each letter's places; none of other letters
+    for k, text in enumerate(one):
+        for at, char in enumerate(text[:_WORD]):
+            if char in number:
+                places[k, number[char]] |= np.uint64(1 << at)
+    lengths = np.array([len(t) for t in two], np.int64)
+    codes = np.full((len(two), int(lengths.max(initial=0))), unknown, np.int32)
+    for k, text in enumerate(two):
+        codes[k, : len(text)] = [number.get(char, unknown) for char in text]
+    sizes = np.array([len(t) for t in one], np.int64)
+    every = np.array([(1 << min(n, _WORD)) - 1 for n in sizes.tolist()], np.uint64)
+
+    out = np.empty(len(i), np.int64)
+    order = np.argsort(-lengths[j], kind="stable")  # long ones first: those still running are in front
+    for start in range(0, len(order), _PAIRS):
+        mine = order[start : start + _PAIRS]
+        left, right = i[mine], j[mine]
+        row = every[left]
+        ends = -lengths[right]
+        for step in range(int(lengths[right[0]])):
+            running = int(np.searchsorted(ends, -step))
+            own = row[:running]
+            found = own & places[left[:running], codes[right[:running], step]]
+            row[:running] = ((own + found) | (own - found)) & every[left[:running]]
+        out[mine] = np.minimum(sizes[left], _WORD) - np.bitwise_count(row)
+    for k in np.flatnonzero(sizes[i] > _WORD).tolist():
+        out[k] = common_subsequence(one[i[k]], two[j[k]])
+    return out
+
+
+def _shared_scores(left: list[str], right: _Texts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(left, rights, scores) of texts with shared tokens.
+
+    The shared tokens begin both combined texts, so their ratios need no alignment.
+    """
     held: dict[str, list[int]] = {}
-    for at, text in enumerate(texts):
+    for at, text in enumerate(right.texts):
         for token in text.split():
             held.setdefault(token, []).append(at)
-    return {token: np.array(rows) for token, rows in held.items()}
+    holders = {token: np.array(rows) for token, rows in held.items()}
+    shared = np.zeros(len(right.texts), np.int64)
+    for i, text in enumerate(left):
+        rows = [(len(t) + 1, holders[t]) for t in text.split() if t in holders]
+        if rows:
+            for size, at in rows:
+                shared[at] += size
+            some = np.flatnonzero(shared)
+            length = shared[some] - 1
+            shared[some] = 0
+            yield i, some, _score(length, length + np.minimum(right.lengths[some], len(text)))
+
+
+def _own_parts(left: list[str], right: list[str], i: np.ndarray, j: np.ndarray, share: np.ndarray):
+    """(lefts, rights, i, j, shared): texts without the tokens that a pair shares, and the length that these take.
+
+    A pair's combined texts begin with the shared tokens, so their longest common subsequence is that beginning and the
+    one of what follows it. Pairs without shared tokens keep their whole texts.
+    """
+    lefts, rights = list(left), list(right)
+    numbers: tuple[dict[str, int], dict[str, int]] = ({}, {})
+    i, j, begin = i.copy(), j.copy(), np.zeros(len(i), np.int64)
+
+    def number(text: str, side: int, texts: list[str]) -> int:
+        if text not in numbers[side]:
+            numbers[side][text] = len(texts)
+            texts.append(text)
+        return numbers[side][text]
 
+    for k in np.flatnonzero(share).tolist():
+        shared, a, b = combined(left[i[k]], right[j[k]])
+        begin[k] = len(shared)
+        i[k], j[k] = number(a[len(shared) :], 0, lefts), number(b[len(shared) :], 1, rights)
+    return lefts, rights, i, j, begin
 
-def _best_in_block(left: list[str], right: list[tuple], signature: str, share: float) -> list[tuple]:
+
+def _best_in_block(left: list[str], right: list[tuple], least: int) -> list[tuple]:
     """Best right text of each left text within one block, as (canon, score, position, match).
 
-    ``right`` holds (position, canon, match). A pair that shares several signatures is compared
-    under the first of them only.
+    ``right`` holds (position, canon, match). Left texts whose best score is below ``least`` are left out.
     """
     right = sorted(right)
-    places, texts, names = (list(column) for column in zip(*right))
-    counts, lengths = _letter_counts(texts), np.array([len(t) for t in texts])
-    holders, earlier = _token_holders(texts), _earlier_holders(texts, signature, share)
-    order = np.arange(len(texts))
-    rows = []
-    for text, own in zip(left, _letter_counts(left)):
-        here = np.ones(len(texts), dtype=bool)
-        for other in _signatures(text, "left", share):
-            if other in earlier:
-                here[earlier[other]] = False
-        if not here.any():
+    places, texts, names = (list(column) for column in zip(*right, strict=True))
+    one, two = _Texts(left), _Texts(texts)
+    best, at = np.full(len(left), least - 1), np.full(len(left), -1)
+    sharing = [np.empty(0, np.int64)]
+    for i, some, scores in _shared_scores(left, two):
+        k = int(scores.argmax())  # the first of equal ones
+        if scores[k] > best[i]:
+            best[i], at[i] = scores[k], some[k]
+        sharing.append(i * len(texts) + some)
+
+    def can_win(bound: np.ndarray) -> np.ndarray:
+        """A bound has to beat the best score, or to equal it at an earlier place."""
+        return (bound > best[i]) | ((bound == best[i]) & (j < at[i]))
+
+    bounds = _score(one.common_letters(two), one.lengths[:, None] + two.lengths[None, :])
+    i, j = np.nonzero(bounds >= np.maximum(best, 1)[:, None])
+    open_ = can_win(bounds[i, j])
+    del bounds
+    i, j = i[open_], j[open_]
+    share = np.isin(i * len(texts) + j, np.concatenate(sharing))
+    lefts, rights, own_i, own_j, begin = _own_parts(left, texts, i, j, share)
+    bound = _score(begin + _subsequences(lefts, rights, own_i, own_j), one.lengths[i] + two.lengths[j])
+    open_ = can_win(bound)
+    i, j, bound = i[open_], j[open_], bound[open_]
+    for k in np.lexsort((j, -bound, i)).tolist():
+        text, place = int(i[k]), int(j[k])
+        if bound[k] < best[text] or (bound[k] == best[text] and place > at[text]):
             continue
-        # the shared tokens begin both combined texts, so their ratios need no alignment
-        shared = _shared_lengths(text, lengths, holders)
-        shorter = np.minimum(lengths, len(text))
-        scores = np.where(here, np.rint(100 * (2.0 * shared / (shared + shorter))), -1).astype(int)
-        at = int(scores.argmax())
-        best = int(scores[at])
-        # letters in common bound the aligned ratio; candidates come by bound, then by place
-        common = np.minimum(own, counts).sum(axis=1)
-        bounds = np.rint(100 * (2.0 * common / (lengths + len(text)))).astype(int)
-        open_ = np.flatnonzero(here & ((bounds > best) | ((bounds == best) & (order < at))))
-        for candidate in open_[np.lexsort((open_, -bounds[open_]))]:
-            bound = bounds[candidate]
-            if bound < best:
-                break
-            if bound == best and candidate > at:
-                continue
-            _, one, two = combined(text, texts[candidate])
-            score = ratio(one, two)
-            if score > best or (score == best and candidate < at):
-                best, at = score, int(candidate)
-        if best > 0:
-            rows.append((text, best, places[at], names[at]))
-    return rows
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str], list[tuple]]]:
-    """(signature, left texts, right texts) of each block of a sorted partition, one at a time."""
-    current, left, right = None, [], []
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in (*_BLOCK, "canon", "position", "match", "is_right")]
-        for sig, l, r, canon, position, match, is_right in zip(*columns):
-            if (sig, l, r) != current:
-                if left and right:
-                    yield current[0], left, right
-                current, left, right = (sig, l, r), [], []
-            if is_right:
-                right.append((position, canon, match))
-            else:
-                left.append(canon)
-    if left and right:
-        yield current[0], left, right
-
-
-def _block_counts(left: DataFrame, right: DataFrame, block: int) -> DataFrame:
-    """Number of blocks per side of the signatures with more than ``block`` texts on a side."""
-    sides = [s.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > block) for s in (left, right)]
-    one, two = (
-        side.select("sig", F.ceil(F.col("n") / block).cast("int").alias(name))
-        for side, name in zip(sides, ("l_blocks", "r_blocks"))
-    )
-    return one.join(two, "sig", "full").na.fill(1, ["l_blocks", "r_blocks"])
-
-
-def _blocked(side: DataFrame, blocks: DataFrame, own: str, other: str) -> DataFrame:
-    """Give every signature row its block on this side and a copy for each block of the other.
-
-    Spark picks the join by the size of ``blocks``, and AQE splits the skewed signatures.
-    """
-    spread = side.join(blocks, "sig", "left")
-    count = {s: F.coalesce(F.col(f"{s}_blocks"), F.lit(1)) for s in (own, other)}
-    mine = F.pmod(F.xxhash64("canon"), count[own]).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), count[other] - 1))
-    return spread.withColumns({own: mine, other: copies}).drop(f"{own}_blocks", f"{other}_blocks")
+        _, a, b = combined(left[text], texts[place])
+        score = ratio(a, b)
+        if score > best[text] or (score == best[text] and place < at[text]):
+            best[text], at[text] = score, place
+    return [(left[k], int(best[k]), places[at[k]], names[at[k]]) for k in np.flatnonzero(at >= 0).tolist()]
 
 
 def best_match(
@@ -231,59 +212,51 @@ def best_match(
 
     ``right_order`` decides ties. Left rows whose best score is below ``min_score`` keep a null
     match, or with ``fallback`` the first right text and score 0. Together with a ``min_score`` of 1
-    that gives every left row its best match, at the price of comparing nearly all pairs.
+    that gives every left row its best match, at the price of aligning nearly all pairs. Rows with equal
+    texts are compared once. The distinct texts of both sides are counted while the query is built.
     """
-    keyed = left.withColumn("canon", canonical_tokens(F.coalesce(F.col(left_text), F.lit(""))))
-    left_texts = keyed.select("canon").where("canon != ''").distinct()
+    canon = free_name([*left.columns, "position", "match", "score"], "canon")
+    keyed = left.withColumn(canon, canonical_tokens(F.coalesce(named(left_text), F.lit(""))))
+    left_texts = keyed.select(F.col(canon).alias("canon")).where("canon != ''").distinct()
     right_texts = (
-        right.where(F.col(right_text).isNotNull())
-        .groupBy(canonical_tokens(F.col(right_text)).alias("canon"))
-        .agg(
-            F.min(
-                F.struct(F.col(right_order).alias("position"), F.col(right_text).alias("match"))
-            ).alias("first")
-        )
+        right.where(named(right_text).isNotNull())
+        .groupBy(canonical_tokens(named(right_text)).alias("canon"))
+        .agg(F.min(F.struct(named(right_order).alias("position"), named(right_text).alias("match"))).alias("first"))
         .where("canon != ''")
         .select("canon", "first.position", "first.match")
     )
+    l_blocks, r_blocks = (max(1, ceil(side.count() / block)) for side in (left_texts, right_texts))
 
-    def signed(texts: DataFrame, side: str) -> DataFrame:
-        sigs = F.array_distinct(signature_arrays(side, min_score)("canon"))
-        return texts.withColumn("sig", F.explode(sigs))
-
-    left_sigs, right_sigs = signed(left_texts, "left"), signed(right_texts, "right")
-    blocks = _block_counts(left_sigs, right_sigs, block)
-    one = _blocked(left_sigs, blocks, "l", "r")
-    two = _blocked(right_sigs, blocks, "r", "l")
+    def dealt(texts: DataFrame, own: str, blocks: int, other: str, copies: int):
+        mine = F.pmod(F.xxhash64("canon"), F.lit(blocks)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+        return texts.withColumn(own, mine).withColumn(other, every).groupBy("l_block", "r_block")
 
     position = right_texts.schema["position"].dataType.simpleString()
     schema = f"canon string, score int, position {position}, match string"
-    share = _shared_part(min_score)
-
     kinds = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def best_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for signature, texts, candidates in _blocks(batches):
-            rows = _best_in_block(texts, candidates, signature, share)
-            if rows:
-                columns = [pa.array(values, kind.type) for values, kind in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+    def best_of_block(one: pa.Table, two: pa.Table) -> pa.Table:
+        rows = []
+        if one.num_rows and two.num_rows:
+            candidates = list(zip(*[two.column(c).to_pylist() for c in ("position", "canon", "match")], strict=True))
+            rows = _best_in_block(one.column("canon").to_pylist(), candidates, min_score)
+        columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+        return pa.table([pa.array(list(v), k.type) for v, k in zip(columns, kinds, strict=True)], schema=kinds)
 
-    stacked = one.withColumn("is_right", F.lit(False)).unionByName(
-        two.withColumn("is_right", F.lit(True)), allowMissingColumns=True
-    )
-    # few bytes, much work: a given number of tasks keeps AQE from merging them
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
-        stacked.repartition(tasks, *_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(best_of_blocks, schema)
+        dealt(left_texts, "l_block", l_blocks, "r_block", r_blocks)
+        .cogroup(dealt(right_texts, "r_block", r_blocks, "l_block", l_blocks))
+        .applyInArrow(best_of_block, schema)
     )
-    best = found.groupBy("canon").agg(
-        F.min(F.struct((-F.col("score")).alias("rank"), "position", "match")).alias("best")
+    won = free_name([*left.columns, canon, "match", "score"], "won")
+    best = found.groupBy(F.col("canon").alias(canon)).agg(
+        F.min(F.struct((-F.col("score")).alias("rank"), "position", "match")).alias(won)
     )
-    score = -F.col("best.rank")
-    joined = keyed.join(best.where(score >= min_score), "canon", "left")
-    match: Column = F.col("best.match")
+    joined = keyed.join(best, canon, "left")
+    match: Column = F.col(won)["match"]
+    score = -F.col(won)["rank"]
     if fallback:
-        first = right.agg(F.min_by(right_text, right_order)).scalar()
+        first = right.agg(F.min_by(named(right_text), named(right_order))).scalar()
         match, score = F.coalesce(match, first), F.coalesce(score, F.lit(0))
-    return joined.select(*left.columns, match.alias("match"), score.alias("score"))
+    return joined.select(*map(named, left.columns), match.alias("match"), score.alias("score"))

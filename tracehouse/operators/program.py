@@ -13,7 +13,7 @@ from tracehouse.operators.skew import positions
 
 CHANNELS = ("a", "b")
 TARGET_GRADIENT = 2.5
-MOST_STEPS = 100_000  # rows of a pump program, over all channels
+MOST_STEPS = 100_000  # of a pump program
 
 
 def mechanical_params(timetables: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def numbered_elution_table(
     """``elution_table`` with the steps of each program numbered from 1.
 
     Steps are ranked before the pivot, in the partitioning that it uses too: one shuffle in all. No program of a pump
-    has more than ``most_steps`` rows; a larger one fails in the task that meets it. With None, rows are counted first
+    has more than ``most_steps`` steps; a longer one fails in the task that meets it. With None, rows are counted first
     and programs of any size are numbered.
     """
     stacked = _elution_steps(timetables, solvcomps, id_col, time)
@@ -136,7 +136,7 @@ def numbered_elution_table(
     entry = at["rank"]
     if most_steps is not None:
         message = F.concat(F.lit(f"more than {most_steps} steps in program "), F.col(id_col).cast("string"))
-        entry = F.when(at["n"] > most_steps, F.raise_error(message).cast("long")).otherwise(entry)
+        entry = F.when(entry > most_steps, F.raise_error(message).cast("long")).otherwise(entry)
     numbered = ranked.select(*stacked.columns, entry.alias("entry"))
     wide = pivot_values(numbered, [id_col, time, "entry"], "channel", "percent", CHANNELS)
     return wide.select(id_col, time, *CHANNELS, "entry")

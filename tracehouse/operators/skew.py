@@ -71,7 +71,8 @@ def _sorted(df: DataFrame, order: Sequence[str], parts: int) -> tuple[DataFrame,
     hashed = [named(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
     ties = F.struct(F.xxhash64(*hashed).alias("hash"), F.rand(1).alias("rand"))
     by = [*map(named, order), F.col(place)["hash"], F.col(place)["rand"]]
-    ranged = df.withColumn(place, ties).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    tied = df.withColumn(place, ties)
+    ranged = (tied.repartitionByRange(parts, *by) if parts > 1 else tied.repartition(1)).sortWithinPartitions(*by)
     at = F.struct(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
     return ranged.withColumn(place, at), place
 
