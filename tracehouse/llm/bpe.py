@@ -3,7 +3,7 @@
 The distinct pieces of a batch are laid out as one chain of symbols. The index maps each pair of
 neighbouring symbols to all its positions; the lowest rank present is applied at all of them, which
 removes and adds positions of the neighbouring pairs, until no pair with a rank is left. A worker
-remembers what it has encoded.
+remembers what it has encoded, the parts that it met most often beyond a limit.
 
 Defined results: a null text is encoded as the empty one (no ids, empty decoded text); null ids,
 repeated rows and further columns are kept; an empty table gives no rows.
@@ -15,22 +15,21 @@ import heapq
 import json
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tracehouse.llm.common import pieces_by_bytes
+from tracehouse.llm.merge_replay import DECODE_IDS, Memory, ranges
 from tracehouse.llm.token_counts import STABLE, load_tokenizer
 
-BATCH_BYTES = 4 << 20  # text whose new pieces share one index
-WORKER_CACHE = 200_000  # parts and pieces a worker remembers
-LONGEST = 64  # longer ones are forgotten after their batch
+BATCH_BYTES = 8 << 20  # text whose new pieces share one index
 _CONTROL_BLANKS = re.compile("[\x1c-\x1f]")  # blanks for Python, but not for the tokenizer
 NONE = -1
 
@@ -47,8 +46,8 @@ class PairIndex:
 
     def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], end: str):
         symbols = byte_symbols()
-        self.inner = [vocab[s] for s in symbols]
-        self.final = [vocab[s + end] for s in symbols]
+        self.inner = np.array([vocab[s] for s in symbols], np.int64)
+        self.final = np.array([vocab[s + end] for s in symbols], np.int64)
         self.width = max(vocab.values()) + 1
         self.rank: dict[int, int] = {}
         self.pairs: list[int] = []
@@ -63,33 +62,29 @@ class PairIndex:
             self.pairs.append(left * self.width + right)
             self.merged.append(new)
 
-    def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each piece (bytes, not empty)."""
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces (bytes, not empty), one after the other, and their number for each piece."""
         if not pieces:
-            return []
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         width, rank = self.width, self.rank
-        symbol: list[int] = []
-        starts: list[int] = []
-        for piece in pieces:
-            starts.append(len(symbol))
-            symbol.extend([self.inner[b] for b in piece])
-            symbol[-1] = self.final[piece[-1]]
-        size = len(symbol)
-        after = list(range(1, size + 1))
-        before = list(range(-1, size - 1))
-        for s in starts:
-            before[s] = NONE
-            if s:
-                after[s - 1] = NONE
-        if size:
-            after[-1] = NONE
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        starts = np.concatenate([[0], ends[:-1]])
+        size = len(data)
+        symbols = self.inner[data]
+        symbols[ends - 1] = self.final[data[ends - 1]]
+        follows, leads = np.arange(1, size + 1), np.arange(-1, size - 1)
+        follows[ends - 1] = leads[starts] = NONE
+        symbol, after, before = symbols.tolist(), follows.tolist(), leads.tolist()
 
         where: dict[int, list[int]] = {}  # rank -> positions of its pair's left symbol
-        for at in range(size - 1):
-            if after[at] != NONE:
-                r = rank.get(symbol[at] * width + symbol[at + 1])
-                if r is not None:
-                    where.setdefault(r, []).append(at)
+        pairs, kind = np.unique(symbols[:-1] * width + symbols[1:], return_inverse=True)
+        ranks = np.array([rank.get(p, NONE) for p in pairs.tolist()], np.int64)[kind]
+        ranks[ends[:-1] - 1] = NONE
+        at = np.argsort(ranks, kind="stable")[np.count_nonzero(ranks == NONE) :]
+        if len(at):
+            found, cuts = np.unique(ranks[at], return_index=True)
+            where = {r: p.tolist() for r, p in zip(found.tolist(), np.split(at, cuts[1:]), strict=True)}
         active = list(where)
         heapq.heapify(active)
         while active:
@@ -105,17 +100,25 @@ class PairIndex:
                 beyond = after[at] = after[follower]
                 if beyond != NONE:
                     before[beyond] = at
-                for start in (before[at], at):
-                    if start != NONE and after[start] != NONE:
-                        q = rank.get(symbol[start] * width + symbol[after[start]])
-                        if q is not None:
-                            if q in where:
-                                where[q].append(start)
-                            else:
-                                where[q] = [start]
-                                heapq.heappush(active, q)
-        ends = [*starts[1:], size]
-        return [tuple(x for x in symbol[s:e] if x != NONE) for s, e in zip(starts, ends, strict=True)]
+                    q = rank.get(new * width + symbol[beyond])
+                    if q is not None:
+                        if q in where:
+                            where[q].append(at)
+                        else:
+                            where[q] = [at]
+                            heapq.heappush(active, q)
+                ahead = before[at]
+                if ahead != NONE:
+                    q = rank.get(symbol[ahead] * width + new)
+                    if q is not None:
+                        if q in where:
+                            where[q].append(ahead)
+                        else:
+                            where[q] = [ahead]
+                            heapq.heappush(active, q)
+        symbols = np.array(symbol, np.int32)
+        stays = symbols != NONE
+        return symbols[stays], np.add.reduceat(stays, starts, dtype=np.int64)
 
 
 class WordBpe:
@@ -143,12 +146,13 @@ class WordBpe:
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in parts["added_tokens"]):
             raise ValueError("only plain added tokens are supported")
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        size = max([*model["vocab"].values(), *self.special.values()]) + 1
-        self.names = [""] * size
-        for name, i in chain(model["vocab"].items(), self.special.items()):
-            self.names[i] = name
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        # names of all ids, each with a blank behind it
+        names = {i: (name + " ").encode() for name, i in chain(model["vocab"].items(), self.special.items())}
+        every = [names.get(i, b" ") for i in range(max(names) + 1)]
+        self.name_sizes = np.fromiter(map(len, every), np.int64, len(every))
+        self.name_starts = np.cumsum(self.name_sizes) - self.name_sizes
+        self.names = np.frombuffer(b"".join(every), np.uint8)
+        self.parts, self.known = Memory(), Memory()
 
     def pieces(self, part: str) -> list[str]:
         """Normalised pieces of a text."""
@@ -160,55 +164,75 @@ class WordBpe:
         text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
         return self.pattern.findall(text)
 
-    def encode(self, texts: list[str]) -> list[Iterable[int]]:
-        """Ids of each text; all texts' new pieces go through one index."""
-        cut: list[list[str | int]] = []
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and their number for each text.
+
+        All texts' new pieces go through one index. A special string is a part of its own: no other part holds one.
+        """
+        numbers = self.parts.numbers
+        cut = []
         for text in texts:
-            segments: list[str | int] = []
             if self.marks.search(text):
-                at = 0
+                segments, at = [], 0
                 for mark in self.marks.finditer(text):
-                    segments += [*self._parts(text[at : mark.start()]), self.special[mark[0]]]
+                    segments += [*self._parts(text[at : mark.start()]), mark[0]]
                     at = mark.end()
                 segments += self._parts(text[at:])
             else:
                 segments = self._parts(text)
-            cut.append(segments)
-        wanted: set[str | int] = set()
-        for segments in cut:
-            wanted.update(segments)
-        if len(self.parts) > WORKER_CACHE:
-            self.parts.clear()
-        if len(self.known) > WORKER_CACHE:
-            self.known.clear()
-        found: dict[str | int, tuple[int, ...]] = {x: (x,) for x in wanted if isinstance(x, int)}
-        fresh = {}
-        for part in wanted:
-            if part in found:
-                continue
-            ids = self.parts.get(part)
-            if ids is None:
-                fresh[part] = self.pieces(part)
-            else:
-                found[part] = ids
-        missing = list({p for pieces in fresh.values() for p in pieces if p not in self.known})
-        own = dict(zip(missing, self.index.encode([p.encode() for p in missing]), strict=True))
-        for part, pieces in fresh.items():
-            ids = tuple(chain.from_iterable([own[p] if p in own else self.known[p] for p in pieces]))
-            found[part] = ids
-            if len(part) <= LONGEST:
-                self.parts[part] = ids
-        self.known.update((p, ids) for p, ids in own.items() if len(p) <= LONGEST)
-        return [chain.from_iterable(map(found.__getitem__, segments)) for segments in cut]
+            cut.append(np.fromiter(map(numbers.__getitem__, segments), np.int32, len(segments)))
+        self._learn()
+        asked = np.concatenate([*cut, np.empty(0, np.int32)])
+        self.parts.asked += np.bincount(asked, minlength=len(self.parts.asked))
+        ids, sizes = self.parts.of(asked)
+        totals = np.bincount(np.repeat(np.arange(len(cut)), [len(c) for c in cut]), sizes, len(cut)).astype(np.int64)
+        self.parts.forget()
+        self.known.forget()
+        return ids, totals
+
+    def _learn(self) -> None:
+        """Encode the parts that were met for the first time."""
+        known, counts, numbers = self.known, [], []
+        for part in self.parts.numbers.fresh:
+            found = [part] if part in self.special else self.pieces(part)
+            counts.append(len(found))
+            numbers += map(known.numbers.__getitem__, found)
+        fresh = known.numbers.fresh
+        special = np.array([self.special.get(p, NONE) for p in fresh], np.int64)
+        ids, sizes = self.index.encode([p.encode() for p in fresh if p not in self.special])
+        lengths = np.ones(len(fresh), np.int64)
+        lengths[special == NONE] = sizes
+        every = np.empty(int(lengths.sum()), np.int32)
+        plain = np.repeat(special == NONE, lengths)
+        every[plain], every[~plain] = ids, special[special != NONE]
+        known.learn(every, lengths)
+        asked = np.array(numbers, np.int64)
+        np.add.at(known.asked, asked, 1)
+        flat, sizes = known.of(asked)
+        of_part = np.zeros(len(counts), np.int64)
+        np.add.at(of_part, np.repeat(np.arange(len(counts)), counts), sizes)
+        self.parts.learn(flat, of_part)
 
     @staticmethod
     def _parts(text: str) -> list[str]:
         # pieces hold no blanks, so the text may be cut at them
         return [text] if _CONTROL_BLANKS.search(text) else text.split()
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """Without a decoder, the library joins the tokens' names by blanks."""
-        return " ".join(map(self.names.__getitem__, ids))
+    def decode(self, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """Texts of consecutive ids, ``lengths`` for each text.
+
+        Without a decoder, the library joins the tokens' names by blanks.
+        """
+        parts = [
+            self.names[ranges(self.name_starts[own], self.name_sizes[own])]
+            for own in (ids[i : i + DECODE_IDS] for i in range(0, len(ids), DECODE_IDS))
+        ]
+        data = np.concatenate([*parts, np.empty(0, np.uint8)])
+        at = np.concatenate([[0], np.cumsum(self.name_sizes[ids])])[np.concatenate([[0], np.cumsum(lengths)])]
+        texts = pa.Array.from_buffers(
+            pa.binary(), len(lengths), [None, pa.array(at, pa.int32()).buffers()[1], pa.py_buffer(data.tobytes())]
+        )
+        return pc.binary_slice(texts, 0, -1).cast(pa.string())
 
 
 _coders: dict[str, WordBpe] = {}
@@ -240,16 +264,10 @@ def encode_decode(
         coder = coder_of(shared.value)
         for whole in batches:
             for batch in pieces_by_bytes(whole, text, BATCH_BYTES):
-                texts = ["" if t is None else t for t in batch.column(text).to_pylist()]
-                flat, ends = array("i"), [0]
-                for found in coder.encode(texts):
-                    flat.extend(found)
-                    ends.append(len(flat))
-                values = np.frombuffer(flat, np.int32) if len(flat) else np.empty(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-                back = [coder.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n) for n in names), lists, pa.array(back, pa.string())], names=schema.names
-                )
+                found, sizes = coder.encode(["" if t is None else t for t in batch.column(text).to_pylist()])
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(found, pa.int32()))
+                back = coder.decode(found, sizes)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists, back], names=schema.names)
 
     return docs.mapInArrow(code, schema)
