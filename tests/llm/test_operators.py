@@ -68,8 +68,24 @@ def test_bpe_equals_the_library(spark):
 @given(st.lists(ODD, min_size=1, max_size=4))
 def test_bpe_of_odd_texts(batch):
     coder = bpe.coder_of(open(WORD_BPE, encoding="utf-8").read())
-    for text, ids in zip(batch, coder.encode(batch), strict=True):
-        assert list(ids) == coder.library.encode(text, add_special_tokens=False).ids
+    ids, sizes = coder.encode(batch)
+    found = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert found == [coder.library.encode(text, add_special_tokens=False).ids for text in batch]
+    decoded = coder.decode(ids, sizes).to_pylist()
+    assert decoded == [coder.library.decode(own, skip_special_tokens=False) for own in found]
+
+
+def test_bpe_memory_keeps_what_is_asked_for_most():
+    coder = bpe.WordBpe(open(WORD_BPE, encoding="utf-8").read())
+    rng = random.Random(4)
+    for _ in range(6):
+        batch = [" ".join(["often", "again<|endoftext|>"] + ["".join(rng.choices("xyzäw,", k=9)) for _ in range(50)]) for _ in range(4)]
+        ids, sizes = coder.encode([*batch, "", "x" * 300])
+        found = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert found == [coder.library.encode(t, add_special_tokens=False).ids for t in [*batch, "", "x" * 300]]
+        coder.parts.forget(100)
+        coder.known.forget(100)
+        assert len(coder.parts.numbers) <= 100 and "often" in coder.parts.numbers
 
 
 # --- near duplicates --------------------------------------------------------------------------------
@@ -475,3 +491,20 @@ def test_texts_fixture_has_the_cases():
     bodies = texts()
     assert None in bodies and "" in bodies and max(len(b or "") for b in bodies) > 50_000
     assert re.search(r"\x1c", "".join(b or "" for b in bodies))
+
+
+def test_line_quality_keeps_columns_and_odd_rows(spark):
+    long = "\n".join(["A long line of many different words %d and so on." % i for i in range(20_000)])
+    bodies = ["click here now to Go", long, None, "", "X Y Z", "one | two | three | four", "same\nsame"]
+    docs = documents(spark, bodies * 2)
+    named = docs.withColumns({n: F.lit(n) for n in ("words", "lines", "windows", "tested", "__words", "kept")})
+    rows = line_quality(named).collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert [row[n] for n in ("words", "lines", "windows", "tested", "__words")] == ["words", "lines", "windows", "tested", "__words"]
+        assert row["n_words"] == len(WORD.findall(row["text"] or "")) and row["kept"] in (True, False)
+    by_text = {r["text"]: r for r in rows}
+    assert by_text[long]["kept"] and by_text[long]["clean_text"] == long and by_text[long]["lost_chars"] == 0
+    for failing in ("click here now to Go", "X Y Z", "one | two | three | four"):
+        assert by_text[failing]["clean_text"] == "" and by_text[failing]["lost_chars"] > 0
+    assert line_quality(none(spark)).count() == 0
