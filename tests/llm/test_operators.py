@@ -504,7 +504,54 @@ def test_line_quality_keeps_columns_and_odd_rows(spark):
         assert [row[n] for n in ("words", "lines", "windows", "tested", "__words")] == ["words", "lines", "windows", "tested", "__words"]
         assert row["n_words"] == len(WORD.findall(row["text"] or "")) and row["kept"] in (True, False)
     by_text = {r["text"]: r for r in rows}
-    assert by_text[long]["kept"] and by_text[long]["clean_text"] == long and by_text[long]["lost_chars"] == 0
+    assert by_text[long]["clean_text"] == long and by_text[long]["lost_chars"] == 0
     for failing in ("click here now to Go", "X Y Z", "one | two | three | four"):
         assert by_text[failing]["clean_text"] == "" and by_text[failing]["lost_chars"] > 0
     assert line_quality(none(spark)).count() == 0
+
+
+def test_secrets_in_runs_that_touch_base_spans_and_odd_rows(spark):
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = "AKIA" + "ABCDEFGHIJKL" + "".join(rng.choices(letters[26:], k=60))
+    long = "plain words and more of them " * 3_000
+    bodies = [f"see {key} there", long + key, "password: " + "a1B2" * 5, None, "", "x" * 50, "word/word/word/word/word"]
+    docs = documents(spark, bodies * 2).withColumn("__spans", F.lit("own")).withColumn("spans", F.lit("mine"))
+    rows = secret_scan.redacted(docs).collect()
+    assert len(rows) == docs.count() and all(r["__spans"] == "own" and r["spans"] == "mine" for r in rows)
+    found = Counter(r["text"] for r in rows)
+    assert found["see [REDACTED] there"] == found[long + "[REDACTED]"] == 2
+    assert found["[REDACTED]"] == found["word/word/word/word/word"] == 2 and found["x" * 50] == 4
+    assert secret_scan.redacted(none(spark)).count() == 0
+
+    tokens = ["".join(rng.choices(letters, k=n)) for n in (20, 24, 32, 40) for _ in range(250)]
+    frame = spark.createDataFrame([(i, f"the token {t} is here") for i, t in enumerate(tokens)], "doc_id long, text string")
+    hits = Counter(len(tokens[r["doc_id"]]) for r in secret_scan.scan(frame).where(F.size("spans") > 0).collect())
+    assert hits[20] >= 225 and hits[24] >= 237 and hits[32] >= 244 and hits[40] >= 246
+
+
+# --- what must not depend on partitions, widths or repeated ids ----------------------------------------
+
+
+def test_quality_is_learned_alike_from_every_partitioning(spark):
+    rng = random.Random(9)
+    rows = [(i % 150, sentence(rng, rng.randint(3, 40), ["good", "line", "x", "BUY", "!!", "words,", "and"])) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, quality int")
+    fields = [line_crf.learn_quality(docs.repartition(n), labels.repartition(n), per_class=40) for n in (1, 3, 7)]
+    scored = [[f.score(t) for _, t in rows[:40]] for f in fields]
+    assert scored[0] == scored[1] == scored[2]
+
+
+def test_vectors_of_every_length_are_grouped(spark):
+    rows = [(i, [1.0, i / 50]) for i in range(40)] + [(100 + i, [1.0, 0.0, i // 2 * 3.0]) for i in range(6)] + [(300, [1.0] * 5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_groups.group_embeddings(frame)[0].collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    near = {i: [j for j in unit if j != i and len(unit[j]) == len(unit[i]) and unit[i] @ unit[j] >= 0.9] for i in unit}
+    assert {i: n for i, (n, _) in found.items()} == {i: len(v) for i, v in near.items()}
+    for i, (_, component) in found.items():
+        seen, todo = {i}, [i]
+        while todo:
+            todo += [j for j in near[todo.pop()] if j not in seen and not seen.add(j)]
+        assert component == min(seen)

@@ -42,8 +42,9 @@ def test_stages(spark, tmp_path):
         kept = spark.read.parquet(path)
         if name == "near_duplicates":
             ids = [r["doc_id"] for r in kept.collect()]
-            assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
             assert not {13, 14, 15, 16} & set(ids) and 12 in ids and None in ids
+            # the repeated id with another text keeps both, the repeated row one
+            assert ids.count(3) == 2 and ids.count(12) == 1
     coded = corpus_pipeline.token_ids(spark, kept, SMALL)
     assert coded.count() == kept.count()
     for _, step in corpus_pipeline.STAGES:
@@ -57,3 +58,17 @@ def test_quality_stage_keeps_good_texts(spark):
     shares = labels.join(kept, "doc_id", "left").groupBy("quality").agg(F.count("kept") / F.count("*")).collect()
     share = {r[0]: r[1] for r in shares}
     assert share[1] >= 0.97 and share[0] <= 0.1
+
+
+def test_near_duplicates_of_repeated_ids_lose_no_text(spark):
+    words = [f"w{i}" for i in range(400)]
+    one, two, three = (" ".join(words[a : a + 60]) for a in (0, 100, 200))
+    near = one + " more"
+    rows = [(1, one, "b"), (2, two, "x"), (2, near, "x"), (3, three, "x"), (3, three, "a"), (3, near, "x"), (4, None, "n"),
+            (5, "", "n"), (None, one, "n"), (4, "another text of four words and many more of them", "n")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs.withColumn("row", F.lit(0)), SMALL)
+    assert kept.columns == [*docs.columns, "row"]
+    found = sorted(((r["doc_id"], r["text"], r["source"]) for r in kept.collect()), key=str)
+    expected = [rows[0], rows[1], rows[4], *rows[6:]]
+    assert found == sorted(expected, key=str)

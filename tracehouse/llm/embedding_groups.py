@@ -13,7 +13,7 @@
 * Audit: a bounded sample of vectors is compared with all rows. While the recall of its links is below RECALL, the
   search goes on from its lists with further random codes; after TRIES all balls are open, which needs no lists.
 
-Defined results: null, zero, ragged-length or non-finite vectors link with nothing. Equal rows are one vector and
+Defined results: null, zero or non-finite vectors link with nothing, vectors of different lengths not with each other. Equal rows are one vector and
 share their result; rows with one id and different vectors are different vectors. Null ids link with nothing and have
 no component. Further columns are dropped; an empty table gives no rows.
 """
@@ -391,19 +391,8 @@ def _audit(units: DataFrame, result: DataFrame) -> float:
     return 1.0 if not found[1] else found[0] / found[1]
 
 
-def group_embeddings(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, float]:
-    """((``key``, n_links, component_id, kept) for each row of ``vectors``, audited recall of links)."""
-    stage = Stage(vectors.sparkSession, "embeddings")
-    rows = vectors.select(
-        F.xxhash64(F.col(key), F.col(vector).cast("array<double>")).alias("row"),
-        F.col(key).cast("long").alias("id"),
-        F.col(vector).cast("array<double>").alias("vector"),
-    )
-    every = stage(rows.mapInArrow(_unit, "row long, id long, unit array<double>").dropDuplicates(["row"]))
-    # the most common length is the table's; other lengths have nothing to be compared with
-    lengths = every.groupBy(F.size("unit").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    width = lengths["n"] if lengths else 1
-    units = every.where(F.size("unit") == width)
+def _group_units(units: DataFrame, stage: Stage, width: int) -> tuple[DataFrame, float]:
+    """((row, n_links, component_id), audited recall) of distinct vectors of one length."""
     angle = math.acos(COSINE)
     reach = BALL_SHARE * angle
     balls = _balls(units, stage, width, reach)
@@ -443,7 +432,28 @@ def group_embeddings(vectors: DataFrame, *, key: str = "vec_id", vector: str = "
     smallest = stage(
         label.join(units.select("row", "id"), "row").groupBy("component").agg(F.min("id").alias("component_id"))
     )
-    final = label.join(smallest, "component").join(result, "row").select("row", "n_links", "component_id")
+    return label.join(smallest, "component").join(result, "row").select("row", "n_links", "component_id"), recall
+
+
+def group_embeddings(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, float]:
+    """((``key``, n_links, component_id, kept) for each row of ``vectors``, audited recall of links)."""
+    stage = Stage(vectors.sparkSession, "embeddings")
+    rows = vectors.select(
+        F.xxhash64(F.col(key), F.col(vector).cast("array<double>")).alias("row"),
+        F.col(key).cast("long").alias("id"),
+        F.col(vector).cast("array<double>").alias("vector"),
+    )
+    every = stage(rows.mapInArrow(_unit, "row long, id long, unit array<double>").dropDuplicates(["row"]))
+    # vectors of different lengths have no cosine: each length is searched by itself
+    lengths = every.groupBy(F.size("unit").alias("n")).count().where("count > 1").orderBy("n").collect()
+    final, recall = None, 1.0
+    for found in lengths:
+        units = every if len(lengths) == 1 else stage(every.where(F.size("unit") == found["n"]))
+        own, own_recall = _group_units(units.where(F.size("unit") == found["n"]), stage, found["n"])
+        final = own if final is None else final.unionByName(own)
+        recall = min(recall, own_recall)
+    if final is None:
+        final = every.limit(0).select("row", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     joined = rows.select("row", "id").join(final.withColumnRenamed("row", "__row"), F.col("row") == F.col("__row"), "left")
     component = F.coalesce("component_id", "id")
     return (

@@ -250,18 +250,23 @@ def _features_frame(rows: DataFrame) -> DataFrame:
 def learn_quality(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", quality: str = "quality", per_class: int = PER_CLASS
 ) -> LineField:
-    """A field fitted on at most ``per_class`` texts of each label (0 and 1)."""
-    chosen = None
+    """A field fitted on at most ``per_class`` texts of each label (0 and 1).
+
+    The texts are those with the smallest hashes of id and text, however the rows are partitioned; rows without an id
+    are not learned from.
+    """
+    few = None
     for label in (0, 1):
         own = labels.where((F.col(quality) == label) & F.col(key).isNotNull()).select(
             F.col(key).alias("__id"), F.col(quality).cast("int").alias("quality")
         )
         own = own.orderBy(F.xxhash64("__id"), "__id").limit(per_class)
-        chosen = own if chosen is None else chosen.unionByName(own)
-    # at most 2·per_class rows
-    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))
-    sample = texts.join(F.broadcast(chosen), F.col("__key") == F.col("__id")).select("quality", "text")
-    rows = _features_frame(sample).limit(4 * per_class).collect()
+        # at most per_class ids; an id with several texts may bring more
+        texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))
+        sample = texts.join(F.broadcast(own), F.col("__key") == F.col("__id"))
+        sample = sample.orderBy(F.xxhash64("__id", "text"), "__id", "text").limit(per_class).select("quality", "text")
+        few = sample if few is None else few.unionByName(sample)
+    rows = _features_frame(few).collect()
     rows.sort(key=lambda r: (r["quality"], r["bins"]))
     texts = [
         (np.array(r["bins"], np.int32).reshape(-1, GROUPS), np.array(r["lengths"], np.int64)) for r in rows

@@ -138,8 +138,10 @@ more AS (
   WHERE k = 3 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT regexp_matches(hit, '{ss.UUID}')
     AND list_max(list_transform(range(1, length(hit) - {ss.ENTROPY_WINDOW - 2}),
       lambda j: list_entropy(string_split(substring(hit, j, {ss.ENTROPY_WINDOW}), '')))) >=
-      CASE WHEN regexp_full_match(hit, '[0-9a-f]+|[0-9A-F]+') THEN {ss.HEX_BITS} ELSE {ss.MIXED_BITS} END
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.s < o.e AND o.s < b.e)
+      CASE WHEN regexp_full_match(hit, '[0-9a-f]+|[0-9A-F]+') THEN {ss.HEX_BITS}
+        WHEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')
+        THEN {ss.ALL_CLASSES_BITS} ELSE {ss.MIXED_BITS} END
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.s <= o.s AND o.e <= b.e)
 ),
 r AS (
   SELECT doc_id, k, s, kind || ':' || s || ':' || e AS a FROM (FROM base UNION ALL FROM more) JOIN p USING (k)

@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracehouse.functions.columns import free_name
+
 KINDS = ("assign", "access", "hex", "entropy")
 BASE_KINDS = KINDS[:3]
 
@@ -37,6 +39,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 ENTROPY_WINDOW = 20
 HEX_BITS = 3.0  # entropy of a window, in bits a character
 MIXED_BITS = 4.0
+ALL_CLASSES_BITS = 3.7  # of runs with capitals, small letters and digits, which names and paths seldom mix
 UUID = r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -132,15 +135,18 @@ def window_entropy(run: Column) -> Column:
 
 
 def _entropy_spans(text: Column, others: Column) -> Column:
-    """Long runs with a window of high entropy, unless an allow-list or another span covers them."""
+    """Long runs with a window of high entropy, unless an allow-list names them or another span covers them wholly."""
 
     def suspicious(p: Column) -> Column:
         run = p["found"]
-        free = ~F.exists(others, lambda o: (o["start"] < p["end"]) & (p["start"] < o["end"]))
+        free = ~F.exists(others, lambda o: (o["start"] <= p["start"]) & (p["end"] <= o["end"]))
         # runs of letters only are words or names, runs without letters numbers or rulers
         allowed = ~F.rlike(run, F.lit("[0-9]")) | ~F.rlike(run, F.lit("[A-Za-z]")) | F.rlike(run, F.lit(UUID))
         hexadecimal = F.rlike(run, F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$"))
-        limit = F.when(hexadecimal, F.lit(HEX_BITS)).otherwise(F.lit(MIXED_BITS))
+        every = F.rlike(run, F.lit("[0-9]")) & F.rlike(run, F.lit("[A-Z]")) & F.rlike(run, F.lit("[a-z]"))
+        limit = (
+            F.when(hexadecimal, F.lit(HEX_BITS)).when(every, F.lit(ALL_CLASSES_BITS)).otherwise(F.lit(MIXED_BITS))
+        )
         # each test guards the dearer one behind it
         return F.when(allowed, F.lit(False)).when(~free, F.lit(False)).otherwise(window_entropy(run) >= limit)
 
@@ -189,7 +195,8 @@ def base_spans(spans: str) -> Column:
 
 def redacted(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by a mark; other texts, and null ones, stay as they are."""
-    found = scan(docs, text=text, into="__spans")
+    spans = free_name(docs.columns, "spans")
+    found = scan(docs, text=text, into=spans)
     body = F.col(text)
 
     def step(state: Column, s: Column) -> Column:
@@ -202,5 +209,5 @@ def redacted(docs: DataFrame, *, text: str = "text") -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = lambda state: F.concat(state["out"], F.substring(body, state["at"] + 1, F.length(body)))
-    clean = F.when(F.size("__spans") > 0, F.aggregate("__spans", start, step, rest)).otherwise(body)
+    clean = F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(body)
     return found.withColumn(text, clean).select(*docs.columns)
