@@ -29,7 +29,9 @@ from tracehouse.llm.common import pieces_by_bytes
 from tracehouse.llm.merge_replay import DECODE_IDS, Memory, ranges
 from tracehouse.llm.token_counts import STABLE, load_tokenizer
 
-BATCH_BYTES = 8 << 20  # text whose new pieces share one index
+BATCH_BYTES = 4 << 20  # text handled together
+INDEX_BYTES = 1 << 20  # new pieces that share one index; a longer piece has one of its own
+REMEMBERED = 200_000  # parts, and pieces, that a worker remembers
 _CONTROL_BLANKS = re.compile("[\x1c-\x1f]")  # blanks for Python, but not for the tokenizer
 NONE = -1
 
@@ -64,8 +66,20 @@ class PairIndex:
 
     def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces (bytes, not empty), one after the other, and their number for each piece."""
-        if not pieces:
-            return np.empty(0, np.int32), np.empty(0, np.int64)
+        ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        start = 0
+        while start < len(pieces):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + INDEX_BYTES, "right")))
+            found, counts = self._merged(pieces[start:stop])
+            ids.append(found)
+            sizes.append(counts)
+            start = stop
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same through one index."""
         width, rank = self.width, self.rank
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
@@ -186,8 +200,8 @@ class WordBpe:
         self.parts.asked += np.bincount(asked, minlength=len(self.parts.asked))
         ids, sizes = self.parts.of(asked)
         totals = np.bincount(np.repeat(np.arange(len(cut)), [len(c) for c in cut]), sizes, len(cut)).astype(np.int64)
-        self.parts.forget()
-        self.known.forget()
+        self.parts.forget(REMEMBERED)
+        self.known.forget(REMEMBERED)
         return ids, totals
 
     def _learn(self) -> None:
