@@ -47,12 +47,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     texts = grouped.select(F.col("doc_id").alias("row"), "component_id").distinct()
     ids = own.where(known).select(F.col(row).alias("row"), "doc_id").distinct()
     first = texts.join(ids, "row").groupBy("component_id").agg(F.min(F.struct("doc_id", "row"))["row"].alias("kept"))
-    dropped = texts.join(first, "component_id").where("row != kept").select(F.col("row").alias(row))
-    left = own.join(dropped, row, "left_anti")
-    # only rows that repeat an id and its text meet each other
-    again = own.where(known).groupBy(row).count().where("count > 1").select(row)
-    once = left.join(again, row, "left_anti").select(*docs.columns)
-    smallest = left.join(again, row, "left_semi").groupBy(row).agg(F.min(F.struct(*docs.columns)).alias("d"))
+    dropped = texts.join(first, "component_id").where("row != kept").select("row", F.lit(True).alias("dropped"))
+    # one small table tells the rows that go and those that repeat an id and its text, so texts meet it once
+    counts = own.where(known).groupBy(F.col(row).alias("row")).count().where("count > 1")
+    again = counts.select("row", F.lit(None).cast("boolean").alias("dropped"))
+    told = dropped.unionByName(again).groupBy(F.col("row").alias(row)).agg(F.bool_or("dropped").alias("dropped"))
+    fate = free_name([*docs.columns, row], "fate")
+    left = own.join(told.select(row, F.struct("dropped").alias(fate)), row, "left").where(F.col(fate)["dropped"].isNull())
+    once = left.where(F.col(fate).isNull()).select(*docs.columns)
+    repeated = left.where(F.col(fate).isNotNull())
+    smallest = repeated.groupBy(row).agg(F.min(F.struct(*docs.columns)).alias("d"))
     return once.unionByName(smallest.select("d.*"))
 
 
