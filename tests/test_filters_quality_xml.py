@@ -149,6 +149,10 @@ def test_reconciliation(spark, tmp_path):
         [("2018 chateau one", "chateau one", 2018), ("2019 two & sons", "two & sons", 2019)], "wine_key string, wine string, vintage int"
     )
     corrected, matches = reconcile.reconcile(raw, catalogue)
+    # names were scored once, when the matches were written: reading the results scores nothing
+    for df in (corrected, matches):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CoGroup" not in plan and "Python" not in plan and "Arrow" not in plan
     scores = {r["pk"]: (r["match"], r["verified"]) for r in matches.collect()}
     assert scores[1] == ("2018 chateau one", True) and scores[2] == ("2019 two & sons", True) and not scores[3][1]
     fixed = {r["samplecode"]: r for r in corrected.collect()}
@@ -212,3 +216,12 @@ def test_sequence_identity_comes_first(spark):
         xml.run_folders(folders.union(folders))
     with pytest.raises(quality.QualityError, match="no acq.macaml"):
         xml.read_documents(spark, "/nowhere", "acq.macaml")
+
+
+def test_single_value_counts_nulls(spark):
+    df = spark.createDataFrame([(1, None), (1, 5), (1, 5)], "k int, v int")
+    assert quality.require_single_value(df, "k") is df
+    quality.require_single_value(df.where("v IS NULL"), "v")
+    quality.require_single_value(df.limit(0), "v")
+    with pytest.raises(quality.QualityError, match="nulls"):
+        quality.require_single_value(df, "v")

@@ -128,3 +128,25 @@ def test_blocks_equal_brute_force(least):
     for text in left:
         best, place = max((score_canonical(text, r), -k) for k, r in enumerate(right))
         assert found.get(text) == ((best, -place) if best >= least else None)
+
+
+def test_long_names_query_equals_brute_force(spark):
+    """The query has no SQL: aligning all pairs there takes too long."""
+    from tracehouse.entry.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    rows = QUERIES["match_long_names"](spark, folder).collect()
+    parts = spark.read.parquet(f"{folder}/part.parquet").collect()
+    syllables = "ba de fi go ku la me ni po ru".split()
+    spelt = lambda n, digits: "".join(syllables[int(c)] for c in str(n).rjust(digits, "0"))
+    names = []
+    for p in sorted(parts, key=lambda p: p["p_partkey"]):
+        words = p["p_name"].split(" ")
+        brand = p["p_brand"].rsplit("#", 1)[-1]
+        names.append(" ".join([*words[:2], p["p_type"].lower(), spelt(p["p_partkey"], 6), spelt(brand, 3), spelt(p["p_size"], 2)]))
+    assert len(rows) == len(parts)
+    rng = random.Random(1)
+    for row in rng.sample(rows, 40):
+        best, place = max((score_canonical(_canon(row["left_string"]), _canon(n)), -k) for k, n in enumerate(names))
+        assert (row["match"], row["score"]) == ((names[-place], best) if best >= 76 else (None, None))
+    assert sum(r["score"] is not None for r in rows) > len(rows) // 2

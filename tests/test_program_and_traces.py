@@ -154,3 +154,59 @@ def test_reports(spark):
     assert _set(reshape.labelled_values(df, {"n": F.count("*"), "high": F.count_if(F.col("score") > 90)})) == {("n", 4.0), ("high", 2.0)}
     assert _set(reshape.distinct_counts(df)) == {(3,)} == _set(reshape.distinct_counts(df, approximate=True))
     assert require_rows(df, "scores") is df
+
+
+def test_distinct_counts_read_rows_once(spark, monkeypatch):
+    """Nulls, both zeros, nan, dates and clashing names; no row is copied for a column."""
+    import datetime as dt
+
+    day = dt.date(2024, 1, 1)
+    rows = [(i % 7 or None, [0.0, -0.0, 1.5, float("nan")][i % 4], day + dt.timedelta(days=i % 3), "x") for i in range(500)]
+    df = spark.createDataFrame(rows, "place long, value double, `c0` date, `a.b` string").repartition(5)
+    found = reshape.distinct_counts(df)
+    assert tuple(found.first()) == (6, 3, 3, 1) and found.columns == df.columns
+    plan = found._jdf.queryExecution().toString()
+    assert "Expand" not in plan and plan.count("Generate") == 0
+    assert tuple(reshape.distinct_counts(df.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_sketches_of_parts_merge(spark, tmp_path):
+    from tracehouse.schemas import Table
+    from tracehouse.sources import sinks
+
+    table = lambda n: Table(n, "k bigint,v double,t string")
+    df = spark.range(60_000).selectExpr("id % 20011 AS k", "(id % 1000) / 8 AS v", "CAST(id % 3 AS string) AS t")
+    for name, part in (("one", df.where("k % 3 > 0")), ("two", df.where("k % 3 < 2")), ("none", df.limit(0))):
+        sinks.write_table(part, table(name), str(tmp_path), sketched=["k", "v", "t"])
+    found = reshape.estimated_counts(sinks.read_sketches(spark, ["one", "two", "none"], str(tmp_path)))
+    counts = {r["column"]: r["distinct"] for r in found.collect()}
+    for column, exact in (("k", 20011), ("v", 1000), ("t", 3)):
+        assert abs(counts[column] - exact) <= 0.03 * exact
+    again = sinks.write_table(df, table("one"), str(tmp_path), overwrite=True, sketched=["t"])
+    assert again.count() == 60_000
+
+
+def test_saved_cube_opens_the_buckets_of_its_runs(spark, tmp_path):
+    from uuid import uuid4
+
+    from tracehouse.sources import sinks
+
+    cells = spark.range(4_000).selectExpr("id % 40 AS runid", "id AS idx", "256 AS wavelength", "rand(1) AS absorbance")
+    name = f"cube_{uuid4().hex}"
+    saved = sinks.save_cube(cells, name, str(tmp_path / "cube"), buckets=8)
+    runs = spark.range(40).selectExpr("id AS runid", "id * 2 AS other")
+    slice_ = saved.where(F.col("runid").isin(3, 11)).join(runs.hint("shuffle_hash"), "runid")
+    plan = slice_._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount" in plan and "SelectedBucketsCount: 8 out of 8" not in plan
+    per_run = saved.groupBy("runid").agg(F.count("*").alias("n"))
+    assert "Exchange" not in per_run._jdf.queryExecution().executedPlan().toString()
+    assert slice_.count() == 200 and {r["n"] for r in per_run.collect()} == {100}
+    with pytest.raises(Exception, match="exists"):
+        sinks.save_cube(cells, name, str(tmp_path / "cube"), buckets=8)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_wavelengths_with_fractions_stay_apart(spark):
+    df = spark.createDataFrame([("a", 0.0, 1.0, 2.0)], "runid string, mins double, `256.2` double, `256.4` double")
+    rows = traces.wide_to_long(df, ["runid", "mins"]).collect()
+    assert {(r["wavelength"], r["absorbance"]) for r in rows} == {(256.2, 1.0), (256.4, 2.0)}

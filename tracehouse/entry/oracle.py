@@ -413,3 +413,11 @@ ORACLE["reconciled_suppliers"] = """
 SELECT lpad(s_suppkey::varchar, 9, '0') AS samplecode, 'supplier ' || substring(s_name, 10) AS wine,
        (1990 + s_nationkey)::integer AS vintage, (1990 + s_nationkey) || ' supplier ' || substring(s_name, 10) AS wine_key
 FROM supplier"""
+
+ORACLE["cube_table_slice"] = f"""SELECT * FROM ({ORACLE["cube_long"]})
+WHERE runid IN (3, 7, 50, 1000000000) AND wavelength = 256"""
+
+ORACLE["distinct_estimates"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, true AS close FROM lineitem"
+    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
+)

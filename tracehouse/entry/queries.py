@@ -614,6 +614,26 @@ def match_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.best_match(left, right, "left_string", "name", "place", min_score=reconcile.VERIFIED_ABOVE + 1)
 
 
+def _spelt(number: Column, digits: int) -> Column:
+    """A number as a word of two letters a digit."""
+    figures = F.split(F.lpad(number.cast("string"), digits, "0"), "")
+    syllables = F.split(F.lit("ba de fi go ku la me ni po ru"), " ")
+    return F.array_join(F.transform(figures, lambda c: F.get(syllables, c.cast("int"))), "")
+
+
+@_query
+def match_long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best of all parts' six-word names for each of them in another order, with letters mistyped."""
+    parts = _table(spark, sf_dir, "part")
+    words = F.split("p_name", " ")
+    spelt = [_spelt(F.col("p_partkey"), 6), _spelt(F.substring_index("p_brand", "#", -1), 3), _spelt(F.col("p_size"), 2)]
+    name = F.concat_ws(" ", words[0], words[1], F.lower("p_type"), *spelt)
+    typed = F.concat_ws(" ", F.translate(spelt[0], "k", "c"), words[1], *spelt[:0:-1], F.lower("p_type"), F.translate(words[0], "o", "a"))
+    named = parts.select("p_partkey", name.alias("name"))
+    left = parts.select("p_partkey", typed.alias("left_string"))
+    return matching.best_match(left, named, "left_string", "name", "p_partkey")
+
+
 @_query
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.histogram(_table(spark, sf_dir, "lineitem"), "l_quantity", 5.0)
@@ -658,6 +678,21 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.distinct_counts(lines, ["l_returnflag", "l_linestatus", "l_suppkey", "l_partkey"])
 
 
+@_query
+def distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts of a table's columns, and whether the sketches of its two written halves estimate them."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
+    out, halves = _scratch(spark, "sketched"), []
+    for half in ("odd", "even"):
+        table = Table(half, "l_orderkey bigint,l_partkey bigint,l_suppkey bigint,l_returnflag string,l_quantity double")
+        own = lines.where(F.col("l_orderkey") % 2 == int(half == "odd"))
+        halves.append(sinks.write_table(own, table, out, sketched=lines.columns))
+    estimated = reshape.estimated_counts(sinks.read_sketches(spark, ["odd", "even"], out))
+    exact = reshape.distinct_counts(halves[0].unionByName(halves[1])).unpivot([], lines.columns, "column", "exact")
+    close = F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return exact.join(estimated, "column").select("column", "exact", close.alias("close"))
+
+
 @_query
 def update_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -786,6 +821,16 @@ def cube_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_cube(spark, path, [3, 7, 50, 10**9])
 
 
+@_query
+def cube_table_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of some runs and one wavelength of a cube saved as a bucketed table, beside their runs' metadata."""
+    runs = _run_dimension(spark, sf_dir)
+    cells = traces.cube(_image(spark, sf_dir), runs.select("runid"), rows=TRIM_ROWS, short="keep")
+    saved = sinks.save_cube(cells, f"cube_{uuid4().hex}", _scratch(spark, "cube_table"), buckets=8)
+    chosen = saved.where(F.col("runid").isin(3, 7, 50, 10**9) & (F.col("wavelength") == 256))
+    return chosen.join(runs, "runid")
+
+
 @_query
 def reconciled_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A register of misspelt supplier names, corrected from the catalogue of suppliers."""

@@ -131,9 +131,12 @@ def require_equal_lengths(df: DataFrame, key: str) -> DataFrame:
 
 
 def require_single_value(df: DataFrame, column: str) -> DataFrame:
-    low, high = df.agg(F.min(column), F.max(column)).first()
+    """``df`` if all its rows have one value of ``column``, null being a value; an empty table passes."""
+    low, high, known, rows = df.agg(F.min(column), F.max(column), F.count(column), F.count("*")).first()
     if low != high:
         raise QualityError(f"expected one value of {column}, found {low!r} and {high!r}")
+    if 0 < known < rows:
+        raise QualityError(f"expected one value of {column}, found {low!r} and nulls")
     return df
 
 

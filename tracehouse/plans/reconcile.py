@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracehouse.functions.columns import free_name, named
 from tracehouse.functions.text import flag_from_text, normalise_name, slice_text, trim_lower, vintage_or_default
 from tracehouse.operators.keys import surrogate_key
 from tracehouse.operators.matching import best_match
 from tracehouse.operators.quality import all_true
 from tracehouse.operators.reshape import labelled_values
 from tracehouse.sources.sinks import write_parquet
+from tracehouse.sources.staging import staged
 
 VERIFIED_ABOVE = 75
 UNMATCHED_REASON = "missing catalogue entry"
@@ -63,10 +65,11 @@ def unmatched_names(matches: DataFrame) -> DataFrame:
 
 def update_from(df: DataFrame, source: DataFrame, key: str, values: dict[str, str]) -> DataFrame:
     """Replace columns by those of a one-row-per-key source, where it has a value."""
-    fresh = source.select(key, *[F.col(s).alias(f"__{c}") for c, s in values.items()])
+    new = free_name(df.columns, "new")
+    fresh = source.select(key, F.struct(*[F.col(s).alias(c) for c, s in values.items()]).alias(new))
     joined = df.join(fresh, key, "left")
     return joined.select(
-        *[F.coalesce(f"__{c}", c).alias(c) if c in values else F.col(c) for c in df.columns]
+        *[F.coalesce(F.col(new)[c], named(c)).alias(c) if c in values else named(c) for c in df.columns]
     )
 
 
@@ -103,9 +106,13 @@ def match_report(register: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def reconcile(raw: DataFrame, catalogue: DataFrame, min_score: int = VERIFIED_ABOVE + 1) -> tuple[DataFrame, DataFrame]:
-    """(corrected register, matches). Write the matches first if both are used: scoring is the cost."""
-    register = stage_register(raw)
-    matches = match_names(register, catalogue, min_score)
+    """(corrected register, matches).
+
+    The numbered register and the matches, by their key, are written once to shared storage: names are scored once,
+    whatever is read from the two results, and a lost executor repeats neither numbering nor scoring.
+    """
+    register = staged(stage_register(raw), "register")
+    matches = staged(match_names(register, catalogue, min_score), "matches")
     return apply_matches(register, matches), matches
 
 

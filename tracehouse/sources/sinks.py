@@ -12,17 +12,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracehouse.operators.quality import QualityError
+from tracehouse.operators.reshape import column_sketches
 from tracehouse.schemas import Table
 
 CUBE_BUCKETS = 256
+SKETCHES = "_sketches"
 
 
-def write_table(df: DataFrame, table: Table, out: str, overwrite: bool = False) -> DataFrame:
-    """Write a warehouse table and return it as read back, which also cuts its lineage."""
+def write_table(
+    df: DataFrame, table: Table, out: str, overwrite: bool = False, sketched: Sequence[str] = ()
+) -> DataFrame:
+    """Write a warehouse table and return it as read back, which also cuts its lineage.
+
+    Sketches of the distinct values of the ``sketched`` columns are kept beside it, see ``read_sketches``.
+    """
     path = f"{out}/{table.name}"
     mode = "overwrite" if overwrite else "errorifexists"
     table.conform(df).write.mode(mode).parquet(path)
-    return df.sparkSession.read.schema(table.schema).parquet(path)
+    back = df.sparkSession.read.schema(table.schema).parquet(path)
+    if sketched:
+        column_sketches(back, sketched).write.mode(mode).parquet(f"{path}{SKETCHES}")
+    return back
+
+
+def read_sketches(spark: SparkSession, names: Sequence[str], out: str) -> DataFrame:
+    """(column, sketch) of written tables, stacked: ``estimated_counts`` merges equal columns without a scan of the tables."""
+    return spark.read.parquet(*[f"{out}/{name}{SKETCHES}" for name in names])
 
 
 def write_parquet(df: DataFrame, path: str, columns: list[str] | None = None, overwrite: bool = False) -> None:
@@ -115,3 +130,24 @@ def read_cube(spark: SparkSession, path: str, runids: Sequence | None = None, ke
         here = reduce(or_, (F.col("run_bucket") == _bucket(w, F.col("n_buckets")) for w in wanted), F.lit(False))
         cube = cube.where(here & F.col(key).isin(wanted) if wanted else here)
     return cube.drop("n_buckets", "run_bucket")
+
+
+def save_cube(
+    cube: DataFrame, name: str, path: str, key: str = "runid", buckets: int = CUBE_BUCKETS, overwrite: bool = False
+) -> DataFrame:
+    """The cube as a catalog table in buckets of runs, sorted, and that table.
+
+    A slice by runs opens the buckets of these runs alone, and a join or aggregate by run needs no shuffle of the cells.
+    The files are under ``path``, which must be shared storage.
+    """
+    order = [c for c in (key, "wavelength", "idx") if c in cube.columns]
+    (
+        # dealt as the table's buckets are, so every bucket is one file
+        cube.repartition(buckets, key)
+        .write.mode("overwrite" if overwrite else "errorifexists")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(*order)
+        .saveAsTable(name)
+    )
+    return cube.sparkSession.table(name)
