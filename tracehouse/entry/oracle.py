@@ -421,3 +421,10 @@ ORACLE["distinct_estimates"] = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, true AS close FROM lineitem"
     for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
 )
+
+ORACLE["register_csv_export"] = """
+SELECT CASE WHEN p_size > 10 THEN 'raw' ELSE 'cuprac' END AS detection, lower(p_type) AS sampler,
+  'p' || lpad(p_partkey::varchar, 9, '0') AS samplecode, CASE WHEN p_size > 40 THEN 9999 ELSE p_size END AS vintage,
+  lower(p_name) || ', ' || lower(p_brand) AS wine, '1/2/2023' AS open_date, '3/4/2023' AS sampled_date,
+  p_retailprice > 1000 AS added_to_cellartracker, lower(p_brand) || chr(10) || 'second line' AS notes, p_size::double AS size
+FROM part"""

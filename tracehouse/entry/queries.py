@@ -11,14 +11,16 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracehouse.functions import text
 from tracehouse.functions.times import local_micros
 from tracehouse.operators import exclusion, filters, keys, matching, program, quality, reports, reshape, traces
 from tracehouse.plans import catalogue, reconcile, register, runs
-from tracehouse.schemas import ForeignKey, Table
+from tracehouse.schemas import REGISTER_SOURCE, ForeignKey, Table
 from tracehouse.session import shared_folder
 from tracehouse.sources import sinks, xml
+from tracehouse.sources import tables as sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -799,6 +801,30 @@ def table_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.write_table(sinks.append_by_name(more, people), table, _scratch(spark, "tables"))
 
 
+@_query
+def register_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as an original register: landed as CSV with quotes and commas, staged, exported and read back."""
+    parts, path = _table(spark, sf_dir, "part"), _scratch(spark, "register")
+    values = {
+        "detection": F.when(F.col("p_size") > 10, "raw").otherwise("cuprac"),
+        "sampler": F.upper("p_type"),
+        "samplecode": F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")),
+        "vintage": F.when(F.col("p_size") > 40, "null").otherwise(F.col("p_size").cast("string")),
+        "name": F.concat(F.initcap("p_name"), F.lit(', "'), "p_brand", F.lit('"')),
+        "open_date": F.lit("1/2/2023"),
+        "sampled_date": F.lit("3/4/2023"),
+        "added_to_cellartracker": F.when(F.col("p_retailprice") > 1000, "y").otherwise("n"),
+        "notes": F.concat("p_brand", F.lit("\nsecond line")),
+        "size": F.col("p_size").cast("string"),
+    }
+    columns = T._parse_datatype_string(REGISTER_SOURCE).names
+    landed = parts.select(*[values[c].alias(c) for c in columns])
+    landed.write.csv(f"{path}/csv", header=True, quote='"', escape='"')
+    register = reconcile.stage_register(sources.read_register_csv(spark, f"{path}/csv"))
+    reconcile.export_register(register, f"{path}/export")
+    return spark.read.parquet(f"{path}/export").withColumn("size", F.col("size").cast("double"))
+
+
 @_query
 def runs_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders landed by priority; one priority is then landed again with other prices."""
