@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -137,13 +138,14 @@ def test_long_names_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     rows = QUERIES["match_long_names"](spark, folder).collect()
     parts = spark.read.parquet(f"{folder}/part.parquet").collect()
-    syllables = "ba de fi go ku la me ni po ru".split()
-    spelt = lambda n, digits: "".join(syllables[int(c)] for c in str(n).rjust(digits, "0"))
     names = []
-    for p in sorted(parts, key=lambda p: p["p_partkey"]):
-        words = p["p_name"].split(" ")
-        brand = p["p_brand"].rsplit("#", 1)[-1]
-        names.append(" ".join([*words[:2], p["p_type"].lower(), spelt(p["p_partkey"], 6), spelt(brand, 3), spelt(p["p_size"], 2)]))
+    for p in sorted(p["p_partkey"] for p in parts):
+        words = []
+        for k in range(6):
+            number = zlib.crc32(f"{p}-{k}".encode())
+            digits = [number // 100**i % 100 for i in range(2 + k % 3)]
+            words.append("".join("bcdfghjklmnpqrstvwxz"[n // 5] + "aeiou"[n % 5] for n in digits))
+        names.append(" ".join(words))
     assert len(rows) == len(parts)
     rng = random.Random(1)
     for row in rng.sample(rows, 40):

@@ -616,24 +616,28 @@ def match_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.best_match(left, right, "left_string", "name", "place", min_score=reconcile.VERIFIED_ABOVE + 1)
 
 
-def _spelt(number: Column, digits: int) -> Column:
-    """A number as a word of two letters a digit."""
-    figures = F.split(F.lpad(number.cast("string"), digits, "0"), "")
-    syllables = F.split(F.lit("ba de fi go ku la me ni po ru"), " ")
-    return F.array_join(F.transform(figures, lambda c: F.get(syllables, c.cast("int"))), "")
+def _made_word(number: Column, syllables: int) -> Column:
+    """A word of two-letter syllables, one for two decimal digits of a number."""
+
+    def syllable(k: int) -> Column:
+        n = F.pmod(F.floor(number / 100**k), F.lit(100)).cast("int")
+        first = F.substring(F.lit("bcdfghjklmnpqrstvwxz"), F.floor(n / 5).cast("int") + 1, F.lit(1))
+        return F.concat(first, F.substring(F.lit("aeiou"), n % 5 + 1, F.lit(1)))
+
+    return F.concat(*[syllable(k) for k in range(syllables)])
 
 
 @_query
 def match_long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best of all parts' six-word names for each of them in another order, with letters mistyped."""
+    """Best of all parts' made six-word names for each of them in reverse order, with letters mistyped."""
     parts = _table(spark, sf_dir, "part")
-    words = F.split("p_name", " ")
-    spelt = [_spelt(F.col("p_partkey"), 6), _spelt(F.substring_index("p_brand", "#", -1), 3), _spelt(F.col("p_size"), 2)]
-    name = F.concat_ws(" ", words[0], words[1], F.lower("p_type"), *spelt)
-    typed = F.concat_ws(" ", F.translate(spelt[0], "k", "c"), words[1], *spelt[:0:-1], F.lower("p_type"), F.translate(words[0], "o", "a"))
-    named = parts.select("p_partkey", name.alias("name"))
-    left = parts.select("p_partkey", typed.alias("left_string"))
-    return matching.best_match(left, named, "left_string", "name", "p_partkey")
+    words = [
+        _made_word(F.crc32(F.concat_ws("-", "p_partkey", F.lit(k)).cast("binary")), 2 + k % 3) for k in range(6)
+    ]
+    mistyped = [F.translate(w, "bdk", "pgc") if k in (0, 3) else w for k, w in enumerate(words)]
+    left = parts.select("p_partkey", F.concat_ws(" ", *mistyped[::-1]).alias("left_string"))
+    names = parts.select("p_partkey", F.concat_ws(" ", *words).alias("name"))
+    return matching.best_match(left, names, "left_string", "name", "p_partkey")
 
 
 @_query

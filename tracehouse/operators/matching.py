@@ -6,8 +6,8 @@ earlier one on a tie. The result is exact, without caps:
 * copies collapse first: both sides keep one row per canonical text;
 * both sides are dealt to a grid of blocks of bounded size, so every pair of texts meets once, in one
   task, and only the best right text of each left one leaves a block, never the pairs;
-* in a block, one matrix product of letter indicators bounds the score of all pairs at once. It costs a
-  few nanoseconds a pair and leaves few of them;
+* in a block, one matrix product of letter indicators bounds the score of all pairs at once. It costs
+  some ten nanoseconds a pair and leaves few of them;
 * these are bounded again by their longest common subsequence, for many pairs at once: a bit row of one
   text in a machine word, one letter of the other text a step;
 * what still can win is aligned, best bound first, until no bound can win any more.
