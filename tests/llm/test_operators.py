@@ -414,6 +414,29 @@ def test_mixing(spark, monkeypatch, block):
     assert mixing.mix_sources(none(spark)).count() == 0
 
 
+def test_mixing_of_rows_that_repeat_an_id(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    rows = [(7, f"x{i} " + "w " * 20, "a") for i in range(400)] + [(None, "w " * 9, "a")] * 300
+    rows += [(i, "w " * (i % 50), "a" if i % 2 else "b") for i in range(100, 300)]
+    names = ("row", "mark", "block", "p", "order", "told", "__n_docs")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.substring("text", 1, 4)) for c in names})
+    first, second = (mixing.mix_sources(d).collect() for d in (docs, docs.repartition(5)))
+    assert sorted(map(repr, first)) == sorted(map(repr, second)) and len(first) == len(rows)
+    for source in "ab":
+        own = [r for r in first if r["source"] == source]
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= 50
+    assert all(r[c].startswith(c) for r in first for c in names)
+
+
+def test_rows_of_one_size_settle_among_themselves(spark):
+    rows = [(i, "a", 5, 0.3, 1, i, 0) for i in range(1005)] + [(2000, "a", 6, 0.3, 1, 0, 0), (2001, None, 5, 0.5, 1, 0, 0)]
+    kinds = "row long, source string, size long, p double, order long, mark long, block long"
+    settled = {r["row"]: r["p"] for r in mixing._twins(spark.createDataFrame(rows, kinds)).collect()}
+    assert sorted(settled[i] for i in range(1005)) == pytest.approx([0.0] * 703 + [0.5] + [1.0] * 301)
+    assert settled[2000] == pytest.approx(0.3) and settled[2001] == 0.5
+
+
 def test_flight_keeps_sums():
     rng = np.random.Generator(np.random.PCG64(3))
     for n in (1, 2, 3, 500):

@@ -9,24 +9,31 @@ sizes by a few changes.
 
 Defined results: a null text has size 0 and takes nothing; null sources form one source, weighed last;
 a source without words has target 0. Repeated rows and null ids count as rows of their own; further
-columns are kept; an empty table gives no rows. The order within a block is by size (largest first) and
-hashes of id and size, so reruns agree; rows equal in all these are interchangeable.
+columns are kept, whatever their names but those of the results; an empty table gives no rows. The order within a block is by size
+(largest first) and hashes of id and text, so reruns agree; rows equal in all these are interchangeable. Rows that
+repeat an id share a block; in a block that they crowd, rows of equal size are settled among themselves first, which
+leaves one undecided row of each size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tracehouse.functions.columns import free_name, named, quoted
 from tracehouse.llm.common import WORD, Stage
+from tracehouse.operators.skew import positions
 
 WEIGHTS = (3, 1, 2)  # of the sources in order, repeating
 SHARE = 1.5  # of all sizes together
 MOST = 2.0  # copies of a document
 BLOCK = 2_000
+CROWD = 2  # times BLOCK: a block above this holds repeated ids
+RESULTS = ("size", "source_size", "target", "copies")
 CORRECTIONS = 4  # of the landing
 SEED = 8
 EPS = 1e-9
@@ -119,37 +126,32 @@ def land(size: np.ndarray, p: np.ndarray, wanted: float) -> np.ndarray:
     return best
 
 
-def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """``docs`` without their texts, with ``size``, ``source_size``, ``target`` and ``copies``."""
-    spark = docs.sparkSession
-    stage = Stage(spark, "mixing")
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    own = [c for c in docs.columns if c not in (text, "size", "source_size", "target", "copies")]
-    sized = stage(docs.select(*own, size.alias("size")))
-    targets = stage(source_targets(sized, source=source))
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = sized.join(targets, sized[source].eqNullSafe(targets[source])).drop(targets[source])
-    spread = F.pmod(F.xxhash64(F.col(key), F.col("size"), F.lit(SEED)), F.ceil(F.col("__n_docs") / BLOCK))
-    undecided = (
-        joined.withColumn("__e", expected)
-        .withColumn("__whole", F.floor(F.col("__e") + EPS).cast("long"))
-        .withColumn("__p", F.greatest(F.lit(0.0), F.col("__e") - F.col("__whole")))
-        .withColumn("__order", F.xxhash64(F.col(key), F.lit(SEED + 1)))
-        .withColumn("__block", spread)
-        .drop("__e", "__n_docs")
-    )
-    schema = T.StructType([f for f in undecided.schema])
+def _twins(crowded: DataFrame) -> DataFrame:
+    """Rows of a block that share a size, flown against each other: moving their probabilities changes neither sum, so
+    of m rows at p the first m·p in order go to 1, the next keeps the fraction that is left, the others go to 0.
+
+    The places come from ``positions``, so a size that any number of rows share is numbered by many tasks.
+    """
+    numbered, place = positions(crowded, ["source", "block", "size"], ["order", "mark"])
+    left = place["n"] * F.col("p") - place["idx"]
+    near = F.when(left > 1 - EPS, F.lit(1.0)).when(left < EPS, F.lit(0.0)).otherwise(left)
+    return numbered.withColumn("p", near).select(*crowded.columns)
+
+
+def _chosen(undecided: DataFrame, stage: Stage) -> DataFrame:
+    """``row`` of the rows of (row, source, size, p, order, mark, block) whose p the flight moves to 1."""
+    schema = undecided.schema
 
     def moved(block: pa.Table, last: bool) -> pa.Table:
-        sizes, p = block["size"].to_numpy(), block["__p"].to_numpy()
-        order = np.lexsort((block["__order"].to_numpy(), -sizes))
+        sizes, p = block["size"].to_numpy(), block["p"].to_numpy()
+        order = np.lexsort((block["mark"].to_numpy(), block["order"].to_numpy(), -sizes))
         sizes, p = sizes[order], p[order]
         wanted = float((sizes * p).sum())
         p = fly(sizes, p)
         if last:
             p = land(sizes, p, wanted)
         block = block.take(pa.array(order))
-        return block.set_column(block.column_names.index("__p"), "__p", pa.array(p, pa.float64()))
+        return block.set_column(block.column_names.index("p"), "p", pa.array(p, pa.float64()))
 
     def flown(block: pa.Table) -> pa.Table:
         return moved(block, False)
@@ -157,22 +159,82 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
     def landed(block: pa.Table) -> pa.Table:
         return moved(block, True)
 
-    open_ = (F.col("__p") > 0) & (F.col("__p") < 1)
-    decided = [undecided.where(~open_)]
-    undecided = undecided.where(open_)
-    most = undecided.groupBy(source).count().agg(F.max("count")).first()[0] or 0
+    open_ = (F.col("p") > EPS) & (F.col("p") < 1 - EPS)
+    decided = []
+    blocks = stage(undecided.groupBy("source", "block").count())
+    most = blocks.groupBy("source").agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > BLOCK:
+        # ids repeat in blocks far above their expected size
+        crowds = blocks.where(F.col("count") > CROWD * BLOCK).select(
+            F.col("source").alias("crowd_source"), F.col("block").alias("crowd_block")
+        )
+        if crowds.limit(1).count():
+            here = F.col("source").eqNullSafe(F.col("crowd_source")) & (F.col("block") == F.col("crowd_block"))
+            settled = stage(_twins(undecided.join(crowds, here, "left_semi")))
+            decided.append(settled.where(~open_))
+            undecided = undecided.join(crowds, here, "left_anti").unionByName(settled.where(open_))
+            most = undecided.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     # each pass leaves two documents a block at most
     while most > BLOCK:
-        passed = stage(undecided.groupBy(source, "__block").applyInArrow(flown, schema))
+        passed = stage(undecided.groupBy("source", "block").applyInArrow(flown, schema))
         decided.append(passed.where(~open_))
-        most = passed.where(open_).groupBy(source).count().agg(F.max("count")).first()[0] or 0
-        blocks = max(1, -(-most // BLOCK))
-        undecided = passed.where(open_).withColumn(
-            "__block", F.pmod(F.xxhash64("__block", F.lit(SEED)), F.lit(blocks))
+        most = passed.where(open_).groupBy("source").count().agg(F.max("count")).first()[0] or 0
+        left = max(1, -(-most // BLOCK))
+        undecided = passed.where(open_).withColumn("block", F.pmod(F.xxhash64("block", F.lit(SEED)), F.lit(left)))
+    decided.append(undecided.groupBy("source").applyInArrow(landed, schema))
+    return reduce(DataFrame.unionByName, decided).where(F.col("p") > 0.5).select("row")
+
+
+def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """``docs`` without their texts, with ``size``, ``source_size``, ``target`` and ``copies``.
+
+    The flight sees sizes and hashes alone; what it chooses is joined back to the rows by a number that each row gets
+    when it is written.
+    """
+    stage = Stage(docs.sparkSession, "mixing")
+    own = [c for c in docs.columns if c != text and c.lower() not in RESULTS]
+    taken = [*own, *RESULTS]
+    row, mark = free_name(taken, "row"), free_name(taken, "mark")
+    size = F.coalesce(F.regexp_count(named(text), F.lit(WORD)), F.lit(0)).cast("long")
+    sized = stage(
+        docs.select(
+            *map(named, own),
+            size.alias("size"),
+            F.monotonically_increasing_id().alias(row),
+            F.xxhash64(named(text)).alias(mark),
+        )
+    )
+    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    whole = F.floor(expected + EPS).cast("long")
+    by_source = stage(
+        source_targets(sized.select(named(source).alias("source"), "size")).select(
+            F.col("source").alias("of"), "__n_docs", "source_size", "target", whole.alias("whole"),
+            F.greatest(F.lit(0.0), expected - whole).alias("p"),
         )
-    decided.append(undecided.groupBy(source).applyInArrow(landed, schema))
-    whole = decided[0]
-    for part in decided[1:]:
-        whole = whole.unionByName(part)
-    copies = F.col("__whole") + F.round("__p").cast("long")
-    return whole.select(*own, "size", "source_size", "target", copies.alias("copies"))
+    )
+    is_open = (F.col("p") > EPS) & (F.col("p") < 1 - EPS)
+    slim = sized.select(
+        F.col(row).alias("row"), named(source).alias("source"), "size",
+        F.xxhash64(named(key), F.lit(SEED + 1)).alias("order"), F.col(mark).alias("mark"),
+        F.xxhash64(named(key), F.col("size"), F.lit(SEED)).alias("spread"),
+    )
+    undecided = slim.join(by_source.where(is_open), F.col("source").eqNullSafe(F.col("of"))).select(
+        "row", "source", "size", "p", "order", "mark",
+        F.pmod(F.col("spread"), F.ceil(F.col("__n_docs") / BLOCK)).alias("block"),
+    )
+    chosen = stage(_chosen(undecided, stage))
+    told = F.struct(F.col("source_size"), F.col("target"), F.col("whole"), F.col("p")).alias("told")
+    of, share, extra = (free_name([*taken, row, mark], n) for n in ("of", "told", "extra"))
+    shares = by_source.select(F.col("of").alias(of), told.alias(share))
+    joined = sized.join(shares, sized[quoted(source)].eqNullSafe(shares[of]))
+    always = F.col(share)["whole"] + F.round(F.col(share)["p"]).cast("long")
+
+    def result(rows: DataFrame, copies: Column) -> DataFrame:
+        given = [F.col(share)[name].alias(name) for name in ("source_size", "target")]
+        return rows.select(*map(named, own), "size", *given, copies.alias("copies"))
+
+    probable = (F.col(share)["p"] > EPS) & (F.col(share)["p"] < 1 - EPS)
+    more = chosen.select(F.col("row").alias(row), F.lit(1).cast("long").alias(extra))
+    open_rows = joined.where(probable).join(more, row, "left")
+    some = F.col(share)["whole"] + F.coalesce(F.col(extra), F.lit(0).cast("long"))
+    return result(joined.where(~probable), always).unionByName(result(open_rows, some))
