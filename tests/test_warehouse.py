@@ -1,5 +1,8 @@
 """The whole build and serving, on a generated library."""
 
+import re
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tracehouse.operators.quality import QualityError
 from tracehouse.plans.serve import fetch_images
 from tracehouse.schemas import TABLES
 from tracehouse.sources import sinks
+from tracehouse.sources.tables import read_images, read_landed_images, require_same_schema, schema_kinds
 
 EXCLUDED = [{}, {"runid": "54", "reason": "test"}, {"runid": "no such run", "reason": "ignored"},
             {"runid": "96", "reason": "listed too"}]
@@ -133,6 +137,51 @@ def test_cube_of_one_wavelength_reads_one_column(warehouse):
     assert "256#" in plan and "300#" not in plan
 
 
+@pytest.fixture(scope="module")
+def landed(spark, warehouse, tmp_path_factory):
+    """The same warehouse, its images landed run by run; among them a key that is not a number and one with a zero."""
+    path = str(tmp_path_factory.mktemp("landed") / "lib")
+    images = read_images(spark, warehouse.lib_dir).join(warehouse.table("chm").select("runid", "id"), "id")
+    sinks.write_runs(images.select("runid", "id", "mins", *WAVELENGTHS), path)
+    sinks.write_runs(images.where("runid = '13'").withColumn("runid", F.lit("013")).select("runid", "id", "mins", *WAVELENGTHS), path)
+    return replace(warehouse, lib_dir=path, landed=True)
+
+
+def test_landed_runs_serve_the_same(warehouse, landed):
+    for form in ("long", "array"):
+        ours, theirs = (get_data(w, "cube", rows=50, form=form) for w in (landed, warehouse))
+        assert _values(ours, *theirs.columns) == _values(theirs, *theirs.columns)
+    ours, theirs = (get_data(w, "pairs", ["13", "54", "61", "none"]) for w in (landed, warehouse))
+    columns = ["runid", "id", "mins", *WAVELENGTHS]
+    assert _values(ours[0], *columns) == _values(theirs[0], *columns) and ours[0].count() == 120
+    assert _values(ours[1], *ours[1].columns) == _values(theirs[1], *ours[1].columns)
+    assert fetch_images(landed, ["013"]).count() == 0  # landed, but not a run of the warehouse
+
+
+def test_landed_runs_are_pruned_without_a_list_of_files(landed):
+    listed = fetch_images(landed, ["13", "61"], ["256"])
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[runid#\d+ IN \(13,61\)", plan) and "dynamicpruningexpression(runid#" in plan
+    assert "300#" not in plan
+
+
+def test_missing_landed_images_are_named(spark, tmp_path):
+    for wavelengths in (None, ["256"]):
+        with pytest.raises(QualityError, match="no landed images"):
+            read_landed_images(spark, str(tmp_path / "none"), wavelengths)
+
+
+def test_schema_kinds(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    rows = spark.createDataFrame([("a", 1.0, 2.0), ("b", 1.0, 3.0)], "runid string, mins double, `256` double")
+    sinks.write_runs(rows, path)
+    sinks.write_runs(rows.withColumn("runid", F.lit("c")).withColumnRenamed("256", "300"), path)
+    kinds = {tuple(r["columns"]): r["n"] for r in schema_kinds(spark, f"{path}/*/*.parquet").collect()}
+    assert kinds == {("mins", "256"): 2, ("mins", "300"): 1}
+    with pytest.raises(QualityError, match="differ in schema"):
+        require_same_schema(spark, f"{path}/*/*.parquet")
+
+
 def test_short_runs_stop_the_cube(warehouse):
     with pytest.raises(Exception, match="has 60 rows, expected 7800"):
         get_data(warehouse, "cube").count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracehouse.entry.queries import END_CUTOFF, TRIM_ROWS
+from tracehouse.entry.queries import END_CUTOFF, SERVED_ROWS, SERVED_RUNS, TRIM_ROWS
 
 # events as traces, in minutes of the month
 _TRACE = """
@@ -428,3 +428,38 @@ SELECT CASE WHEN p_size > 10 THEN 'raw' ELSE 'cuprac' END AS detection, lower(p_
   lower(p_name) || ', ' || lower(p_brand) AS wine, '1/2/2023' AS open_date, '3/4/2023' AS sampled_date,
   p_retailprice > 1000 AS added_to_cellartracker, lower(p_brand) || chr(10) || 'second line' AS notes, p_size::double AS size
 FROM part"""
+
+ORACLE["landed_schemas"] = """
+SELECT DISTINCT o_orderpriority[1] AS runid,
+  CASE WHEN o_orderpriority LIKE '2%' THEN 'mins,value,unit' ELSE 'mins,value' END AS columns,
+  CASE WHEN o_orderpriority LIKE '2%' THEN 'int64,double,string' ELSE 'int64,double' END AS types
+FROM orders"""
+
+_SERVED = """
+sample_metadata AS (
+    SELECT 'guid-' || c_custkey AS id, c_custkey::varchar AS runid, TIMESTAMP '2024-01-01' AS acq_date,
+           c_mktsegment AS acq_method, 'month' AS seq_name, c_name AS description, 'raw' AS detection,
+           1990 + n_nationkey AS vintage, n_name AS wine, n_name AS locale, n_name AS country, r_name AS region,
+           n_name AS subregion, n_name AS appellation, n_name AS producer, n_name AS type, n_name AS color,
+           n_name AS category, n_name AS varietal
+    FROM customer LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey)
+      ON n_nationkey = c_nationkey AND n_name = 'NATION_' || c_nationkey
+    WHERE c_mktsegment != 'MACHINERY'
+)"""
+
+ORACLE["get_data_cube"] = f"""
+WITH {_EVEN}, {_SERVED}
+SELECT m.* EXCLUDE (runid), m.runid, idx, mins, 256 AS wavelength, value AS absorbance
+FROM even e JOIN sample_metadata m ON e.runid::varchar = m.runid WHERE idx < {SERVED_ROWS}"""
+
+ORACLE["get_data_pairs"] = f"""
+WITH {_EVEN}, {_SERVED}
+SELECT m.*, mins, value AS "256", value * 2 AS "300"
+FROM even e JOIN sample_metadata m ON e.runid::varchar = m.runid
+WHERE m.runid IN ({", ".join(f"'{r}'" for r in SERVED_RUNS)})"""
+
+ORACLE["filter_tables"] = f"""
+WITH {_TRACE}, {_SERVED}
+SELECT m.*, mins, 256 AS wavelength, value AS absorbance
+FROM sample_metadata m JOIN trace t ON m.runid = t.runid::varchar
+WHERE mins BETWEEN 100 AND 20000 AND region IN ('ASIA', 'EUROPE')"""

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from tracehouse.functions import text
 from tracehouse.functions.times import local_micros
 from tracehouse.operators import exclusion, filters, keys, matching, program, quality, reports, reshape, traces
-from tracehouse.plans import catalogue, reconcile, register, runs
-from tracehouse.schemas import REGISTER_SOURCE, ForeignKey, Table
+from tracehouse.plans import catalogue, reconcile, register, runs, serve
+from tracehouse.plans.warehouse import Warehouse
+from tracehouse.schemas import REGISTER_SOURCE, TABLES, ForeignKey, Table
 from tracehouse.session import shared_folder
 from tracehouse.sources import sinks, xml
 from tracehouse.sources import tables as sources
@@ -29,6 +30,8 @@ TRIM_ROWS = 40
 END_CUTOFF = 40_000.0  # minutes
 DIMENSIONS = 64  # of the embeddings
 DIGITS = 6
+SERVED_ROWS = 10
+SERVED_RUNS = ["3", "7", "12", "13", "14", "100", "99999"]
 
 
 def _query(build: Query) -> Query:
@@ -842,6 +845,90 @@ def runs_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(path)
 
 
+@_query
+def landed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemas of landed files, and the runs that have each: orders of one priority are landed with a further column."""
+    path = _scratch(spark, "landed")
+    orders = _table(spark, sf_dir, "orders").select(
+        F.substring("o_orderpriority", 1, 1).alias("runid"), F.col("o_orderkey").alias("mins"), F.col("o_totalprice").alias("value")
+    )
+    sinks.write_runs(orders.where("runid != '2'"), path)
+    sinks.write_runs(orders.where("runid = '2'").withColumn("unit", F.lit("mAU")), path)
+    files = sources.file_columns(spark, f"{path}/*/*.parquet")
+    return files.select(
+        F.regexp_extract("path", "runid=([^/]*)/", 1).alias("runid"),
+        F.array_join("columns", ",").alias("columns"),
+        F.array_join("types", ",").alias("types"),
+    ).distinct()
+
+
+def _served(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse of customers' traces: images landed run by run, tables written, one segment excluded."""
+    out = _scratch(spark, "warehouse")
+    events = _image(spark, sf_dir).withColumns(
+        {"runid": F.col("runid").cast("string"), "id": F.concat(F.lit("guid-"), F.col("runid").cast("string"))}
+    )
+    sinks.write_runs(events.select("runid", "id", "mins", "256", "300"), f"{out}/lib")
+    warehouse = Warehouse(spark, out, f"{out}/lib", landed=True)
+    customers = _table(spark, sf_dir, "customer").withColumn("runid", F.col("c_custkey").cast("string"))
+    nations = _table(spark, sf_dir, "nation").join(
+        _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    product = [F.col("n_name").alias(c) for c in ("locale", "country", "subregion", "appellation", "producer", "type", "color", "category", "varietal")]
+    tables = {
+        "chm": customers.select(
+            "runid", F.concat(F.lit("s"), "runid").alias("samplecode"), F.lit("2024-01-01").alias("acq_date"),
+            F.col("c_mktsegment").alias("acq_method"), F.lit(10).alias("inj_vol"), F.lit("month").alias("seq_name"),
+            F.lit("vial 1").alias("vialnum"), F.lit("x").alias("originalfilepath"),
+            F.concat(F.lit("guid-"), "runid").alias("id"), F.col("c_name").alias("description"),
+            F.concat(F.lit(f"{out}/lib/runid="), "runid").alias("path"),
+        ),
+        "st": customers.select(
+            F.lit("raw").alias("detection"), F.concat(F.lit("NATION_"), F.col("c_nationkey")).alias("wine"),
+            (F.col("c_nationkey") + 1990).alias("vintage"), F.lit("JV").alias("sampler"),
+            F.concat(F.lit("s"), "runid").alias("samplecode"),
+            *[F.lit(None).alias(c) for c in ("open_date", "sampled_date", "added_to_cellartracker", "notes", "size")],
+        ),
+        "ct": nations.select(
+            F.concat((F.col("n_nationkey") + 1990).cast("string"), F.lit(" "), "n_name").alias("wine_key"),
+            F.lit("750ml").alias("size"), (F.col("n_nationkey") + 1990).alias("vintage"), F.col("n_name").alias("wine"),
+            F.col("r_name").alias("region"), *product,
+        ),
+        "excluded": customers.where("c_mktsegment = 'MACHINERY'").select("runid", F.lit("segment").alias("reason")),
+        "image_stats": traces.image_stats(sources.read_landed_images(spark, f"{out}/lib"), "runid").withColumn(
+            "path", F.concat(F.lit(f"{out}/lib/runid="), "runid")
+        ),
+    }
+    for name, table in tables.items():
+        sinks.write_table(table, TABLES[name], out)
+    return warehouse
+
+
+@_query
+def get_data_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One wavelength of all included runs, as a warehouse serves it."""
+    return serve.get_data(_served(spark, sf_dir), "cube", rows=SERVED_ROWS, form="long", wavelengths=["256"])
+
+
+@_query
+def get_data_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-gridded images of some runs, excluded and unknown ones among them, beside their metadata."""
+    images, metadata = serve.get_data(_served(spark, sf_dir), "pairs", SERVED_RUNS)
+    return images.join(metadata.drop("id"), "runid")
+
+
+@_query
+def filter_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter over two catalog tables, given by bare values."""
+    warehouse = _served(spark, sf_dir)
+    stem = f"t{uuid4().hex}"
+    warehouse.view("sample_metadata").createOrReplaceTempView(f"{stem}_metadata")
+    long = traces.wide_to_long(sources.read_landed_images(spark, warehouse.lib_dir).drop("runid"), ["id", "mins"])
+    long.createOrReplaceTempView(f"{stem}_signal")
+    wanted = filters.infer_operators({"wavelength": (256, 299), "mins": [100, 20_000], "region": ["ASIA", "EUROPE"], "detection": "raw"})
+    return filters.query_tables(spark, wanted, metadata_table=f"{stem}_metadata", signal_table=f"{stem}_signal")
+
+
 @_query
 def cube_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some runs of a written cube, read through their buckets."""

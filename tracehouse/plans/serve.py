@@ -11,7 +11,7 @@ from tracehouse.functions.columns import named
 from tracehouse.operators.quality import require_rows
 from tracehouse.operators.traces import CUBE_ROWS, cube, regrid_time
 from tracehouse.plans.warehouse import Warehouse
-from tracehouse.sources.tables import read_images
+from tracehouse.sources.tables import read_images, read_landed_images
 
 OUTPUTS = ("cube", "pairs")
 
@@ -22,8 +22,15 @@ def fetch_images(
     """Images of included runs with runid and path in front; excluded runs are silently absent.
 
     For listed runs only their files are opened. Otherwise the library is scanned once and joined
-    to the paths.
+    to the paths. Landed images have no path: the run's key is a partition column, and the join with
+    the included runs prunes their folders while the query runs.
     """
+    if warehouse.landed:
+        included = warehouse.view("inc_chm").select("runid")
+        if runids:
+            included = included.where(F.col("runid").isin(list(runids)))
+        images = read_landed_images(warehouse.spark, warehouse.lib_dir, wavelengths)
+        return images.join(included, "runid", "left_semi")
     paths = warehouse.view("run_data_paths")
     if runids:
         wanted = paths.where(F.col("runid").isin(list(runids)))
@@ -57,5 +64,7 @@ def get_data(
     most = warehouse.table("image_stats").agg(F.max("mins_count")).first()[0]
     if output == "pairs":
         return regrid_time(images, "runid", most_rows=most), metadata
+    if warehouse.landed:
+        return cube(images, metadata, rows=rows, form=form, most_rows=most)
     paths = warehouse.view("run_data_paths").select("runid", F.col("data_path").alias("path"))
     return cube(images, metadata.join(paths, "runid"), rows=rows, form=form, most_rows=most)

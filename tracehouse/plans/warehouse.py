@@ -18,11 +18,15 @@ VIEWS = ("gradients", "counts_per_gradient", "inc_chm", "inc_img_stats", "run_da
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables under ``out``, and the library folder whose images they describe."""
+    """Tables under ``out``, and the library folder whose images they describe.
+
+    ``landed``: the images lie there as ``write_runs`` lands them, in a folder for each run key.
+    """
 
     spark: SparkSession
     out: str
     lib_dir: str
+    landed: bool = False
 
     def table(self, name: str) -> DataFrame:
         schema = TABLES[name].schema if name in TABLES else None

@@ -86,6 +86,29 @@ def read_images(
         raise QualityError(f"no images at {sources[0]}") from error
 
 
+def read_landed_images(
+    spark: SparkSession, path: str, wavelengths: Sequence[str] | None = None, key: str = "runid"
+) -> DataFrame:
+    """Wide images as ``write_runs`` lands them, the run's key in front, as text.
+
+    The key is a partition column: a filter of runs, or a join with a filtered table of runs, leaves the folders of all
+    other runs unread. Without ``wavelengths`` the columns of all files are merged.
+    """
+    try:
+        if wavelengths is None:
+            found = spark.read.option("mergeSchema", "true").parquet(path).schema
+            # an inferred type would turn '00' into 0
+            kinds = T.StructType([T.StructField(key, T.StringType()) if f.name == key else f for f in found])
+        else:
+            signals = [T.StructField(w, T.DoubleType()) for w in wavelengths]
+            kinds = T._parse_datatype_string(f"{key} string, id string, mins double")
+            kinds = T.StructType([*kinds.fields, *signals])
+        images = spark.read.schema(kinds).parquet(path)
+    except AnalysisException as error:
+        raise QualityError(f"no landed images at {path}") from error
+    return images.select(key, *[named(c) for c in images.columns if c != key])
+
+
 def file_columns(spark: SparkSession, pattern: str) -> DataFrame:
     """Column names and types of each parquet file: (path, columns, types).
 
@@ -130,14 +153,15 @@ def image_extents(spark: SparkSession, lib_dir: str) -> DataFrame:
     )
 
 
+def schema_kinds(spark: SparkSession, pattern: str) -> DataFrame:
+    """The different schemas of the files: (columns, types, path of one such file, n files)."""
+    files = file_columns(spark, pattern)
+    return files.groupBy("columns", "types").agg(F.min("path").alias("path"), F.count("*").alias("n"))
+
+
 def require_same_schema(spark: SparkSession, pattern: str) -> None:
     """Raise if the files differ in columns, their order or their types."""
-    kinds = (
-        file_columns(spark, pattern)
-        .groupBy("columns", "types")
-        .agg(F.min("path").alias("path"), F.count("*").alias("n"))
-    )
-    sample = kinds.orderBy(F.desc("n")).limit(3).collect()
+    sample = schema_kinds(spark, pattern).orderBy(F.desc("n")).limit(3).collect()
     if len(sample) > 1:
         shown = "; ".join(f"{row['n']} files like {row['path']}: {row['columns']}" for row in sample)
         raise QualityError(f"files of {pattern} differ in schema: {shown}")
