@@ -9,6 +9,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -177,6 +178,36 @@ def test_blocked_comparison_alone_finds_all_links(spark, monkeypatch):
     assert {found[i] for i in range(12, 19)} == {12}
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_a_crowd_in_many_buckets_equals_brute_force(spark, monkeypatch, rounds):
+    monkeypatch.setattr(near_duplicates, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 3)
+    rng = random.Random(23)
+    base = [f"w{i}" for i in range(60)]
+    bodies = [[w if rng.random() > 0.09 else f"r{k}x{i}" for i, w in enumerate(base)] for k in range(70)]
+    sets = [near_duplicates.shingle_set(" ".join(b), 1) for b in bodies]
+    links = [(a, b) for b in range(len(sets)) for a in range(b) if near_duplicates.alike(sets[a], sets[b])]
+    assert 50 < len(links) < 2000
+    docs = spark.createDataFrame([(i, " ".join(b)) for i, b in enumerate(bodies)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.group_near_duplicates(docs, shingle=1).collect()}
+    assert found == grouped(links, range(len(bodies)))
+
+
+def test_a_pair_is_compared_in_one_of_its_homes(monkeypatch):
+    tried, alike = [], near_duplicates.alike
+    monkeypatch.setattr(near_duplicates, "alike", lambda a, b, percent: tried.append((len(a), len(b))) or alike(a, b, percent))
+    texts = {i: " ".join(f"w{j}" for j in range(20 + i)) for i in (1, 2, 3, 40)}
+    homes = {1: [7, 8, 9], 2: [7, 8, 9], 3: [8, 9], 40: [7, 8, 9]}
+    rows = []
+    for group in (7, 8, 9):
+        inside = [i for i in texts if group in homes[i]]
+        rows += [(group, 0, role, i, i, 20 + i, homes[i], texts[i]) for role in (0, 1) for i in inside]
+    names = ["group", "part", "role", "id", "label", "n", "homes", "text"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows])
+    out = [b for o in near_duplicates._compare(1, 80)(iter([batch.slice(0, 5), batch.slice(5)])) for b in o.to_pylist()]
+    assert sorted((r["a"], r["b"]) for r in out) == [(1, 2), (1, 3), (2, 3)] and len(tried) == 3
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.Generator(np.random.PCG64(1))
     for n, shared in ((30, 20), (400, 300), (3000, 2000)):

@@ -116,27 +116,44 @@ def signatures(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
 
 
 def _compare(size: int, percent: int):
-    """Rows (group, part, role, id, label, text), leaders (role 0) before members: links of a group."""
+    """Rows (group, part, role, id, label, n, homes, text), leaders (role 0) before members: links of a group.
+
+    With ``homes``, the sorted groups in which a text is, a pair is compared in the first group that both share alone, and
+    once if both lead there; with ``n``, the set's size, only if sizes allow the similarity.
+    """
+
+    def due(leader: tuple, own: int, label: int, n: int | None, homes: list[int] | None, group: int) -> bool:
+        other, other_label, other_n, other_homes = leader
+        if other == own or other_label == label:
+            return False
+        if homes is None:
+            return True
+        if 100 * min(n, other_n) < percent * max(n, other_n) or (label != group and own > other):
+            return False
+        return next(h for h in homes if h in other_homes) == group
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, leaders = None, []
+        current, leaders, texts, sets = None, [], [], {}
         for batch in batches:
             found: list[tuple[int, int]] = []
-            names = ("group", "part", "role", "id", "label")
+            names = ("group", "part", "role", "id", "label", "n", "homes")
             columns = [batch.column(n).to_pylist() for n in names]
-            for group, part, role, own, label, text in zip(*columns, batch.column("text"), strict=True):
+            for group, part, role, own, label, n, homes, text in zip(*columns, batch.column("text"), strict=True):
                 if (group, part) != current:
-                    current, leaders = (group, part), []
-                elements = None
+                    current, leaders, texts, sets = (group, part), [], [], {}
                 if role == 0:
-                    leaders.append((own, label, shingle_set(text.as_py(), size)))
+                    leaders.append((own, label, n, None if homes is None else frozenset(homes)))
+                    texts.append(text)
                     continue
-                for leader, leader_label, other in leaders:
-                    if leader != own and leader_label != label:
+                elements = None
+                for at, leader in enumerate(leaders):
+                    if due(leader, own, label, n, homes, group):
                         if elements is None:
                             elements = shingle_set(text.as_py(), size)
-                        if alike(elements, other, percent):
-                            found.append((own, leader))
+                        if at not in sets:
+                            sets[at], texts[at] = shingle_set(texts[at].as_py(), size), None
+                        if alike(elements, sets[at], percent):
+                            found.append((own, leader[0]))
             yield pa.RecordBatch.from_pydict(
                 {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
             )
@@ -151,8 +168,8 @@ class _Search:
         self.stage, self.texts, self.size, self.percent = stage, texts, size, percent
 
     def verified(self, leaders: DataFrame, members: DataFrame) -> DataFrame:
-        """Links of (group, part, id, label) leaders with the members of the same group and part."""
-        columns = ["group", "part", "role", "id", "label"]
+        """Links of (group, part, id, label, n, homes) leaders with the members of the same group and part."""
+        columns = ["group", "part", "role", "id", "label", "n", "homes"]
         rows = leaders.withColumn("role", F.lit(0)).select(*columns).unionByName(
             members.withColumn("role", F.lit(1)).select(*columns)
         )
@@ -210,7 +227,7 @@ def group_near_duplicates(
                 break
             labelled = stage(labelled.join(open_keys, "key"))
         if turn == STAR_ROUNDS:
-            found = _blocked(search, labelled)
+            found = _blocked(search, labelled, classes.select("rep", F.col("n_shingles").alias("n")))
         else:
             # labels fall between rounds: only what stays the same tells who has led
             place = F.struct(F.col("company"), (-F.col("rep")).alias("back"))
@@ -253,7 +270,8 @@ def group_near_duplicates(
             leaders = dealt.groupBy("group", "part").agg(
                 F.first("leader").alias("id"), F.first("leader_label").alias("label")
             )
-            found = search.verified(leaders, dealt)
+            all_of = {"n": F.lit(None).cast("long"), "homes": F.lit(None).cast("array<long>")}
+            found = search.verified(leaders.withColumns(all_of), dealt.withColumns(all_of))
         new = stage(found)
         links = new if links is None else links.unionByName(new)
         if labels is not None:
@@ -279,18 +297,20 @@ def group_near_duplicates(
     )
 
 
-def _blocked(search: _Search, labelled: DataFrame) -> DataFrame:
+def _blocked(search: _Search, labelled: DataFrame, sizes: DataFrame) -> DataFrame:
     """Whatever a bucket's leaders left apart: its classes outside the bucket's largest group, in blocks of BLOCK,
-    against all its classes. Buckets with one largest group are taken together, as they hold much the same."""
+    against all its classes. Buckets with one largest group (their home) are taken together, as they hold much the same;
+    a class has BANDS homes at most, and a pair is compared in the first home that it shares."""
     stage = search.stage
     counts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
     largest = stage(counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("m")).select("key", F.col("m.label").alias("home")))
-    homes = stage(labelled.join(largest, "key").select("home", "rep", "label").distinct())
+    places = stage(labelled.join(largest, "key").select("home", "rep", "label").distinct())
+    known = stage(places.groupBy("rep").agg(F.sort_array(F.collect_set("home")).alias("homes")).join(sizes, "rep"))
     apart = F.col("label") != F.col("home")
-    sizes = stage(homes.where(apart).groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
-    sized = homes.join(sizes, "home")
+    blocks = stage(places.where(apart).groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    sized = places.join(blocks, "home").join(known, "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    columns = [F.col("home").alias("group"), "part", F.col("rep").alias("id"), "label"]
+    columns = [F.col("home").alias("group"), "part", F.col("rep").alias("id"), "label", "n", "homes"]
     leaders = sized.where(apart).withColumn("part", own).select(*columns)
     members = sized.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(*columns)
     return search.verified(leaders, members)
