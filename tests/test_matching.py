@@ -152,3 +152,36 @@ def test_long_names_query_equals_brute_force(spark):
         best, place = max((score_canonical(_canon(row["left_string"]), _canon(n)), -k) for k, n in enumerate(names))
         assert (row["match"], row["score"]) == ((names[-place], best) if best >= 76 else (None, None))
     assert sum(r["score"] is not None for r in rows) > len(rows) // 2
+
+
+def test_many_names_meet_by_pieces_not_in_the_grid(spark):
+    """Names with a good match are not dealt to the grid, whose copies grow with the square of the names."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("bcdfghklmnprst", k=1) + rng.choices("aeiou", k=1) + rng.choices("bdgklmnprst", k=5)) for _ in range(300)]
+    right = sorted({" ".join(sorted(rng.sample(words, 4))) for _ in range(250)} | {"short one", words[0]})
+    left = sorted({_canon(_typo(rng, r)) for r in right} | {f"{words[0]} {right[5]} {right[9]}"})
+    lf = spark.createDataFrame([(_canon(t),) for t in left], "canon string")
+    rf = spark.createDataFrame([(r, k, r) for k, r in enumerate(right)], "canon string, position int, match string")
+    schema = "canon string, score int, position int, match string"
+    found, rest = matching._by_pieces(lf, rf, schema, 76, len(right), (len(left), len(right)))
+    rest = {r["canon"] for r in rest.collect()}
+    assert len(rest) < len(left) // 4
+    got = {}
+    for r in found.collect():
+        got[r["canon"]] = max(got.get(r["canon"], (0, 0)), (r["score"], -r["position"]))
+    for text in {_canon(t) for t in left} - rest:
+        best = max((score_canonical(text, r), -k) for k, r in enumerate(right))
+        assert got.get(text) == (best if best[0] >= 76 else None)
+
+
+def test_needed_pieces_are_in_every_close_text():
+    rng = random.Random(5)
+    right = [_canon(" ".join(rng.sample(WORDS, rng.randrange(1, 6)))) for _ in range(150)]
+    left = [t for t in (_canon(_typo(rng, r)) for r in right) if t]
+    counts = np.zeros(matching._BINS, np.int32)
+    held = [dict(matching._postings(r, counts, 60)) for r in right]
+    for least in (60, 85, 95, 100):
+        for text in left:
+            keys = matching._needed(text, least, counts, 10**9) or ()
+            close = [h for r, h in zip(right, held) if keys and score_canonical(text, r) >= least]
+            assert all(any(h.get(k, 0) >= least for k in keys) for h in close)

@@ -4,22 +4,24 @@ The score of two texts is ``functions.scoring.token_set_ratio``; the best right
 earlier one on a tie. The result is exact, without caps:
 
 * copies collapse first: both sides keep one row per canonical text;
-* both sides are dealt to a grid of blocks of bounded size, so every pair of texts meets once, in one
-  task, and only the best right text of each left one leaves a block, never the pairs;
-* in a block, one matrix product of letter indicators bounds the score of all pairs at once. It costs
-  some ten nanoseconds a pair and leaves few of them;
-* these are bounded again by their longest common subsequence, for many pairs at once: a bit row of one
-  text in a machine word, one letter of the other text a step;
+* few texts are dealt to a grid of blocks of bounded size, so every pair meets once, in one task, and only the
+  best right text of each left one leaves a block, never the pairs;
+* of many texts, a left one first meets the right ones that share its rarest pieces of words. The best score found
+  is one that its match has to reach, and so allows only so many edits. Each edit spoils one of several pieces that
+  do not overlap, so one piece more than that, of the rarest, is in every right text that can still win. A right text
+  that scores by being a part of the left one has one of its rarest words in it. Both are joins by pieces and words;
+* left texts whose pieces are too common, too few, or without a good match go through the grid against all;
+* pairs that meet are bounded by their common letters, then by their longest common subsequence, for many pairs at
+  once: a bit row of one text in a machine word, one letter of the other text a step;
 * what still can win is aligned, best bound first, until no bound can win any more.
-
-A signature that every pair above a score must share, such as a rare letter or a long word, would leave
-out few pairs at the scores that names need: a pair of score 76 may differ in 40% of its letters.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import ceil
+from functools import cached_property
+from math import ceil, floor, isqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tracehouse.functions.columns import free_name, named
 from tracehouse.functions.scoring import canonical_tokens, combined, ratio
+from tracehouse.sources.staging import staged
 
 MIN_SCORE = 76
 BLOCK = 2_000  # texts of each side compared by one task at a time
@@ -37,6 +40,12 @@ _LETTERS = 64  # bins of letters: letters that share one only loosen a bound
 _SEEN = 12  # occurrences of a letter that are told apart
 _WORD = 64  # letters of a text that fit a machine word
 _PAIRS = 100_000  # pairs whose subsequences are computed together
+_GRID_TASKS = 64  # tasks that a grid is dealt to before its blocks grow
+_PIECES = (8, 6, 5, 4, 3)  # letters of a piece
+_BINS = 1 << 21  # bins in which pieces are counted: those that share one only look more common
+_SEEDS, _SEED_PAIRS = 6, 64  # pieces that look for a first match, and right texts that they may meet
+_TRIED = 4  # right texts with most of these pieces that are aligned first
+_TEXTS = 10_000  # texts of a task at most, on average
 
 
 def _binned(codes: Sequence[np.ndarray], bins: int) -> np.ndarray:
@@ -54,16 +63,19 @@ class _Texts:
         self.texts = texts
         self.lengths = np.array([len(t) for t in texts], np.int64)
         codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64) for t in texts]
-        letters = _binned(codes, _LETTERS)
-        # column (letter, k) is set if the text has the letter more than k times
-        self.seen = (letters[:, :, None] > np.arange(_SEEN)).reshape(len(texts), -1).astype(np.float32)
-        self.beyond = np.maximum(letters - _SEEN, 0).sum(axis=1)
+        self.letters = _binned(codes, _LETTERS).astype(np.int32)
+
+    @cached_property
+    def seen(self) -> np.ndarray:
+        """Column (letter, k) is set if the text has the letter more than k times."""
+        return (self.letters[:, :, None] > np.arange(_SEEN)).reshape(len(self.texts), -1).astype(np.float32)
 
     def common_letters(self, other: _Texts) -> np.ndarray:
         """No pair of texts has more letters in common than this."""
         used = np.flatnonzero(self.seen.any(axis=0) & other.seen.any(axis=0))
         told = self.seen[:, used] @ other.seen[:, used].T
-        return told.astype(np.int64) + np.minimum(self.beyond[:, None], other.beyond[None, :])
+        beyond = (np.maximum(t.letters - _SEEN, 0).sum(axis=1) for t in (self, other))
+        return told.astype(np.int64) + np.minimum.outer(*beyond)
 
 
 def _score(matching, total):
@@ -179,29 +191,257 @@ def _best_in_block(left: list[str], right: list[tuple], least: int) -> list[tupl
             best[i], at[i] = scores[k], some[k]
         sharing.append(i * len(texts) + some)
 
-    def can_win(bound: np.ndarray) -> np.ndarray:
-        """A bound has to beat the best score, or to equal it at an earlier place."""
-        return (bound > best[i]) | ((bound == best[i]) & (j < at[i]))
-
     bounds = _score(one.common_letters(two), one.lengths[:, None] + two.lengths[None, :])
     i, j = np.nonzero(bounds >= np.maximum(best, 1)[:, None])
-    open_ = can_win(bounds[i, j])
+    open_ = _can_win(bounds[i, j], i, j, best, at)
     del bounds
     i, j = i[open_], j[open_]
     share = np.isin(i * len(texts) + j, np.concatenate(sharing))
-    lefts, rights, own_i, own_j, begin = _own_parts(left, texts, i, j, share)
+    _align(one, two, i, j, share, best, at)
+    return [(left[k], int(best[k]), places[at[k]], names[at[k]]) for k in np.flatnonzero(at >= 0).tolist()]
+
+
+def _can_win(bound: np.ndarray, i: np.ndarray, j: np.ndarray, best: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A bound has to beat the best score, or to equal it at an earlier place."""
+    return (bound > best[i]) | ((bound == best[i]) & (j < at[i]))
+
+
+def _align(one: _Texts, two: _Texts, i: np.ndarray, j: np.ndarray, share: np.ndarray, best: np.ndarray, at: np.ndarray):
+    """Take the pairs (i, j) into the ``best`` scores and the places ``at`` which they are; ``share``: with shared tokens."""
+    lefts, rights, own_i, own_j, begin = _own_parts(one.texts, two.texts, i, j, share)
     bound = _score(begin + _subsequences(lefts, rights, own_i, own_j), one.lengths[i] + two.lengths[j])
-    open_ = can_win(bound)
+    open_ = _can_win(bound, i, j, best, at)
     i, j, bound = i[open_], j[open_], bound[open_]
     for k in np.lexsort((j, -bound, i)).tolist():
         text, place = int(i[k]), int(j[k])
         if bound[k] < best[text] or (bound[k] == best[text] and place > at[text]):
             continue
-        _, a, b = combined(left[text], texts[place])
+        _, a, b = combined(one.texts[text], two.texts[place])
         score = ratio(a, b)
         if score > best[text] or (score == best[text] and place < at[text]):
             best[text], at[text] = score, place
-    return [(left[k], int(best[k]), places[at[k]], names[at[k]]) for k in np.flatnonzero(at >= 0).tolist()]
+
+
+def _best_of_pairs(pairs: list[tuple]) -> list[tuple]:
+    """Best right text of each left text among the pairs (canon, floor, position, right canon, match).
+
+    As ``_best_in_block``; left texts whose best score is below their ``floor`` are left out.
+    """
+    floors = {canon: least for canon, least, *_ in pairs}
+    numbers = {canon: k for k, canon in enumerate(floors)}
+    right = sorted({tuple(r) for _, _, *r in pairs})
+    held = {r: k for k, r in enumerate(right)}
+    left = list(floors)
+    one, two = _Texts(left), _Texts([r[1] for r in right])
+    best, at = np.array(list(floors.values()), np.int64) - 1, np.full(len(left), -1)
+    met = np.unique(np.array([(numbers[canon], held[tuple(r)]) for canon, _, *r in pairs], np.int64), axis=0)
+    i, j = met[:, 0], met[:, 1]
+    words = [set(text.split()) for text in left], [set(text.split()) for text in two.texts]
+    size = np.array([sum(map(len, s)) + len(s) for s in (words[0][a] & words[1][b] for a, b in met.tolist())], np.int64)
+    share = size > 0
+    scores = np.zeros(len(i), np.int64)
+    scores[share] = _score(size[share] - 1, size[share] - 1 + np.minimum(one.lengths[i], two.lengths[j])[share])
+    for k in np.lexsort((j, -scores, i)).tolist():
+        if scores[k] > best[i[k]]:
+            best[i[k]], at[i[k]] = scores[k], j[k]
+    common = np.minimum(one.letters[i], two.letters[j]).sum(axis=1, dtype=np.int64)
+    open_ = _can_win(_score(common, one.lengths[i] + two.lengths[j]), i, j, best, at)
+    _align(one, two, i[open_], j[open_], share[open_], best, at)
+    return [(left[k], int(best[k]), right[at[k]][0], right[at[k]][2]) for k in np.flatnonzero(at >= 0).tolist()]
+
+
+def _pieces(text: str) -> list[tuple[int, int, int]]:
+    """(key, letters, place) of all pieces of a text's words."""
+    found = []
+    for size in _PIECES:
+        for start in range(len(text) - size + 1):
+            piece = text[start : start + size]
+            if " " not in piece:
+                found.append((crc32(piece.encode()), size, start))
+    return found
+
+
+def _word_key(word: str) -> int:
+    """A word as a whole; keys that meet another's by chance only give pairs that cannot win."""
+    return crc32(f" {word}".encode())
+
+
+def _rarest(pieces: list[tuple[int, int, int, int]], need: int) -> list[tuple[int, int]]:
+    """(count, key) of up to ``need`` pieces (count, letters, place, key) that do not overlap, rare ones first."""
+    used, chosen = 0, []
+    for count, size, start, key in pieces:
+        mask = ((1 << size) - 1) << start
+        if not used & mask:
+            used |= mask
+            chosen.append((count, key))
+            if len(chosen) == need:
+                break
+    return chosen
+
+
+def _counted(text: str, counts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    return sorted((int(counts[key % _BINS]), size, start, key) for key, size, start in _pieces(text))
+
+
+def _seeds(text: str, counts: np.ndarray) -> list[int]:
+    """Keys of rare pieces, by which a text looks for a first match."""
+    keys, met = [], 0
+    for count, key in _rarest([p for p in _counted(text, counts) if p[0]], _SEEDS):
+        met += count
+        if keys and met > _SEED_PAIRS:
+            break
+        keys.append(key)
+    return keys
+
+
+def _needed(text: str, least: int, counts: np.ndarray, most: int) -> list[int] | None:
+    """Keys of which every right text of a score of ``least`` or more holds one; None if more than ``most`` texts may.
+
+    Such a right text has at most ``edits`` letters more and less in all, if the text is not longer by words it lacks.
+    """
+    rate = (least - 0.5) / 100
+    edits = floor(2 * len(text) * (1 - rate) / rate + 1e-9)
+    if edits * min(_PIECES) >= len(text):
+        return None
+    pieces, found = _counted(text, counts), []
+    for longest in _PIECES:
+        chosen = _rarest([p for p in pieces if p[1] <= longest], edits + 1)
+        if len(chosen) > edits:
+            found.append((sum(count for count, _ in chosen), [key for _, key in chosen]))
+    if not found:
+        return None
+    met, keys = min(found)
+    words = [_word_key(word) for word in text.split()]
+    met += sum(int(counts[key % _BINS]) for key in words)
+    return [*keys, *words] if met <= most else None
+
+
+def _postings(text: str, counts: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(key, upto) by which a right text is found for scores up to ``upto``: its pieces and its rarest words.
+
+    A text that scores by words that all are in the left text lacks few others: its rarest words of that length are not
+    all among them.
+    """
+    found = {key: 100 for key, _, _ in _pieces(text)}
+    size, without = len(text), 0
+    words = sorted((int(counts[key % _BINS]), -len(w), key) for w in text.split() for key in [_word_key(w)])
+    for _, letters, key in words:
+        upto = floor(100 * (2 * size - 2 * without) / (2 * size - without) + 0.5 + 1e-9) if without < size else 0
+        if upto < least:
+            break
+        found[key] = max(found.get(key, 0), min(upto, 100))
+        without += 1 - letters
+    return list(found.items())
+
+
+def _bin_counts(keys: DataFrame) -> np.ndarray:
+    """How many rows have a ``key`` in each of the bins."""
+    table = keys.groupBy((F.col("key") % _BINS).cast("int").alias("bin")).count().toArrow()
+    counts = np.zeros(_BINS, np.int32)
+    counts[table.column("bin").to_numpy()] = table.column("count").to_numpy()
+    return counts
+
+
+def _per_text(df: DataFrame, rows, schema: str) -> DataFrame:
+    """Rows that ``rows`` makes of each row of plain values, in batches."""
+    kinds = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def run(batches):
+        for batch in batches:
+            found = [r for row in zip(*[c.to_pylist() for c in batch.columns]) for r in rows(*row)]
+            columns = zip(*found) if found else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(list(v), k.type) for v, k in zip(columns, kinds)], schema=kinds)
+
+    return df.mapInArrow(run, schema)
+
+
+def _by_pieces(
+    left_texts: DataFrame, right_texts: DataFrame, schema: str, min_score: int, most: int, sizes: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
+    """(best matches of left texts found by their rare pieces, left texts for which these do not suffice)."""
+    spark = left_texts.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(sum(sizes) / _TEXTS))
+    # small rows cost much work each, so their number decides on the tasks, not their size
+    numbered = staged(right_texts.repartition(tasks).withColumn("number", F.monotonically_increasing_id()), "right")
+    lefts = staged(left_texts.repartition(tasks).withColumn("own", F.monotonically_increasing_id()), "left")
+    words = numbered.select(F.explode(F.split("canon", " ")).alias("word"))
+    word_counts = _bin_counts(words.select(F.crc32(F.concat(F.lit(" "), "word").cast("binary")).alias("key")))
+    found_by = _per_text(
+        numbered.select("canon", "number").repartition(tasks),
+        lambda canon, number: [(key, upto, number) for key, upto in _postings(canon, word_counts, min_score)],
+        "key long, upto int, number long",
+    )
+    postings = staged(found_by, "postings")
+    counts = _bin_counts(postings)
+    kinds = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def best(met: DataFrame) -> DataFrame:
+        """Best of the pairs (canon, floor, number)."""
+        texts = numbered.select("number", "position", F.col("canon").alias("other"), "match")
+        pairs = met.repartition(tasks, "number").join(texts, "number").select("canon", "floor", "position", "other", "match")
+
+        def run(batches):
+            for batch in batches:
+                rows = _best_of_pairs(list(zip(*[c.to_pylist() for c in batch.columns]))) if batch.num_rows else []
+                columns = zip(*rows) if rows else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(list(v), k.type) for v, k in zip(columns, kinds)], schema=kinds)
+
+        return pairs.mapInArrow(run, schema)
+
+    def seeds(canon, own):
+        return [(key, own) for key in _seeds(canon, counts)]
+
+    sharing = _per_text(lefts.select("canon", "own").repartition(tasks), seeds, "key long, own long").join(postings, "key")
+    ranked = sharing.groupBy("own", "number").count().groupBy("own").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("rank"), "number"))), 1, _TRIED).alias("tried")
+    )
+    tried = ranked.select("own", F.explode("tried.number").alias("number")).join(lefts, "own")
+    first = best(tried.select("canon", F.lit(min_score).alias("floor"), "number"))
+    floors = first.groupBy("canon").agg(F.max("score").alias("score"))
+    known = lefts.join(floors, "canon", "left").select("canon", F.coalesce("score", F.lit(min_score)).alias("floor"))
+
+    def probes(canon, least):
+        keys = _needed(canon, least, counts, most)
+        return [(None, canon, least)] if keys is None else [(key, canon, least) for key in keys]
+
+    schema_of_probes = "key long, canon string, floor int"
+    probed = staged(_per_text(known.repartition(tasks, "canon"), probes, schema_of_probes), "probes")
+    met = probed.where("key IS NOT NULL").join(postings, "key").where("floor <= upto")
+    return best(met.select("canon", "floor", "number")), probed.where("key IS NULL").select("canon")
+
+
+def _by_blocks(
+    left_texts: DataFrame, right_texts: DataFrame, schema: str, min_score: int, block: int, sizes: tuple[int, int]
+) -> DataFrame:
+    """Best matches of the left texts among all right ones, through a grid of blocks.
+
+    The more texts, the larger the blocks, up to ten times ``block``, as each copies its texts once for a row or column
+    of the grid; a task goes through one in parts of ``block``.
+    """
+    side = min(10 * block, max(block, isqrt(sizes[0] * sizes[1] // _GRID_TASKS)))
+    l_blocks, r_blocks = (max(1, ceil(n / side)) for n in sizes)
+
+    def dealt(texts: DataFrame, own: str, blocks: int, other: str, copies: int):
+        mine = F.pmod(F.xxhash64("canon"), F.lit(blocks)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+        return texts.withColumn(own, mine).withColumn(other, every).groupBy("l_block", "r_block")
+
+    kinds = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def best_of_block(one: pa.Table, two: pa.Table) -> pa.Table:
+        candidates = list(zip(*[two.column(c).to_pylist() for c in ("position", "canon", "match")], strict=True))
+        texts, rows = one.column("canon").to_pylist(), []
+        for a in range(0, len(texts), block):
+            for b in range(0, len(candidates), block):
+                rows += _best_in_block(texts[a : a + block], candidates[b : b + block], min_score)
+        columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+        return pa.table([pa.array(list(v), k.type) for v, k in zip(columns, kinds, strict=True)], schema=kinds)
+
+    return (
+        dealt(left_texts, "l_block", l_blocks, "r_block", r_blocks)
+        .cogroup(dealt(right_texts, "r_block", r_blocks, "l_block", l_blocks))
+        .applyInArrow(best_of_block, schema)
+    )
 
 
 def best_match(
@@ -213,7 +453,8 @@ def best_match(
     ``right_order`` decides ties. Left rows whose best score is below ``min_score`` keep a null
     match, or with ``fallback`` the first right text and score 0. Together with a ``min_score`` of 1
     that gives every left row its best match, at the price of aligning nearly all pairs. Rows with equal
-    texts are compared once. The distinct texts of both sides are counted while the query is built.
+    texts are compared once. The distinct texts of both sides are counted, and pieces of many written, while the query is
+    built.
     """
     canon = free_name([*left.columns, "position", "match", "score"], "canon")
     keyed = left.withColumn(canon, canonical_tokens(F.coalesce(named(left_text), F.lit(""))))
@@ -225,30 +466,16 @@ def best_match(
         .where("canon != ''")
         .select("canon", "first.position", "first.match")
     )
-    l_blocks, r_blocks = (max(1, ceil(side.count() / block)) for side in (left_texts, right_texts))
-
-    def dealt(texts: DataFrame, own: str, blocks: int, other: str, copies: int):
-        mine = F.pmod(F.xxhash64("canon"), F.lit(blocks)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-        return texts.withColumn(own, mine).withColumn(other, every).groupBy("l_block", "r_block")
-
+    sizes = left_texts.count(), right_texts.count()
     position = right_texts.schema["position"].dataType.simpleString()
     schema = f"canon string, score int, position {position}, match string"
-    kinds = to_arrow_schema(T._parse_datatype_string(schema))
-
-    def best_of_block(one: pa.Table, two: pa.Table) -> pa.Table:
-        rows = []
-        if one.num_rows and two.num_rows:
-            candidates = list(zip(*[two.column(c).to_pylist() for c in ("position", "canon", "match")], strict=True))
-            rows = _best_in_block(one.column("canon").to_pylist(), candidates, min_score)
-        columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-        return pa.table([pa.array(list(v), k.type) for v, k in zip(columns, kinds, strict=True)], schema=kinds)
-
-    found = (
-        dealt(left_texts, "l_block", l_blocks, "r_block", r_blocks)
-        .cogroup(dealt(right_texts, "r_block", r_blocks, "l_block", l_blocks))
-        .applyInArrow(best_of_block, schema)
-    )
+    if sizes[0] * sizes[1] <= block**2:
+        found = _by_blocks(left_texts, right_texts, schema, min_score, block, sizes)
+    else:
+        some, rest = _by_pieces(left_texts, right_texts, schema, min_score, max(block, sizes[1] // 64), sizes)
+        found, remaining = some, rest.count()
+        if remaining:
+            found = found.unionByName(_by_blocks(rest, right_texts, schema, min_score, block, (remaining, sizes[1])))
     won = free_name([*left.columns, canon, "match", "score"], "won")
     best = found.groupBy(F.col("canon").alias(canon)).agg(
         F.min(F.struct((-F.col("score")).alias("rank"), "position", "match")).alias(won)
