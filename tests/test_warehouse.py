@@ -263,3 +263,22 @@ def test_comments_reach_the_catalog(spark, warehouse):
     comments = {c.name: c.description for c in spark.catalog.listColumns(name)}
     assert "id and mins" in comments["nm_count"]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_runs_land_in_groups(spark, tmp_path):
+    """Many runs share few folders; a run is found, refused and replaced there as in a folder of its own."""
+    path = str(tmp_path / "runs")
+    rows = spark.createDataFrame([(str(k), f"g{k}", m / 2, float(k)) for k in range(200) for m in range(3)] + [(None, "g", 0.0, 9.0), ("00", "h", 0.0, 8.0)], "runid string, id string, mins double, `256` double")
+    sinks.write_runs(rows, path, groups=4)
+    assert len(list((tmp_path / "runs").glob("run_group=*"))) <= 5
+    for wavelengths in (None, ["256"]):
+        found = read_landed_images(spark, path, wavelengths, groups=4)
+        assert found.columns == rows.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, rows.collect()))
+    newer = spark.createDataFrame([("7", "new", 0.0, 1.0), ("new run", "n", 0.0, 2.0)], rows.schema)
+    with pytest.raises(QualityError, match="exist already"):
+        sinks.write_runs(newer, path, groups=4)
+    sinks.write_runs(newer, path, overwrite=True, groups=4)
+    want = rows.where("runid IS NULL OR runid != '7'").union(newer)
+    found = read_landed_images(spark, path, ["256"], groups=4)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))

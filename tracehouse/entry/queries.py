@@ -31,6 +31,7 @@ END_CUTOFF = 40_000.0  # minutes
 DIMENSIONS = 64  # of the embeddings
 DIGITS = 6
 SERVED_ROWS = 10
+SERVED_GROUPS = 64  # folders of landed runs
 SERVED_RUNS = ["3", "7", "12", "13", "14", "100", "99999"]
 
 
@@ -868,8 +869,8 @@ def _served(spark: SparkSession, sf_dir: str) -> Warehouse:
     events = _image(spark, sf_dir).withColumns(
         {"runid": F.col("runid").cast("string"), "id": F.concat(F.lit("guid-"), F.col("runid").cast("string"))}
     )
-    sinks.write_runs(events.select("runid", "id", "mins", "256", "300"), f"{out}/lib")
-    warehouse = Warehouse(spark, out, f"{out}/lib", landed=True)
+    sinks.write_runs(events.select("runid", "id", "mins", "256", "300"), f"{out}/lib", groups=SERVED_GROUPS)
+    warehouse = Warehouse(spark, out, f"{out}/lib", landed=True, groups=SERVED_GROUPS)
     customers = _table(spark, sf_dir, "customer").withColumn("runid", F.col("c_custkey").cast("string"))
     nations = _table(spark, sf_dir, "nation").join(
         _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -895,7 +896,7 @@ def _served(spark: SparkSession, sf_dir: str) -> Warehouse:
             F.col("r_name").alias("region"), *product,
         ),
         "excluded": customers.where("c_mktsegment = 'MACHINERY'").select("runid", F.lit("segment").alias("reason")),
-        "image_stats": traces.image_stats(sources.read_landed_images(spark, f"{out}/lib"), "runid").withColumn(
+        "image_stats": traces.image_stats(sources.read_landed_images(spark, f"{out}/lib", groups=SERVED_GROUPS), "runid").withColumn(
             "path", F.concat(F.lit(f"{out}/lib/runid="), "runid")
         ),
     }
@@ -923,7 +924,7 @@ def filter_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _served(spark, sf_dir)
     stem = f"t{uuid4().hex}"
     warehouse.view("sample_metadata").createOrReplaceTempView(f"{stem}_metadata")
-    long = traces.wide_to_long(sources.read_landed_images(spark, warehouse.lib_dir).drop("runid"), ["id", "mins"])
+    long = traces.wide_to_long(sources.read_landed_images(spark, warehouse.lib_dir, groups=SERVED_GROUPS).drop("runid"), ["id", "mins"])
     long.createOrReplaceTempView(f"{stem}_signal")
     wanted = filters.infer_operators({"wavelength": (256, 299), "mins": [100, 20_000], "region": ["ASIA", "EUROPE"], "detection": "raw"})
     return filters.query_tables(spark, wanted, metadata_table=f"{stem}_metadata", signal_table=f"{stem}_signal")

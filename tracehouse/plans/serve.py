@@ -23,13 +23,13 @@ def fetch_images(
 
     For listed runs only their files are opened. Otherwise the library is scanned once and joined
     to the paths. Landed images have no path: the run's key is a partition column, and the join with
-    the included runs prunes their folders while the query runs.
+    the included runs prunes their folders while the query runs. Runs in groups have theirs in the files, in order.
     """
     if warehouse.landed:
         included = warehouse.view("inc_chm").select("runid")
         if runids:
             included = included.where(F.col("runid").isin(list(runids)))
-        images = read_landed_images(warehouse.spark, warehouse.lib_dir, wavelengths)
+        images = read_landed_images(warehouse.spark, warehouse.lib_dir, wavelengths, groups=warehouse.groups)
         return images.join(included, "runid", "left_semi")
     paths = warehouse.view("run_data_paths")
     if runids:

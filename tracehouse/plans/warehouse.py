@@ -20,13 +20,15 @@ VIEWS = ("gradients", "counts_per_gradient", "inc_chm", "inc_img_stats", "run_da
 class Warehouse:
     """Tables under ``out``, and the library folder whose images they describe.
 
-    ``landed``: the images lie there as ``write_runs`` lands them, in a folder for each run key.
+    ``landed``: the images lie there as ``write_runs`` lands them, in a folder for each run key, or in
+    ``groups`` folders.
     """
 
     spark: SparkSession
     out: str
     lib_dir: str
     landed: bool = False
+    groups: int | None = None
 
     def table(self, name: str) -> DataFrame:
         schema = TABLES[name].schema if name in TABLES else None

@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from tracehouse.operators.quality import QualityError
 from tracehouse.operators.reshape import column_sketches
 from tracehouse.schemas import Table
+from tracehouse.sources.staging import staged
 
 CUBE_BUCKETS = 256
 SKETCHES = "_sketches"
+RUN_GROUP = "run_group"  # folder of the runs that share one
 
 
 def write_table(
@@ -63,11 +65,11 @@ def save_to_catalog(spark: SparkSession, table: Table, out: str, database: str =
     return name
 
 
-def _existing_runs(df: DataFrame, path: str, key: str) -> DataFrame | None:
+def _existing_runs(df: DataFrame, path: str, key: str, groups: int | None) -> DataFrame | None:
     """Keys of the landed runs, as text: an inferred type would turn '00' into 0."""
-    schema = T.StructType([T.StructField(key, T.StringType())])
+    schema = T.StructType([T.StructField(key, T.StringType())] + ([T.StructField(RUN_GROUP, T.IntegerType())] if groups else []))
     try:
-        return df.sparkSession.read.schema(schema).parquet(path).distinct()
+        return df.sparkSession.read.schema(schema).parquet(path).select(key).distinct()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -75,29 +77,52 @@ def _existing_runs(df: DataFrame, path: str, key: str) -> DataFrame | None:
 
 
 def write_runs(
-    df: DataFrame, path: str, key: str = "runid", overwrite: bool = False, order: str = "mins"
+    df: DataFrame, path: str, key: str = "runid", overwrite: bool = False, order: str = "mins", groups: int | None = None
 ) -> None:
     """Land runs, one folder per run in time order, replacing only the runs that are written.
 
     A run that is there already is an error unless ``overwrite``. Rows are rebalanced by run, and
-    AQE splits a run that is too large for one task.
+    AQE splits a run that is too large for one task. With ``groups``, runs share that many folders, told by their key's
+    hash: for so many runs that their folders would cost more than their rows. A folder's runs lie one behind the other,
+    so readers skip others by their statistics; a run is replaced by writing its group again. All landings of a path
+    take the same ``groups``.
     """
-    present = _existing_runs(df, path, key)
+    present = _existing_runs(df, path, key, groups)
     if present is not None and not overwrite:
         incoming = df.select(F.col(key).cast("string").alias(key)).distinct()
         clash = incoming.join(present, key, "left_semi").limit(3).collect()
         if clash:
             raise QualityError(f"runs exist already, e.g. {[row[0] for row in clash]}; use overwrite")
+    folder = key
+    if groups:
+        folder = RUN_GROUP
+        df = df.withColumn(key, F.nullif(F.col(key).cast("string"), F.lit(""))).withColumn(folder, run_group(F.col(key), groups))
+        if present is not None:
+            df = _with_neighbours(df, path, key)
     (
-        df.hint("rebalance", key)
-        .sortWithinPartitions(key, order)
+        df.hint("rebalance", folder)
+        .sortWithinPartitions(*dict.fromkeys([folder, key, order]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
+        .partitionBy(folder)
         .parquet(path)
     )
 
 
+def run_group(key: Column, groups: int) -> Column:
+    """Folder of a run among ``groups``; null for none."""
+    return F.when(key.isNotNull(), F.pmod(F.xxhash64(key.cast("string")), F.lit(groups)).cast("int"))
+
+
+def _with_neighbours(df: DataFrame, path: str, key: str) -> DataFrame:
+    """``df`` with the other landed runs of its groups, as they have to be written again with it."""
+    incoming = staged(df, "runs")
+    landed = df.sparkSession.read.option("mergeSchema", "true").parquet(path)
+    kept = landed.join(incoming.select(RUN_GROUP).distinct(), RUN_GROUP, "left_semi")
+    kept = kept.join(incoming.select(key).distinct(), key, "left_anti")
+    return staged(incoming.unionByName(kept, allowMissingColumns=True), "runs")
+
+
 def _bucket(key: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(key), buckets).cast("int")
 

@@ -87,9 +87,10 @@ def read_images(
 
 
 def read_landed_images(
-    spark: SparkSession, path: str, wavelengths: Sequence[str] | None = None, key: str = "runid"
+    spark: SparkSession, path: str, wavelengths: Sequence[str] | None = None, key: str = "runid",
+    groups: int | None = None,
 ) -> DataFrame:
-    """Wide images as ``write_runs`` lands them, the run's key in front, as text.
+    """Wide images as ``write_runs`` lands them, the run's key in front, as text. ``groups``: those they were landed with.
 
     The key is a partition column: a filter of runs, or a join with a filtered table of runs, leaves the folders of all
     other runs unread. Without ``wavelengths`` the columns of all files are merged.
@@ -103,7 +104,10 @@ def read_landed_images(
             signals = [T.StructField(w, T.DoubleType()) for w in wavelengths]
             kinds = T._parse_datatype_string(f"{key} string, id string, mins double")
             kinds = T.StructType([*kinds.fields, *signals])
+        if groups and "run_group" not in kinds.names:
+            kinds = T.StructType([*kinds.fields, T.StructField("run_group", T.IntegerType())])
         images = spark.read.schema(kinds).parquet(path)
+        images = images.drop("run_group") if groups else images
     except AnalysisException as error:
         raise QualityError(f"no landed images at {path}") from error
     return images.select(key, *[named(c) for c in images.columns if c != key])
