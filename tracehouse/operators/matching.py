@@ -424,7 +424,9 @@ def _by_blocks(
     def dealt(texts: DataFrame, own: str, blocks: int, other: str, copies: int):
         mine = F.pmod(F.xxhash64("canon"), F.lit(blocks)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-        return texts.withColumn(own, mine).withColumn(other, every).groupBy("l_block", "r_block")
+        copied = texts.withColumn(own, mine).withColumn(other, every)
+        # told by their number, as blocks of few bytes are much work: their shuffle would be coalesced by size
+        return copied.repartition(min(l_blocks * r_blocks, 1_000), "l_block", "r_block").groupBy("l_block", "r_block")
 
     kinds = to_arrow_schema(T._parse_datatype_string(schema))
 
