@@ -1,10 +1,14 @@
+import random
+import re
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.library import STANDARD, identity_xml, method_xml
 from tracehouse.operators import filters, quality
 from tracehouse.plans import reconcile
-from tracehouse.sources import tables, xml
+from tracehouse.sources import plain_xml, tables, xml
 
 
 @pytest.fixture(scope="module")
@@ -200,6 +204,91 @@ def test_broken_methods_name_their_run(spark, document, message):
         _pump(spark, document)[1].collect()
 
 
+def _from_xml(documents):
+    """Both tables as ``from_xml`` reads them from each document; null if it is broken or has no pump."""
+    parsed = F.from_xml("xml", f"{xml.METHOD_SCHEMA}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    read = documents.withColumn("p", parsed)
+    sections = F.col("p.Doc.Content.MethodConfiguration.MethodDescription.Section.Section")
+    pump = F.get(F.filter(sections, lambda s: s["Name"] == xml.PUMP_SECTION), F.lit(0))
+    read = read.select("xml", F.when(F.col("p._corrupt_record").isNull(), pump["Table"]).alias("t"))
+    return read.select("xml", *[F.get("t", F.lit(i))["Row"].alias(t) for i, t in enumerate(xml.PUMP_TABLES)])
+
+
+def _odd_methods():
+    """Documents at and beyond the bounds of what is plain, and random damage to them."""
+    good = method_xml(STANDARD[:2]).decode("utf-8-sig")
+    pretty = good.replace("><", ">\n  <").replace("<Value>\n  </Value>", "<Value></Value>")
+    swaps = [
+        ("<Value>Yes</Value>", v) for v in (
+            "<Value> Yes</Value>", "<Value>Yes\n</Value>", "<Value> Yes </Value>", "<Value>a &amp; b</Value>",
+            "<Value><![CDATA[Yes]]></Value>", "<Value>Y<!-- c -->es</Value>", "<Value/>", "<Value />", "<Value></Value>", "",
+            "<Value>µ °C</Value>", "<Value>a > b</Value>", "<Value>a ]]> b</Value>", "<Value u='1'>Yes</Value>", "<Value> </Value>",
+            "<Value><b>Yes</b></Value>", "<value>Yes</value>", "<Value>Yes</Value><Value>No</Value>", "<x:Value>Yes</x:Value>",
+            "<Value>Yes</Valu>", "<Value>Yes", "Yes</Value>", "<Value>Yes</Value >", "<Value>a\r\nb</Value>", "<Value>\x01</Value>",
+            "<Value>￿</Value>", "<Value>&lt;Row&gt;</Value>", "<Value>&no;</Value>", "text<Value>Yes</Value>", "<?pi x?><Value>Yes</Value>",
+        )
+    ] + [
+        ("<Name>Binary Pump</Name>", n) for n in (
+            "", "<Name> Binary Pump </Name>", "<Name>Binary Pump</Name><Name>Other</Name>", "<Name>Other</Name><Name>Binary Pump</Name>",
+            "<Name>binary pump</Name>", "<Name/>", "<Name>Binary Pump</Name><Table/>", "<Name>Binary Pump</Name><Table></Table>",
+            "<Name>Binary Pump</Name><X><Table><Row><Parameter><Name>Time</Name><Value>9</Value></Parameter></Row></Table></X>",
+        )
+    ] + [
+        ("<Doc>", "<Doc><Doc></Doc>"), ("<Doc>", "<Doc x='a>b'>"), ("<Doc>", "<Doc x='1' x='2'>"), ("<Doc>", "<doc>"),
+        ("<Doc>", "<Doc><Content/>"), ("<Content>", "<Content><![CDATA[</Content>]]>"), ("</ACAML>", "</ACAML>  \n"),
+        ("</ACAML>", "</ACAML><a/>"), ("</ACAML>", "</ACAML>junk"), ("</ACAML>", ""), ("<?xml", " <?xml"), ("<?xml", "<!DOCTYPE a><?xml"),
+        ('encoding="utf-8"', 'encoding="UTF-16"'), ('version="1.0"', 'version="1.1"'), ("<Row>", "<Row/><Row>"), ("<Row>", "<Row></Row><Row>"),
+        ("<Row>", "<Row>text"), ("</Row>", "</Row><Row><X/></Row>"), ("<Parameter>", "<Parameter/><Parameter>"), ("<Parameter>", "<Parameter a=''>"),
+        ("<Row>", "<ROW>"), ("<Table>", "<Table><Name>again</Name>"), ("<Table>", "<T>"), ("</Section>", "</Section><Section/>"),
+        ("<Section><Name>Sampler", "<Section><Name>Binary Pump"), ("<Section><Name>Sampler", "<Section>a<Name>Sampler"),
+    ]
+    found = [good, pretty, "", "<", "<a>", "<a/>", "text", good + good, good[:-9], good[5:], "﻿" + good]
+    for base in (good, pretty):
+        found += [base.replace(old, new) for old, new in swaps] + [base.replace(old, new, 1) for old, new in swaps]
+    draw = random.Random(5)
+    pieces = re.findall(r"<[^>]*>|[^<]+", good)
+    for _ in range(600):
+        edited = list(pieces)
+        for _ in range(draw.randint(1, 3)):
+            at, other = draw.randrange(len(edited)), draw.choice(pieces)
+            edited[at] = draw.choice(["", other, edited[at] + other, edited[at][:-1], edited[at].swapcase(), edited[at].replace("/", "")])
+        found.append("".join(edited))
+    return list(dict.fromkeys(found))
+
+
+def test_plain_methods_are_read_as_from_xml_reads_them(spark):
+    documents = _odd_methods()
+    # read together, so that damage of one document could reach its neighbours
+    stretches = list(plain_xml.plain_tables(pa.array([*documents, None]), xml.PUMP_SECTION, (0, 1)))
+    plain = [p for _, _, found, _ in stretches for p in found.tolist()]
+    tables = [[rows for *_, found in stretches for rows in found[i].to_pylist()] for i in (0, 1)]
+    expected = {r["xml"]: r for r in _from_xml(spark.createDataFrame([(d,) for d in documents], "xml string")).collect()}
+    for number, document in enumerate(documents):
+        for name, table in zip(xml.PUMP_TABLES, tables):
+            rows = table[number]
+            assert (rows is not None) == plain[number]
+            if plain[number]:
+                theirs = [r.asDict(recursive=True) for r in expected[document][name]]
+                for row in (*rows, *theirs):
+                    for cell in row["Parameter"]:
+                        cell["Value"] = cell["Value"] or ""
+                assert rows == theirs, document
+    assert plain[0] and plain[1] and not plain[-1] and 50 < sum(plain) < len(documents) - 300
+
+
+def test_plain_methods_leave_no_text_to_from_xml(spark):
+    good, noted = method_xml(STANDARD).decode("utf-8-sig"), method_xml(STANDARD[:1]).decode("utf-8-sig") + "<!-- end -->"
+    df = spark.createDataFrame([("a", good), ("b", noted), ("c", good)], "id string, xml string")
+    read = {r["id"]: r for r in xml._read_plain(df, ["id"], ["timetable"]).collect()}
+    assert [(i, read[i]["__plain"], read[i]["__left"] is None) for i in "abc"] == [("a", True, True), ("b", False, False), ("c", True, True)]
+    # both kinds in one table, with an own key for errors
+    steps = xml.timetable_rows(xml.parse_methods(df.withColumn("place", F.upper("id")), where="place"))
+    assert {r["id"]: r["count"] for r in steps.groupBy("id").count().collect()} == {"a": 4, "b": 1, "c": 4}
+    torn = df.withColumn("place", F.upper("id")).withColumn("xml", F.substring("xml", 1, 200))
+    with pytest.raises(Exception, match="broken method document in [ABC]"):
+        xml.parse_methods(torn, where="place").collect()
+
+
 def test_sequence_identity_comes_first(spark):
     def documents(*pairs):
         return spark.createDataFrame([(d, identity_xml(i).decode("utf-8-sig")) for d, i in pairs], "run_dir string, xml string")

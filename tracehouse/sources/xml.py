@@ -1,19 +1,24 @@
 """Method and identity XML of run folders, parsed as Spark jobs.
 
-Each document is one row, read by ``from_xml`` with a fixed schema; single rows or sections become
-one-element arrays. Broken documents fail in the task that meets them, naming the folder.
+Each document is one row. Plain methods are read by the batch (``plain_xml``); every other document
+is read by ``from_xml`` with a fixed schema; single rows or sections become one-element arrays.
+Broken documents fail in the task that meets them, naming the folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tracehouse.functions.text import parent_dir, plain_path
 from tracehouse.operators.quality import QualityError, duplicate_keys
+from tracehouse.sources.plain_xml import plain_tables
 
 PUMP_SECTION = "Binary Pump"
 PUMP_TABLES = ("composition", "timetable")
@@ -73,9 +78,9 @@ def run_identity(folders: DataFrame, sequence: DataFrame, sample: DataFrame) ->
     return joined.select("run_dir", F.coalesce("sequence", "sample", missing.cast("string")).alias("id"))
 
 
-def _parsed(schema: str, where: str, what: str) -> Column:
-    """The document in ``xml``; a broken one fails with the name of its folder (or other key)."""
-    parsed = F.from_xml("xml", f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+def _parsed(schema: str, where: str, what: str, text: str = "xml") -> Column:
+    """The document in ``text``; a broken one fails with the name of its folder (or other key)."""
+    parsed = F.from_xml(text, f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
     broken = F.raise_error(F.concat(F.lit(f"broken {what} in "), F.col(where)))
     # bound once, so that the document is parsed once
     checked = F.transform(
@@ -96,13 +101,39 @@ def parse_methods(
     They are the first and second table of the first section named ``Binary Pump``. With one of them
     named in ``tables``, the other's rows are not carried on.
     """
-    parsed = _parsed(METHOD_SCHEMA, where, "method document")
+    carried = list(dict.fromkeys((*ids, where)))
+    read = _read_plain(documents, carried, tables)
+    # of plain documents, only their rows are left
+    parsed = _parsed(METHOD_SCHEMA, where, "method document", text="__left")
     sections = parsed["Doc"]["Content"]["MethodConfiguration"]["MethodDescription"]["Section"]["Section"]
     pumps = F.filter(sections, lambda s: s["Name"] == PUMP_SECTION)
     absent = F.raise_error(F.concat(F.lit(f"no section {PUMP_SECTION} in "), F.col(where)))
     pump = F.coalesce(F.get(pumps, F.lit(0)), absent.cast(_SECTION))
-    found = documents.select(*ids, pump["Table"].alias("__tables"))
-    return found.select(*ids, *[F.get("__tables", F.lit(PUMP_TABLES.index(t)))["Row"].alias(t) for t in tables])
+    found = read.select(*ids, "__plain", *tables, F.when(~F.col("__plain"), pump["Table"]).alias("__tables"))
+
+    def rows(table: str) -> Column:
+        left = F.get("__tables", F.lit(PUMP_TABLES.index(table)))["Row"]
+        return F.when(F.col("__plain"), F.col(table)).otherwise(left).alias(table)
+
+    return found.select(*ids, *[rows(t) for t in tables])
+
+
+def _read_plain(documents: DataFrame, carried: Sequence[str], tables: Sequence[str]) -> DataFrame:
+    """The carried columns, the ``tables`` of plain documents, the text left of those that are not."""
+    numbers = [PUMP_TABLES.index(t) for t in tables]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("__left")
+            for begin, end, plain, rows in plain_tables(texts, PUMP_SECTION, numbers):
+                kept = [batch.column(c).slice(begin, end - begin) for c in carried]
+                left = texts.take(pa.array(np.arange(begin, end), mask=plain))
+                yield pa.RecordBatch.from_arrays([*kept, left, pa.array(plain), *rows], names=names)
+
+    names = [*carried, "__left", "__plain", *tables]
+    given = documents.select(*carried, F.col("xml").alias("__left"))
+    added = StructType.fromDDL(", ".join(["__left string", "__plain boolean", *[f"{t} {_ROWS}" for t in tables]]))
+    return given.mapInArrow(read, StructType([*given.schema.fields[:-1], *added.fields]))
 
 
 def _table_rows(methods: DataFrame, ids: Sequence[str], table: str, columns: Mapping[str, str], where: str) -> DataFrame:
