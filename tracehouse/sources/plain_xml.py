@@ -55,8 +55,7 @@ def _form(tag: str) -> tuple[int, str, bool]:
 def _pieces(buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa.StringArray:
     """The texts from each start to its stop; they come in order and do not overlap."""
     cuts = np.zeros(2 * len(starts) + 1, dtype=np.int32)
-    cuts[0:-1:2], cuts[1::2] = starts, stops
-    cuts[-1] = cuts[-2] if len(starts) else 0
+    cuts[0:-1:2], cuts[1::2], cuts[-1] = starts, stops, stops[-1] if len(stops) else 0
     both = pa.StringArray.from_buffers(2 * len(starts), pa.py_buffer(cuts), pa.py_buffer(buffer))
     return both.take(pa.array(np.arange(0, 2 * len(starts), 2)))
 
@@ -77,7 +76,7 @@ class _Tags:
         if not self.good.all():
             marks = marks[np.repeat(self.good, counts)]
         self.lt, self.gt = marks[0::2], marks[1::2]
-        self.doc = np.repeat(np.arange(len(self.good)), np.where(self.good, counts // 2, 0))
+        self.doc = np.repeat(np.arange(len(self.good), dtype=np.int32), np.where(self.good, counts // 2, 0))
         self._heads()
         self.reject((buffer[self.lt] != ord("<")) | (buffer[self.gt] != ord(">")))
         self.reject(self.head[self.lt[self.head] != offsets[self.doc[self.head]]])
@@ -92,12 +91,13 @@ class _Tags:
             self.good[self.doc[tags]] = False
 
     def _heads(self) -> None:
-        self.head = np.flatnonzero(np.diff(self.doc, prepend=-1))
-        self.last = np.append(self.head[1:], len(self.doc)) - 1 if len(self.doc) else self.head
+        edges = np.searchsorted(self.doc, np.arange(len(self.good) + 1, dtype=np.int32))
+        filled = edges[1:] > edges[:-1]
+        self.head, self.last = edges[:-1][filled], edges[1:][filled] - 1
 
     def _drop(self, *columns: str) -> None:
-        kept = self.good[self.doc]
-        if not kept.all():
+        if not self.good[self.doc[self.head]].all():
+            kept = self.good[self.doc]
             for column in columns:
                 setattr(self, column, getattr(self, column)[kept])
             self._heads()
@@ -106,7 +106,7 @@ class _Tags:
         coded = _pieces(self.buffer, self.lt + 1, self.gt).dictionary_encode()
         numbers = dict(NAMES)
         forms = [_form(tag) for tag in coded.dictionary.to_pylist()]
-        codes = coded.indices.to_numpy()
+        codes = coded.indices.to_numpy().astype(np.intp)
         self.kind = np.array([f[0] for f in forms], dtype=np.uint8)[codes]
         self.name = np.array([numbers.setdefault(f[1], len(numbers)) for f in forms], dtype=np.int32)[codes]
         self.odd = np.array([not f[2] for f in forms], dtype=bool)[codes]
