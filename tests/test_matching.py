@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracehouse.functions.scoring import canonical_tokens, ratio, score_canonical, token_set_ratio
+from tracehouse.functions.scoring import canonical_tokens, combined, ratio, score_canonical, token_set_ratio
 from tracehouse.operators import matching
 from tracehouse.operators.matching import best_match
 
@@ -185,3 +185,44 @@ def test_needed_pieces_are_in_every_close_text():
             keys = matching._needed(text, least, counts, 10**9) or ()
             close = [h for r, h in zip(right, held) if keys and score_canonical(text, r) >= least]
             assert all(any(h.get(k, 0) >= least for k in keys) for h in close)
+
+
+def test_marks_rule_out_no_match():
+    """Texts of many and of few letters, of one that comes often, and of several alphabets."""
+    rng = random.Random(6)
+    texts = [_canon(" ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 6)))) for letters in ("abc", "aaab", "bdkéжλ日", "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(12)]
+    one = matching._Texts(texts + [_canon(_typo(rng, t)) or "a" for t in texts])
+    for least in (1, 60, 86, 95, 100):
+        i, j = one.near(one, np.full(len(one.texts), least))
+        near = set(zip(i.tolist(), j.tolist()))
+        for a, text in enumerate(one.texts):
+            for b, other in enumerate(one.texts):
+                _, left, right = combined(text, other)
+                assert (a, b) in near or ratio(left, right) < least
+
+
+def test_known_scores_spare_the_grid_its_letters(monkeypatch):
+    """Texts whose match has to reach a high score meet the others by marks alone: no product of all letters."""
+    rng = random.Random(7)
+    right = [" ".join(sorted({"".join(rng.choices("bcdfghklmnprstvw", k=4)) for _ in range(5)})) for _ in range(300)]
+    left = [_canon(_typo(rng, r)) for r in right[:100]]
+    floors = np.array([score_canonical(a, b) for a, b in zip(left, right)])
+    monkeypatch.setattr(matching._Texts, "common_letters", None)
+    found = {r[0]: r[1:3] for r in matching._best_in_block(left, [(k, t, t) for k, t in enumerate(right)], floors)}
+    for text in left:
+        best, place = max((score_canonical(text, r), -k) for k, r in enumerate(right))
+        assert found[text] == (best, -place)
+
+
+def test_texts_for_the_grid_keep_the_score_that_they_have_reached(spark):
+    """A text whose pieces are too common has found a match already; what cannot beat it is not aligned again."""
+    rng = random.Random(3)
+    right = sorted({" ".join(sorted({"".join(rng.choices("bcdfghklmnprstvw", k=6)) for _ in range(4)})) for _ in range(120)})
+    left = sorted({_canon(r[:-3] + "xyz") for r in right} | set(right[:5]))
+    lf = spark.createDataFrame([(t,) for t in left], "canon string")
+    rf = spark.createDataFrame([(r, k, r) for k, r in enumerate(right)], "canon string, position int, match string")
+    _, rest = matching._by_pieces(lf, rf, "canon string, score int, position int, match string", 76, 3, (len(left), len(right)))
+    floors = {r["canon"]: r["floor"] for r in rest.collect()}
+    assert len(floors) > 50
+    for text, floor in floors.items():
+        assert floor == max(score_canonical(text, r) for r in right)

@@ -634,7 +634,8 @@ def _made_word(number: Column, syllables: int) -> Column:
 @_query
 def match_long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best of all parts' made six-word names for each of them in reverse order, with letters mistyped."""
-    parts = _table(spark, sf_dir, "part")
+    # a small file is read by few tasks, but its names are much work each
+    parts = _table(spark, sf_dir, "part").select("p_partkey").repartition("p_partkey")
     words = [
         _made_word(F.crc32(F.concat_ws("-", "p_partkey", F.lit(k)).cast("binary")), 2 + k % 3) for k in range(6)
     ]

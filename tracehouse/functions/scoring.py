@@ -36,7 +36,7 @@ def score_canonical(a: str, b: str) -> int:
 def canonical_tokens(col: Column) -> Column:
     """Distinct lower-case words in order, joined by blanks."""
     words = F.split(F.trim(F.regexp_replace(F.lower(col), r"(?U)\W+", " ")), " ")
-    return F.array_join(F.array_sort(F.array_distinct(words)), " ")
+    return F.array_join(F.sort_array(F.array_distinct(words)), " ")
 
 
 @F.pandas_udf(T.IntegerType())
