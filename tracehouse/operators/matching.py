@@ -25,6 +25,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,7 @@ _WORD = 64  # letters of a text that fit a machine word
 _PAIRS = 100_000  # pairs whose subsequences are computed together
 _GRID_TASKS = 64  # tasks that a grid is dealt to before its blocks grow
 _PIECES = (8, 6, 5, 4, 3)  # letters of a piece
+_TOGETHER = 1 << 19  # letters of texts whose pieces are made together
 _BINS = 1 << 21  # bins in which pieces are counted: those that share one only look more common
 _SEEDS, _SEED_PAIRS = 6, 64  # pieces that look for a first match, and right texts that they may meet
 _TRIED = 4  # right texts with most of these pieces that are aligned first
@@ -476,13 +478,16 @@ def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _per_texts(df: DataFrame, columns, schema: str) -> DataFrame:
-    """Columns that ``columns`` makes of each batch of ``df``'s columns."""
+    """Columns that ``columns`` makes of ``df``'s columns, the first of which are texts, some texts at a time."""
     kinds = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches):
         for batch in batches:
-            made = columns(*batch.columns)
-            yield pa.RecordBatch.from_arrays([pa.array(v, k.type) for v, k in zip(made, kinds, strict=True)], schema=kinds)
+            share = np.cumsum(pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False)) // _TOGETHER
+            begins = np.flatnonzero(np.diff(share, prepend=-1)).tolist()
+            for begin, end in zip(begins, [*begins[1:], batch.num_rows]):
+                made = columns(*batch.slice(begin, end - begin).columns)
+                yield pa.RecordBatch.from_arrays([pa.array(v, k.type) for v, k in zip(made, kinds, strict=True)], schema=kinds)
 
     return df.mapInArrow(run, schema)
 
